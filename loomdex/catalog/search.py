@@ -317,7 +317,7 @@ def _filled_store(spark, folder):
     rows = i.table(spark, folder, "documents").select("doc_id", "text", "lang")
     payload = T.StructType([T.StructField("lang", T.StringType())])
     for lang in [r["lang"] for r in rows.select("lang").distinct().orderBy("lang").collect()]:
-        store.create(lang, 64, 1, prefixes=(64,), payload=payload)
+        store.create(lang, 64, 1, prefixes=(64,), payload=payload, bucket_chars=1)
         own = embed_text(rows.where(F.col("lang") == lang), dim=64)
         own = own.withColumn("text_sparse", F.array(F.lit(0.0))).withColumn("payload", F.struct("lang"))
         store.upsert(lang, store.with_ids(own, lang, "doc_id"))
@@ -379,7 +379,7 @@ def collection_exists(spark, folder):
 def upsert_points(spark, folder):
     """A second run over the same rows adds nothing."""
     store = _vector_store(spark)
-    store.create("vectors", 64, 1, PREFIXES, (), LABEL_PAYLOAD)
+    store.create("vectors", 64, 1, PREFIXES, (), LABEL_PAYLOAD, bucket_chars=1)
     out = []
     for run in (1, 2):
         written = store.upsert("vectors", _embedding_points(spark, folder, store, "vectors"))
@@ -395,7 +395,7 @@ def upsert_points(spark, folder):
 )
 def read_collection(spark, folder):
     store = _vector_store(spark)
-    store.create("vectors", 64, 1, PREFIXES, (), LABEL_PAYLOAD)
+    store.create("vectors", 64, 1, PREFIXES, (), LABEL_PAYLOAD, bucket_chars=1)
     store.upsert("vectors", _embedding_points(spark, folder, store, "vectors"))
     size = store.vector_size("vectors", "text_dense")
     rows = store.read("vectors")
@@ -430,7 +430,7 @@ def _built(spark, folder):
     store = Collections(spark, scratch_path(spark, "index"))
     jobs.build_index(
         store, "motions", i.docs(spark, folder), i.items(spark, folder),
-        i.doc_content(spark, folder), extractor="text",
+        i.doc_content(spark, folder), extractor="text", bucket_chars=1,
     )
     return store
 

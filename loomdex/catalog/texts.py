@@ -294,7 +294,7 @@ def sparse_vector(spark, folder):
 
 @query(
     "sparse_query_vector",
-    f"""{STATS}, asked as (select item_id as id, text from benchmark), {q.sparse_ctes('asked', 'q', '1.0')}
+    f"""{STATS}, asked as (select item_id as id, text from benchmark), {q.sparse_ctes('asked', 'q', '1.0::double')}
  select id as qid, unnest(w) as weight, generate_subscripts(w, 1) - 1 as idx from qsp""",
 )
 def sparse_query_vector(spark, folder):

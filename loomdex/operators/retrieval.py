@@ -173,7 +173,11 @@ def rrf_fusion(
 
 
 def payload_attach(
-    hits: DataFrame, points: DataFrame, max_hits: int | None = None, payload: str = "payload"
+    hits: DataFrame,
+    points: DataFrame,
+    max_hits: int | None = None,
+    payload: str = "payload",
+    bucket_chars: int = 0,
 ) -> DataFrame:
     """Attach payloads to final hits. When ``max_hits``, the most rows the hits can have, is
     small, they are broadcast and the payload table is read without a shuffle."""
@@ -181,9 +185,10 @@ def payload_attach(
     side = F.broadcast(hits) if small else hits
     keys = ["id"]
     stored = ["id", payload]
-    if "id_bucket" in points.columns:
+    if bucket_chars and "id_bucket" in points.columns:
         # the storage partition follows from the id, so only the hits' partitions are read
-        side = side.withColumn("id_bucket", F.substring("id", 1, 2))
+        bucketed = hits.withColumn("id_bucket", F.substring("id", 1, bucket_chars))
+        side = F.broadcast(bucketed) if small else bucketed
         keys, stored = ["id_bucket", "id"], ["id_bucket", "id", payload]
     return points.select(*stored).join(side, keys).drop("id_bucket")
 
@@ -253,6 +258,7 @@ def hybrid_search(
     bounds: Bounds | None = None,
     k: int = RRF_K,
     with_payload: bool = True,
+    bucket_chars: int = 0,
     **options,
 ) -> DataFrame:
     """Fuse cascade, dense and sparse rankings of every query; one scan serves all three.
@@ -273,4 +279,4 @@ def hybrid_search(
     if not with_payload:
         return fused
     most = None if held is None else held.num_rows * limit
-    return payload_attach(fused, points, most).select("qid", "rank", "id", "score", "payload")
+    return payload_attach(fused, points, most, bucket_chars=bucket_chars).select("qid", "rank", "id", "score", "payload")

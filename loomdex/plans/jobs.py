@@ -144,6 +144,7 @@ def build_index(
     cleaner: str | Callable[[Column], Column] = "simple",
     embedder: Callable[[], Callable[[Sequence[str]], Any]] | None = None,
     random_ids: bool = False,
+    bucket_chars: int = 2,
     **options,
 ) -> int:
     """Index the motion documents into a collection; returns the number of points added.
@@ -151,7 +152,7 @@ def build_index(
     Token statistics cover every extracted document, also those that are not stored afterwards.
     """
     p = get_preset(preset)
-    store.create(name, dim, p.vocabulary, p.prefixes, p.quantised, exist_ok=True)
+    store.create(name, dim, p.vocabulary, p.prefixes, p.quantised, bucket_chars=bucket_chars, exist_ok=True)
     motions = sample_head(prepare_motions(docs, items), samples, MOTION_ORDER)
     corpus = build_corpus(motions, content, extractor, cleaner, **options)
     keyed = store.with_ids(corpus.drop("tokens"), name, "geschaeft_uid", "dokument_uid", random=random_ids)
@@ -192,7 +193,10 @@ def search_similar(
     config = store.config(name)
     vectors = query_vectors(queries, store.vocabulary(name), preset, config["dense_size"], embedder)
     bounds = store.bounds(name)
-    return hybrid_search(store.points(name), vectors, limit, preset, bounds=bounds, **options)
+    return hybrid_search(
+        store.points(name), vectors, limit, preset, bounds=bounds,
+        bucket_chars=config["bucket_chars"], **options,
+    )
 
 
 def demo_search(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,8 +38,8 @@ class Collections:
     """Create, list, drop, append to and read collections.
 
     A collection is a folder with ``config``, ``points``, ``vocabulary`` and ``bounds``. Points are
-    partitioned by the first two characters of their id, so that fetching the payload of a few
-    hits reads a few partitions only. The longest prefix is stored beside the whole vector, which
+    partitioned by the first ``bucket_chars`` characters of their id, so that fetching the payload
+    of a few hits reads a few partitions only. The longest prefix is stored beside the whole vector, which
     lets a coarse-to-fine search skip the wide column; shorter prefixes are cut from it on read.
     """
 
@@ -76,10 +77,14 @@ class Collections:
         prefixes: Sequence[int] = PREFIXES,
         quantised: Sequence[int] = QUANTISED,
         payload: T.StructType | None = None,
+        bucket_chars: int = 2,
         exist_ok: bool = False,
         recreate: bool = False,
     ) -> bool:
-        """Create an empty collection. False if it is there and ``exist_ok`` allows that."""
+        """Create an empty collection. False if it is there and ``exist_ok`` allows that.
+
+        Two bucket characters make 256 partitions; take fewer for small collections.
+        """
         if self.exists(name):
             if recreate:
                 self.delete(name)
@@ -96,6 +101,7 @@ class Collections:
             "quantised": [n for n in quantised if n in prefixes],
             "metric": {"text_dense": "cosine", "text_sparse": "dot"},
             "payload": payload.jsonValue(),
+            "bucket_chars": bucket_chars,
         }
         row = self.spark.createDataFrame([(json.dumps(config),)], "config string")
         row.coalesce(1).write.mode("overwrite").parquet(self.path(name, "config"))
@@ -173,7 +179,7 @@ class Collections:
 
     def without_known(self, df: DataFrame, name: str) -> DataFrame:
         """Rows whose id is not stored yet. Done before vectors exist, it moves narrow rows."""
-        return df.join(self.points(name).select("id"), "id", "left_anti")
+        return df.join(self.points(name).select("id"), "id", "left_anti")  # ids only are read
 
     def upsert(self, name: str, points: DataFrame, skip_known: bool = True) -> int:
         """Append points (id, text_dense, text_sparse, payload); returns how many were written.
@@ -191,7 +197,7 @@ class Collections:
             vector_prefix("text_dense", longest).cast("array<float>").alias("prefix_dense"),
             F.col("text_sparse").cast("array<double>").alias("text_sparse"),
             "payload",
-            F.substring("id", 1, 2).alias("id_bucket"),
+            F.substring("id", 1, config["bucket_chars"]).alias("id_bucket"),
         )
         seen = Observation()
         measures = [F.count(F.lit(1)).alias("n")]
@@ -202,7 +208,10 @@ class Collections:
         # rebalance evens out file sizes within the partitions; AQE picks the number of tasks
         sized = rows.observe(seen, *measures).hint("rebalance", "id_bucket")
         sized.write.mode("append").partitionBy("id_bucket").parquet(self.path(name, "points"))
-        got = seen.get
+        try:
+            got = seen.get
+        except Py4JJavaError:  # adaptive execution drops the measures of an empty result
+            got = {"n": 0}
         if got["n"] and config["quantised"]:
             spans = [(n, got[f"low{n}"], got[f"high{n}"]) for n in config["quantised"]]
             rows = self.spark.createDataFrame(spans, BOUNDS_SCHEMA)

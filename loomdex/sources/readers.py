@@ -62,7 +62,7 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType, null_words: b
 
 def scan_text_files(spark: SparkSession, folder: str, suffix: str = "txt") -> DataFrame:
     """(filename, text): every file of a folder as one row, named without its suffix."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", f"*.{suffix}").text(folder)
+    files = spark.read.option("pathGlobFilter", f"*.{suffix}").text(folder, wholetext=True)
     return files.select(
         file_stem(F.col("_metadata.file_name")).alias("filename"), F.col("value").alias("text")
     )
