@@ -311,17 +311,15 @@ def _embedding_points(spark, folder, store, name):
     return store.with_ids(rows, name, "vec_id")
 
 
-def _filled_store(spark, folder):
-    """One collection per language, each with the texts of that language."""
+def _language_store(spark, folder):
+    """One empty collection per language of the documents."""
     store = _vector_store(spark)
     rows = i.table(spark, folder, "documents").select("doc_id", "text", "lang")
     payload = T.StructType([T.StructField("lang", T.StringType())])
-    for lang in [r["lang"] for r in rows.select("lang").distinct().orderBy("lang").collect()]:
+    langs = [r["lang"] for r in rows.select("lang").distinct().orderBy("lang").collect()]
+    for lang in langs:
         store.create(lang, 64, 1, prefixes=(64,), payload=payload, bucket_chars=1)
-        own = embed_text(rows.where(F.col("lang") == lang), dim=64)
-        own = own.withColumn("text_sparse", F.array(F.lit(0.0))).withColumn("payload", F.struct("lang"))
-        store.upsert(lang, store.with_ids(own, lang, "doc_id"))
-    return store
+    return store, rows
 
 
 def _names(spark, names, column="collection"):
@@ -330,19 +328,22 @@ def _names(spark, names, column="collection"):
 
 @query("create_collection", "select lang as collection, count(*) as n from documents group by lang")
 def create_collection(spark, folder):
-    store = _filled_store(spark, folder)
-    counted = [
-        store.points(n).select(F.lit(n).alias("collection")).groupBy("collection").agg(
-            F.count(F.lit(1)).alias("n")
-        )
-        for n in store.list()
-    ]
+    """One collection per language, filled with the texts of that language."""
+    store, rows = _language_store(spark, folder)
+    counted = []
+    for lang in store.list():
+        own = embed_text(rows.where(F.col("lang") == lang), dim=64)
+        own = own.withColumn("text_sparse", F.array(F.lit(0.0))).withColumn("payload", F.struct("lang"))
+        store.upsert(lang, store.with_ids(own, lang, "doc_id"))
+        stored = store.points(lang).groupBy(F.lit(lang).alias("collection"))
+        counted.append(stored.agg(F.count(F.lit(1)).alias("n")))
     return retrieval.branch_union(counted)
 
 
 @query("list_collections", "select distinct lang as collection from documents")
 def list_collections(spark, folder):
-    return _names(spark, _filled_store(spark, folder).list())
+    store, _ = _language_store(spark, folder)
+    return _names(spark, store.list())
 
 
 @query(
@@ -351,7 +352,7 @@ def list_collections(spark, folder):
 )
 def delete_collection(spark, folder):
     """The first collection goes; a second attempt finds nothing to drop."""
-    store = _filled_store(spark, folder)
+    store, _ = _language_store(spark, folder)
     first = store.list()[0]
     if not store.delete(first) or store.delete(first):
         raise AssertionError("a collection must be dropped exactly once")
@@ -360,15 +361,14 @@ def delete_collection(spark, folder):
 
 @query(
     "collection_exists",
-    """select distinct s.source as name, s.source in (select lang from documents) as present from documents s
+    """select distinct source as name, source in (select lang from documents) as present from documents
  union select distinct lang, true from documents""",
 )
 def collection_exists(spark, folder):
-    store = _filled_store(spark, folder)
-    rows = i.table(spark, folder, "documents")
-    asked_for = rows.select(F.col("source").alias("name")).union(rows.select("lang")).distinct()
-    found = [(r["name"], store.exists(r["name"])) for r in asked_for.collect()]
-    return spark.createDataFrame(found, "name string, present boolean")
+    store, rows = _language_store(spark, folder)
+    documents = i.table(spark, folder, "documents")
+    names = documents.select(F.col("source").alias("name")).union(rows.select("lang")).distinct()
+    return names.withColumn("present", F.col("name").isin(store.list()))
 
 
 @query(

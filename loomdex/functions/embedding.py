@@ -52,7 +52,7 @@ def hash_embedding(tokens: Column | str, dim: int = DENSE_SIZE) -> Column:
         signed = signed[words.indices.to_numpy(zero_copy_only=False)]
         slot = _row_numbers(batch) * dim + np.abs(signed) - 1
         sums = np.bincount(slot, weights=np.sign(signed), minlength=len(batch) * dim)
-        matrix = sums.reshape(len(batch), dim)
+        matrix = sums.astype(np.float64, copy=False).reshape(len(batch), dim)
         norms = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
         return _as_float_lists(np.divide(matrix, norms, out=matrix, where=norms > 0))
 

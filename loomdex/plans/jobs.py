@@ -21,7 +21,7 @@ from loomdex.operators.corpus import (
     with_tokens,
 )
 from loomdex.operators.duplicates import dedup_clean_text, dedup_rows
-from loomdex.operators.extract import extract_text_job
+from loomdex.operators.extract import extract_text_job, runs_in_jvm
 from loomdex.operators.relational import (
     DOC_TYPES,
     ITEM_TYPE,
@@ -60,9 +60,13 @@ def extract_dedup_job(
 ) -> DataFrame:
     """Extract text and mark repeats of cleaned text; the lowest key of a text stays unique.
 
-    ``row_key`` names the columns that identify a row where ``key`` alone does not.
+    ``row_key`` names the columns that identify a row where ``key`` alone does not. The result of
+    an extractor that runs in Python is written to the shared folder first, because marking reads
+    it twice; built-in extractors are cheap enough to run again.
     """
     results = extract_text_job(df, key, content, url, extractor, **options)
+    if not runs_in_jvm(extractor):
+        results = written(results, "extracted")
     return dedup_clean_text(results, row_key or "motion_id", cleaner=cleaner)
 
 
@@ -115,6 +119,13 @@ def index_points(
     return point_rows(localized_fields(vectors), PAYLOAD_FIELDS, ())
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The same rows read back from a new table in the shared folder."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def staged(df: DataFrame, label: str = "stage"):
     """A table written to the shared folder for the length of a block.
