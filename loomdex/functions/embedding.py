@@ -104,7 +104,8 @@ def model_embedding(
                 [], type=pa.list_(pa.float32())
             )
 
-    return embed(text)
+    # not deterministic for the optimizer: a filter on the vector must not run the model twice
+    return embed.asNondeterministic()(text)
 
 
 def embed_text(

@@ -124,7 +124,8 @@ def remove_patterns(c: Column | str, patterns: Sequence[str] = REMOVAL_PATTERNS)
     """Remove each pattern in turn, ignoring case over all of Unicode.
 
     A pattern runs only on texts that hold the plain text it needs: a substring search costs a
-    small part of a case-blind scan, and most patterns are absent from most texts.
+    small part of a case-blind scan, and most patterns are absent from most texts. Once a text has
+    changed, its parts may have met in new ways, and all remaining patterns run.
     """
     steps = F.array(
         *[
@@ -136,14 +137,21 @@ def remove_patterns(c: Column | str, patterns: Sequence[str] = REMOVAL_PATTERNS)
         ]
     )
 
-    def state(text: Column) -> Column:
-        return F.struct(text.alias("text"), _folded(text).alias("low"))
+    start = F.struct(_col(c).alias("text"), _folded(_col(c)).alias("low"), F.lit(False).alias("changed"))
 
     def apply(acc: Column, step: Column) -> Column:
-        removed = F.array(F.regexp_replace(acc["text"], step["regex"], F.lit("")))
-        return F.when(F.contains(acc["low"], step["need"]), F.transform(removed, state)[0]).otherwise(acc)
-
-    return F.aggregate(steps, state(_col(c)), apply, lambda acc: acc["text"]) if patterns else _col(c)
+        # the one-element transform names the new text, so it is computed once
+        ran = F.transform(
+            F.array(F.regexp_replace(acc["text"], step["regex"], F.lit(""))),
+            lambda new: F.struct(
+                new.alias("text"),
+                acc["low"].alias("low"),
+                (acc["changed"] | (new != acc["text"])).alias("changed"),
+            ),
+        )
+        return F.when(acc["changed"] | F.contains(acc["low"], step["need"]), ran[0]).otherwise(acc)
+
+    return F.aggregate(steps, start, apply, lambda acc: acc["text"]) if patterns else _col(c)
 
 
 def strip_special_chars(c: Column | str) -> Column:

@@ -44,15 +44,15 @@ def document_frequency(df: DataFrame, tokens: str = "tokens") -> DataFrame:
 
 def token_statistics(df: DataFrame, key: str, tokens: str = "tokens") -> DataFrame:
     """(token, n, df, first_seen) in one scan and one shuffle of combined rows."""
-    everything = F.transform(
-        tokens, lambda t: F.struct(t.alias("token"), F.lit(False).alias("once"))
+    both = df.select(key, F.array_distinct(tokens).alias("_once"), F.col(tokens).alias("_all"))
+    exploded = both.select(
+        key,
+        F.size("_once").alias("_n_once"),
+        F.posexplode(F.concat("_once", "_all")).alias("pos", "token"),
     )
-    distinct = F.transform(
-        F.array_distinct(tokens), lambda t: F.struct(t.alias("token"), F.lit(True).alias("once"))
-    )
-    exploded = df.select(key, F.posexplode(F.concat(distinct, everything)).alias("pos", "entry"))
-    once = F.col("entry.once")
-    return exploded.groupBy(F.col("entry.token").alias("token")).agg(
+    # the distinct tokens lead the list, in the order of their first use
+    once = F.col("pos") < F.col("_n_once")
+    return exploded.groupBy("token").agg(
         F.count_if(~once).alias("n"),
         F.count_if(once).alias("df"),
         F.min(_order_value(df, key, F.col("pos"))).alias("first_seen"),
@@ -135,7 +135,7 @@ def build_vocabulary(
     n_docs = df.agg(F.count(F.lit(1))).scalar()
     raw = F.ln(n_docs - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5)
     # naming every column keeps this aggregate identical to the one below, so Spark runs it once
-    counted = F.col("n").isNotNull() & F.col("first_seen").isNotNull()
+    counted = (F.col("n") > 0) & F.col("first_seen").isNotNull()
     mean = stats.agg(F.avg(F.when(counted, raw))).scalar()
     return _ranked(bm25_idf(stats, n_docs, epsilon, mean), cap, pad, "idf")
 

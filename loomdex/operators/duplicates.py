@@ -58,7 +58,9 @@ def dedup_clean_text(
     keys = [key] if isinstance(key, str) else list(key)
     eligible = (F.col(status) == "success") & F.col(text).isNotNull()
     digest = F.sha2(get_cleaner(cleaner)(F.col(text)), 256)
-    hashed = df.where(eligible).select(*keys, digest.alias("_digest"))
+    # rows that do not take part share the null digest; a filter would be pushed down to the source
+    # and repeat the work behind text and status there
+    hashed = df.select(*keys, F.when(eligible, digest).alias("_digest"))
     lowest = F.min(keys[0]) if len(keys) == 1 else F.min(F.struct(*keys))
     firsts = hashed.groupBy("_digest").agg(lowest.alias("_first"))
     picked = [F.col("_first")] if len(keys) == 1 else [F.col(f"_first.{k}") for k in keys]

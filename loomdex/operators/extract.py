@@ -103,7 +103,8 @@ def _bytes_udf(extractor: Callable[[bytes], str | None]):
             names=["text", "error"],
         )
 
-    return extract
+    # not deterministic for the optimizer: a filter on the result must not run the extractor twice
+    return extract.asNondeterministic()
 
 
 def extract_text_job(

@@ -21,14 +21,13 @@ from loomdex.operators.corpus import (
     with_tokens,
 )
 from loomdex.operators.duplicates import dedup_clean_text, dedup_rows
-from loomdex.operators.extract import extract_text_job, runs_in_jvm
+from loomdex.operators.extract import STATUS_SUCCESS, extract_text_job, runs_in_jvm
 from loomdex.operators.relational import (
     DOC_TYPES,
     ITEM_TYPE,
     localized_fields,
     merge_documents,
     sample_head,
-    success_filter,
 )
 from loomdex.operators.retrieval import PRESETS, Preset, get_preset, hybrid_search
 from loomdex.operators.skew import salted_join
@@ -76,21 +75,20 @@ def attach_content(motions: DataFrame, content: DataFrame, url: str = "dokument_
     return salted_join(motions, landed, [(url, "_url")], "left").drop("_url")
 
 
-def build_corpus(
+def extract_corpus(
     motions: DataFrame,
     content: DataFrame,
     extractor: str | Callable[[bytes], str | None] = "html",
     cleaner: str | Callable[[Column], Column] = "simple",
     **options,
 ) -> DataFrame:
-    """Motions whose text could be extracted, with cleaned ``text`` and its ``tokens``."""
+    """Motions with their ``status`` and cleaned ``text``, failures included."""
     fetched = attach_content(motions, content)
     extracted = extract_text_job(
         fetched.withColumn("motion_id", F.col("geschaeft_uid")), "motion_id", "content", "dokument_url",
         extractor, **options,
     ).drop("content", "error_message")
-    cleaned = success_filter(extracted).withColumn("text", get_cleaner(cleaner)(F.col("text")))
-    return with_tokens(cleaned)
+    return extracted.withColumn("text", get_cleaner(cleaner)(F.col("text")))
 
 
 def point_rows(
@@ -165,10 +163,11 @@ def build_index(
     p = get_preset(preset)
     store.create(name, dim, p.vocabulary, p.prefixes, p.quantised, bucket_chars=bucket_chars, exist_ok=True)
     motions = sample_head(prepare_motions(docs, items), samples, MOTION_ORDER)
-    corpus = build_corpus(motions, content, extractor, cleaner, **options)
-    keyed = store.with_ids(corpus.drop("tokens"), name, "geschaeft_uid", "dokument_uid", random=random_ids)
+    corpus = extract_corpus(motions, content, extractor, cleaner, **options)
+    keyed = store.with_ids(corpus, name, "geschaeft_uid", "dokument_uid", random=random_ids)
     with staged(keyed, "corpus") as texts:
-        tokens = with_tokens(texts)
+        # success implies a text; filtering the written table keeps extraction to one run per row
+        tokens = with_tokens(texts.where(F.col("status") == STATUS_SUCCESS))
         store.write_vocabulary(name, build_vocabulary(tokens, "dokument_uid", p.vocabulary, pad=p.padded))
         entries = vocabulary_entries(store.vocabulary(name))
         new = tokens if random_ids else store.without_known(tokens, name)

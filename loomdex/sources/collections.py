@@ -103,7 +103,7 @@ class Collections:
             "payload": payload.jsonValue(),
             "bucket_chars": bucket_chars,
         }
-        row = self.spark.createDataFrame([(json.dumps(config),)], "config string")
+        row = self.spark.range(1).select(F.lit(json.dumps(config)).alias("config"))
         row.coalesce(1).write.mode("overwrite").parquet(self.path(name, "config"))
         return True
 
