@@ -29,7 +29,14 @@ from loomdex.operators.relational import (
     merge_documents,
     sample_head,
 )
-from loomdex.operators.retrieval import PRESETS, Preset, get_preset, hybrid_search
+from loomdex.operators.retrieval import (
+    PAYLOAD_BROADCAST_ROWS,
+    PRESETS,
+    Preset,
+    get_preset,
+    hybrid_search,
+    payload_attach,
+)
 from loomdex.operators.skew import salted_join
 from loomdex.session import remove_path, scratch_path
 from loomdex.sources.collections import PAYLOAD_FIELDS, Collections, payload_type
@@ -190,6 +197,19 @@ def query_vectors(
     )
 
 
+def attach_stored_payload(store: Collections, name: str, hits: DataFrame, most: int | None) -> DataFrame:
+    """Payloads of final hits from a collection, reading only the partitions that hold a hit.
+
+    The hits, at most queries x limit rows, are written first: as a small table their partitions
+    are known before the payload scan starts, and the search does not run a second time for it.
+    """
+    config = store.config(name)
+    kept = written(hits, "hits").where(F.col("rank") >= 1)
+    return payload_attach(kept, store.points(name), most, bucket_chars=config["bucket_chars"]).select(
+        "qid", "rank", "id", "score", "payload"
+    )
+
+
 def search_similar(
     store: Collections,
     name: str,
@@ -200,13 +220,14 @@ def search_similar(
     **options,
 ) -> DataFrame:
     """Hybrid search of a stored collection: (qid, rank, id, score, payload) for (qid, text)."""
-    config = store.config(name)
-    vectors = query_vectors(queries, store.vocabulary(name), preset, config["dense_size"], embedder)
-    bounds = store.bounds(name)
-    return hybrid_search(
-        store.points(name), vectors, limit, preset, bounds=bounds,
-        bucket_chars=config["bucket_chars"], **options,
+    config, p = store.config(name), get_preset(preset)
+    limit = p.default_limit if limit is None else limit
+    vectors = query_vectors(queries, store.vocabulary(name), p, config["dense_size"], embedder)
+    hits = hybrid_search(
+        store.points(name), vectors, limit, p, bounds=store.bounds(name), with_payload=False, **options
     )
+    most = limit * queries.limit(PAYLOAD_BROADCAST_ROWS + 1).count()
+    return attach_stored_payload(store, name, hits, most)
 
 
 def demo_search(

@@ -179,8 +179,9 @@ def test_lookup_of_hits_prunes_partitions(spark, store):
     jobs.build_index(store, "m", docs, items, content, extractor="text", dim=64, bucket_chars=1)
     asked = spark.createDataFrame([(1, "power")], "qid int, text string")
     found = jobs.search_similar(store, "m", asked, limit=1)
-    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString().lower()
-    assert found.count() == 1
+    assert len(found.collect()) == 1
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "dynamicpruning" in plan and "ReusedExchange" in plan
 
 
 def test_demo_search_uses_keywords(spark):
