@@ -444,7 +444,7 @@ def _built(spark, folder):
 def build_index(spark, folder):
     store = _built(spark, folder)
     weight = F.aggregate("text_sparse", F.lit(0.0), lambda a, x: a + x)
-    return store.points("motions").select(
+    return store.read("motions").select(
         "payload.dokument_uid", "payload.geschaeft_uid", "payload.title", "payload.beschluss",
         "payload.url", F.md5("payload.text").alias("digest"), F.round(weight, 5).alias("weight"),
     )

@@ -61,7 +61,8 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
 
 
 def _stage_matrix(matrix: np.ndarray, stage: Stage, metric: str, is_point: bool) -> np.ndarray:
-    part = matrix if stage.dims is None else matrix[:, : stage.dims]
+    """Vectors of one stage, scaled so that a plain product gives the stage's score."""
+    part = (matrix if stage.dims is None else matrix[:, : stage.dims]).astype(np.float64)
     if metric == "dot":
         return part
     if is_point and stage.bounds is not None:
@@ -70,14 +71,46 @@ def _stage_matrix(matrix: np.ndarray, stage: Stage, metric: str, is_point: bool)
     return _unit(part)
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
+def _stage_scores(
+    matrix: np.ndarray, stage: Stage, metric: str, queries: np.ndarray, digits: int
+) -> np.ndarray:
+    """Scores of all rows against a block of scaled queries. Whole rows are not scaled for it: it is
+    cheaper to divide the products by the norms."""
+    if metric == "dot" or stage.bounds is not None:
+        score = _stage_matrix(matrix, stage, metric, True) @ queries.T
+    else:
+        part = (matrix if stage.dims is None else matrix[:, : stage.dims]).astype(np.float64)
+        norms = np.sqrt(np.einsum("ij,ij->i", part, part))[:, None]
+        score = part @ queries.T
+        np.divide(score, norms, out=score, where=norms > 0)
+    return np.round(score, digits, out=score) + 0.0  # -0.0 and 0.0 are the same score
+
+
+def _matrix(column: pa.Array | pa.ChunkedArray, dim: int | None = None) -> np.ndarray:
+    """Rows of a vector column: arrays, or packed bytes of ``dim`` numbers."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    if len(column) and len(flat) % len(column):
+    n = len(column)
+    if pa.types.is_list(column.type) or pa.types.is_large_list(column.type):
+        flat = column.flatten().to_numpy(zero_copy_only=False)
+    else:
+        data = _bytes_of(column)
+        width = len(data) // max(n * dim, 1)
+        if width not in (4, 8) or n * dim * width != len(data):
+            raise ValueError(f"packed vectors do not hold {dim} numbers each")
+        flat = np.frombuffer(data, dtype="<f4" if width == 4 else "<f8")
+    if n and len(flat) % n:
         raise ValueError("vectors of one column must have equal lengths")
-    dim = len(flat) // max(len(column), 1)
-    return flat.astype(np.float64).reshape(len(column), dim)
+    return flat.reshape(n, len(flat) // max(n, 1))
+
+
+def _bytes_of(column: pa.Array) -> memoryview:
+    """The values of a binary array without nulls, one after the other and without a copy."""
+    large = pa.types.is_large_binary(column.type)
+    _, offsets, values = column.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int64 if large else np.int32)
+    start, stop = ends[column.offset], ends[column.offset + len(column)]
+    return memoryview(values)[start:stop] if values is not None else memoryview(b"")
 
 
 class _Best:
@@ -93,21 +126,21 @@ class _Best:
         self.ids: np.ndarray | None = None
         self.scores = np.empty((0, len(branch.stages)))
 
-    def add(self, ids: np.ndarray, matrix: np.ndarray) -> None:
-        """``ids`` ascending, so that the first rows among equal scores are the ones to keep."""
-        points = [_stage_matrix(matrix, s, self.branch.metric, True) for s in self.branch.stages]
+    def add(self, ids: np.ndarray, order: np.ndarray, matrix: np.ndarray) -> None:
+        """``order`` sorts the rows of ``matrix`` by id, so that the first rows among equal scores
+        are the ones to keep; ``ids`` are in that order."""
         n, step = len(ids), max(1, SCORE_CELLS // max(len(ids), 1))
         rows, queries, firsts = [], [], []
         for start in range(0, len(self.floor), step):
             block = self.parts[0][start : start + step]
-            score = np.round(points[0] @ block.T, self.digits)
-            score += 0.0  # -0.0 and 0.0 are the same score
+            score = _stage_scores(matrix, self.branch.stages[0], self.branch.metric, block, self.digits)
             if not self.branch.keep_zero:
                 score[score == 0] = -np.inf
             threshold = self.floor[start : start + step].copy()
             if n > self.limit:
                 kth = np.partition(score, n - self.limit, axis=0)[n - self.limit]
                 threshold = np.maximum(threshold, kth)
+            score = score[order]
             keep = score >= threshold
             keep &= score > -np.inf
             crowded = np.nonzero(keep.sum(axis=0) > self.limit)[0]
@@ -120,23 +153,29 @@ class _Best:
             rows.append(r)
             queries.append(q + start)
             firsts.append(score[r, q])
-        self._merge(ids, points, np.concatenate(rows), np.concatenate(queries), np.concatenate(firsts))
+        rows, queries, firsts = map(np.concatenate, (rows, queries, firsts))
+        if len(rows):
+            self._merge(ids, order, matrix, rows, queries, firsts)
 
-    def _merge(self, ids, points, rows, queries, first) -> None:
-        if not len(rows):
-            return
-        scores = np.empty((len(rows), len(points)))
+    def _merge(self, ids, order, matrix, rows, queries, first) -> None:
+        stages = self.branch.stages
+        scores = np.empty((len(rows), len(stages)))
         scores[:, 0] = first
-        for i in range(1, len(points)):
+        if len(stages) > 1:
+            # the later stages look at the rows that got through the first one only
+            used, where = np.unique(rows, return_inverse=True)
+            kept = matrix[order[used]]
+        for i in range(1, len(stages)):
+            points = _stage_matrix(kept, stages[i], self.branch.metric, True)
             for s in range(0, len(rows), 50_000):
-                r, q = rows[s : s + 50_000], queries[s : s + 50_000]
-                pair = np.einsum("ij,ij->i", points[i][r], self.parts[i][q])
-                scores[s : s + 50_000, i] = np.round(pair, self.digits) + 0.0
+                part = slice(s, s + 50_000)
+                pair = np.einsum("ij,ij->i", points[where[part]], self.parts[i][queries[part]])
+                scores[part, i] = np.round(pair, self.digits) + 0.0
         q = np.concatenate([self.q, queries])
         names = ids[rows] if self.ids is None else np.concatenate([self.ids, ids[rows]])
         scores = np.concatenate([self.scores, scores])
-        order = np.lexsort((names, -scores[:, 0], q))
-        q, names, scores = q[order], names[order], scores[order]
+        by_rank = np.lexsort((names, -scores[:, 0], q))
+        q, names, scores = q[by_rank], names[by_rank], scores[by_rank]
         starts = np.searchsorted(q, q, side="left")
         rank = np.arange(len(q)) - starts
         keep = rank < self.limit
@@ -189,8 +228,8 @@ def _score_batches(
         for b in best:
             column = b.branch.column
             if column not in cache:
-                cache[column] = _matrix(batch.column(column))[order]
-            b.add(ids, cache[column])
+                cache[column] = _matrix(batch.column(column), matrices[column].shape[1])
+            b.add(ids, order, cache[column])
     yield from _result(best, qids, schema)
 
 
@@ -232,8 +271,8 @@ def branch_scan(
 ) -> DataFrame:
     """Ranked rows (branch, qid, id, score, rank) of every branch from one scan of the points.
 
-    ``points`` has ``id`` and the vector columns; ``queries`` has ``qid`` and columns of the same
-    names. Points without a vector take no part. Scores are rounded to ``digits`` places before
+    ``points`` has ``id`` and the vector columns, as arrays or packed; ``queries`` has ``qid`` and
+    array columns of the same names. Points without a vector take no part. Scores are rounded to ``digits`` places before
     ranking and equal scores are ordered by id, so results do not depend on partitioning.
     """
     columns = branch_columns(branches)
@@ -270,7 +309,7 @@ def _scan_in_blocks(present, asked, branches, columns, schema, digits, most) ->
     """Every block of points meets every block of queries in one task of bounded size."""
     target = _arrow_schema(schema)
     n_queries, n_points = asked.count(), present.count()
-    width = present.select(*[F.size(c).alias(c) for c in columns]).first()
+    width = asked.select(*[F.size(c).alias(c) for c in columns]).first()
     per_block = max(1, BLOCK_BYTES // (8 * sum(width or [1])))
     q_blocks = -(-n_queries // max(1, most // 2))  # hashed blocks vary in size, so aim for half
     p_blocks = max(1, -(-n_points // per_block))

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from loomdex.functions.embedding import pack_vector, unpack_vector
 from loomdex.operators import retrieval, scan
 from loomdex.functions.vectors import cosine_similarity, int8_decode, int8_encode, unit_vector
 
@@ -80,6 +81,21 @@ def test_dense_topk_is_exact(tables, arrays, k, prefix):
     assert result(retrieval.dense_topk(points, asked, k, prefix), name) == want
 
 
+def test_packed_vectors_give_the_same_rows(tables):
+    points, asked, name = tables
+    packed = points.select("id", pack_vector("text_dense").alias("text_dense"), pack_vector("text_sparse", "double").alias("text_sparse"))
+    for search in (retrieval.dense_topk, retrieval.sparse_topk):
+        assert result(search(packed, asked, 10), name) == result(search(points, asked, 10), name)
+    back = packed.select("id", unpack_vector("text_dense").alias("text_dense"), unpack_vector("text_sparse", "double").alias("text_sparse"))
+    assert back.exceptAll(points).count() == 0
+
+
+def test_packing_keeps_nulls_and_empty_vectors(spark):
+    df = spark.createDataFrame([(1, [1.5, -2.0]), (2, None), (3, [])], "id int, v array<float>")
+    again = df.select("id", unpack_vector(pack_vector("v")).alias("v"))
+    assert {r.id: r.v for r in again.collect()} == {1: [1.5, -2.0], 2: None, 3: []}
+
+
 def test_queries_beyond_the_bound_give_the_same_rows(tables, arrays, monkeypatch):
     points, asked, name = tables
     monkeypatch.setattr(scan, "BLOCK_BYTES", 20_000)
