@@ -74,14 +74,18 @@ def scan_binary_docs(spark: SparkSession, folder: str, suffix: str = "pdf") -> D
     return files.select(file_name("path").alias("name"), "content")
 
 
+SPREAD_BYTES_PER_CORE = 32 << 20
+
+
 def spread_small(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread an input with fewer splits than cores by key; larger inputs stay as they are.
+    """Spread an input of less than 32 MB per core by key; larger inputs stay as they are.
 
-    A single small file is one task however many cores there are. An input with enough splits,
-    so anything large, is never shuffled here.
+    A small file is often one row group, so one task however many cores there are. An input that
+    fills the cores with splits of the usual size is never shuffled here.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores, *keys) if size < cores * SPREAD_BYTES_PER_CORE else df
 
 
 def read_parquet(spark: SparkSession, path: str, *spread_by: str) -> DataFrame:
