@@ -272,9 +272,6 @@ def hybrid_search(spark, folder):
     )
 
 
-KEYWORDS = "string_split(text, ' ')"
-
-
 @query(
     "demo_search",
     f"""with {CORPUS}, asked as (select item_id as id, text, string_split(text, ' ') as words from benchmark),

@@ -8,7 +8,6 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from loomdex.functions.embedding import DENSE_SIZE, embed_text
 from loomdex.functions.text import get_cleaner
@@ -39,7 +38,7 @@ from loomdex.operators.retrieval import (
 )
 from loomdex.operators.skew import salted_join
 from loomdex.session import remove_path, scratch_path
-from loomdex.sources.collections import PAYLOAD_FIELDS, Collections, payload_type
+from loomdex.sources.collections import PAYLOAD_FIELDS, Collections
 
 MOTION_ORDER = ("geschaeft_uid", "dokument_uid")
 

@@ -37,7 +37,7 @@ def rows_of(table) -> tuple[list[str], Counter]:
 def compare(df, sql: str, con) -> str | None:
     """None when equal, else what differs."""
     got_names, got = rows_of(df.toArrow())
-    want_names, want = rows_of(con.execute(sql).to_arrow_table())
+    want_names, want = rows_of(con.sql(sql).to_arrow_table())
     if got_names != want_names:
         return f"columns {got_names} != {want_names}"
     if got == want:

@@ -28,12 +28,6 @@ def arrays():
     return points, sparse, queries, wanted
 
 
-def frame(spark, key, dense, sparse, name=str):
-    rows = [(name(i), dense[i].tolist(), sparse[i].tolist()) for i in range(len(dense))]
-    kind = "string" if name is str else "long"
-    return spark.createDataFrame(rows, f"{key} {kind}, text_dense array<float>, text_sparse array<double>")
-
-
 @pytest.fixture(scope="module", params=["long", "string"])
 def tables(request, spark, arrays):
     points, sparse, queries, wanted = arrays

@@ -17,7 +17,7 @@ def apply(spark, fn, texts):
     return [r["v"] for r in rows.select("i", fn(F.col("text")).alias("v")).orderBy("i").collect()]
 
 
-def reference_removal(text):
+def plain_removal(text):
     for pattern in t.REMOVAL_PATTERNS:
         text = re.sub(pattern, "", text, flags=re.IGNORECASE)
     return text
@@ -53,7 +53,7 @@ def test_removal_ignores_case_over_unicode(spark):
         "GESCHÄFTSNUMMER: 5", "äSP SP spé", "MOTİON moTıon", "vorſtoßart vorſtossart", "KlassiKra",
         "https://a.b/c d www.x.y z", "2021.RRGR.77 049-2022 Page 1 / 2",
     ]
-    assert apply(spark, t.remove_patterns, texts) == [reference_removal(x) for x in texts]
+    assert apply(spark, t.remove_patterns, texts) == [plain_removal(x) for x in texts]
 
 
 def test_required_literal():
@@ -75,7 +75,7 @@ word = st.sampled_from(
 @given(texts=st.lists(st.lists(word, max_size=12).map("".join), min_size=40, max_size=60))
 def test_cleaners_agree_with_plain_python(spark, texts):
     def advanced(x):
-        x = reference_removal(re.sub(r"\s+", " ", x).strip())
+        x = plain_removal(re.sub(r"\s+", " ", x).strip())
         x = re.sub(r"[^a-zA-Z0-9\s.,!?-]", "", x)
         return re.sub(r"\s+([.,!?])", r"\1", x)
 
