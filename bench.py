@@ -96,8 +96,8 @@ def main() -> None:
         asked = i.table(spark, FOLDER, "benchmark").select(F.col("item_id").alias("qid"), "text")
         drain(jobs.search_similar(store["it"], "motions", asked))
 
-    cases = {"build_index": index, "search_similar": search}
-    cases |= {n: (lambda n=n: drain(QUERIES[n](spark, FOLDER))) for n in HEADLINE}
+    cases = {n: (lambda n=n: drain(QUERIES[n](spark, FOLDER))) for n in HEADLINE}
+    cases |= {"build_index": index, "search_similar": search}
     cases = {n: run for n, run in cases.items() if not ONLY or n in ONLY}
     drain(QUERIES["tokenize"](spark, FOLDER))  # start the JVM's and the workers' engines
     times = {name: timed(run) for name, run in cases.items()}
