@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loomdex.llm import packing, suffix_dedup
+from loomdex.llm import minhash, packing, suffix_dedup, toxicity
 from loomdex.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +20,23 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _in_fold(remainder: int, n: int):
+    return F.coalesce(toxicity.remainder("doc_id", n) == remainder, F.lit(False))
+
+
+def op3_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents")).select("doc_id", "class_id", "class_size")
+
+
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    labels = table(spark, folder, "labels").where(~_in_fold(2, 4)).selectExpr("doc_id", "toxic as label")
+    scored = toxicity.score(docs, toxicity.learn(docs, labels))
+    return scored.select(
+        "doc_id", _in_fold(2, 4).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    )
+
+
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
 
@@ -28,6 +46,8 @@ def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_toxicity": op4_toxicity,
     "op7_packing": op7_packing,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
 }
