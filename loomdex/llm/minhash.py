@@ -312,3 +312,14 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         F.when(F.col("key") != none, F.col("key")).alias("doc_id"), "class_id", "class_size",
         (F.struct("key", "mark") == F.col("head")).alias("is_first"), "key", "mark",
     )
+
+
+def first_of_class(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` (any columns) that come first in their class; of equal rows, one."""
+    heads = near_duplicates(docs, threshold).where("is_first").select("key", "mark").distinct()
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("key"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark"),
+    )
+    return rows.join(heads, ["key", "mark"]).dropDuplicates(["key", "mark"]).select("row.*")

@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomdex.llm.bwt import repeated_starts
 from loomdex.llm.common import (
@@ -261,3 +262,40 @@ def remove_repeats(docs: DataFrame, least: int = LEAST, with_text: bool = False,
     joined = rows.join(spans, ["key", "mark"], "left").select("doc_id", "text", F.coalesce("spans", none).alias("spans"))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
     return joined.mapInArrow(_cut(with_text), schema)
+
+
+def _strip(batch: pa.RecordBatch) -> pa.Array:
+    """Texts of a batch without their spans; what is left of a character that was cut goes too."""
+    data, at = flat_bytes(batch.column("text"))
+    out = []
+    for i, spans in enumerate(batch.column("spans").to_pylist()):
+        text, done = data[at[i] : at[i + 1]].tobytes(), 0
+        parts = []
+        for start, end in sorted((s["start"], s["end"]) for s in spans):
+            parts.append(text[done : max(done, start)])
+            done = max(done, end)
+        out.append(b"".join([*parts, text[done:]]).decode("utf-8", "ignore"))
+    return pa.array(out, pa.string())
+
+
+def without_repeats(docs: DataFrame, least: int = LEAST, **options) -> DataFrame:
+    """``docs`` (any columns, with doc_id and text) with shorter texts; rows that lose nothing are unchanged.
+
+    Where there is a column n_chars, it is counted anew for the texts that changed.
+    """
+    spans = repeats(keyed(docs), least, **options).groupBy("key", "mark").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("key"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark"),
+    )
+    joined = rows.join(spans, ["key", "mark"], "left").select("row", F.col("row.text").alias("text"), "spans")
+    changed = joined.where("spans is not null").mapInArrow(
+        per_task(
+            lambda: lambda batch: [pa.RecordBatch.from_arrays([batch.column("row"), _strip(batch)], names=["row", "text"])]
+        ),
+        T.StructType([joined.schema["row"], joined.schema["text"]]),
+    )
+    new = {"text": F.col("text"), "n_chars": F.length("text")}
+    kept = [new[c].cast(docs.schema[c].dataType).alias(c) if c in new else F.col(f"row.`{c}`") for c in docs.columns]
+    return joined.where("spans is null").select("row.*").union(changed.select(*kept))

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomdex.llm.common import U, blocks, byte_codes, mix, per_task, texts_of, Rolling
 from loomdex.llm.words import FOLD, hashed_words
@@ -135,6 +136,13 @@ def score(docs: DataFrame, model) -> DataFrame:
     return texts_of(docs).mapInArrow(_score(sent), "doc_id long, score double")
 
 
+def scored_rows(docs: DataFrame, model) -> DataFrame:
+    """Every row of ``docs`` (any columns) as ``row``, with its score."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
+    return rows.mapInArrow(_score(sent), T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())]))
+
+
 def remainder(column: str, n: int) -> Column:
     """crc32 of the id as text, modulo n: tells the folds apart (a null id has none)."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % n
