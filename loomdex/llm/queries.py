@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomdex.llm import minhash, packing, suffix_dedup, tiling, toxicity
+from loomdex.llm import minhash, packing, seed_extend, suffix_dedup, tiling, toxicity
 from loomdex.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,10 @@ def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, folder, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return seed_extend.remove_repeats(table(spark, folder, "documents"))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = tiling.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select("row.doc_id", F.explode("matches").alias("m")).select("doc_id", "m.*")
@@ -55,6 +59,7 @@ QUERIES: dict[str, Query] = {
     "op4_toxicity": op4_toxicity,
     "op7_packing": op7_packing,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 ORACLES: dict[str, str] = {}
