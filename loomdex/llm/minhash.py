@@ -9,7 +9,7 @@
 2. Each different text gets ``BANDS`` x ``ROWS`` consistent weighted samples; samples are hashed by band. A pair
    with similarity 0.8 shares no band with probability (1 - 0.8^2)^12 = 5e-6.
 3. A band's bucket with few texts is joined into pairs. A middle one is one block of a task, which verifies likely
-   pairs until all that is near is connected. One above ``LARGE`` is split by pairs of bands; where even that
+   pairs until all that is near is connected. One above ``LARGE`` is split by the other bands; where even that
    is above ``LARGE``, it is dealt at random, otherwise in each bucket, into blocks with one common text. So no
    bucket is cut, none meets in one task and pairs never grow with the square of a group.
 4. Pairs are verified by the weighted Jaccard similarity of their whole texts, and linked texts form classes.
@@ -249,12 +249,11 @@ def _pairs(members: DataFrame) -> DataFrame:
 
 def connecting_links(nodes: DataFrame, node_texts: DataFrame, weights, threshold: float) -> DataFrame:
     """Verified links (u, v, similarity) between nodes (node, samples, bands) that connect what is near."""
-    one = keep(_sized(nodes.select("node", F.posexplode("bands").alias("i", "x")).select(F.xxhash64("i", "x").alias("bucket"), "node")), "buckets")
+    banded = nodes.select("node", F.posexplode("bands").alias("i", "x"))
+    one = keep(_sized(banded.select("i", F.xxhash64("i", "x").alias("bucket"), "node")), "buckets")
     size = F.col("size")
-    wide = nodes.join(one.where(size > LARGE).select("node").distinct(), "node", "left_semi")
-    first = wide.select("node", "bands", F.posexplode("bands").alias("i", "x"))
-    second = first.select("node", "i", "x", F.posexplode("bands").alias("j", "y")).where("i < j")
-    two = keep(_sized(second.select(F.xxhash64("i", "x", "j", "y").alias("bucket"), "node")), "buckets")
+    again = one.where(size > LARGE).select("i", "bucket", "node").join(nodes.select("node", F.posexplode("bands").alias("j", "y")), "node")
+    two = keep(_sized(again.where("i <> j").select("i", F.xxhash64("bucket", "j", "y").alias("bucket"), "node")), "buckets")
     pairs = _pairs(one.where(size <= SMALL)).union(_pairs(two.where(size <= SMALL))).distinct()
     sides = [node_texts.withColumnsRenamed({"node": x, "text": f"text_{x}"}) for x in ("u", "v")]
     verified = pairs.join(sides[1], "v").join(sides[0], "u").mapInArrow(_verify(weights, threshold), LINK)
