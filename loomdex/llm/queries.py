@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomdex.llm import minhash, packing, seed_extend, suffix_dedup, tiling, toxicity
+from loomdex.llm import minhash, multi_index, packing, seed_extend, suffix_dedup, tiling, toxicity
 from loomdex.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,11 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_inverted_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return multi_index.search(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
 
@@ -57,6 +62,7 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
 QUERIES: dict[str, Query] = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_toxicity": op4_toxicity,
+    "op5_inverted_multi_index": op5_inverted_multi_index,
     "op7_packing": op7_packing,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_substring_dedup": op9_substring_dedup,
