@@ -6,8 +6,8 @@
    other documents all of their windows are repeats.
 3. Documents are joined on anchors that have several different contents. From the anchor, each is extended
    both ways against those with a smaller id; common runs of at least ``least`` words are maximal repeats.
-4. Anchors with more than ``group`` contents would give too many pairs: their windows are counted by
-   hash over all executors instead, exactly.
+4. Anchors with more than ``PAIRS`` contents would give too many pairs: the task finds for the hash of each of
+   their windows the smallest id instead. Above ``group`` contents, all executors do so together.
 5. Repeats are merged per document, and their words go.
 
 Words are told apart by 64-bit hashes. Null texts have no words; a null id counts as larger than all others; rows with
@@ -29,7 +29,8 @@ from loomdex.llm.words import SOLID, hashed_words
 
 LEAST = 50
 GRAM = 10
-GROUP = 64
+#: Contents of an anchor that are extended against each other, and contents that one task takes.
+PAIRS, GROUP = 64, 20_000
 #: Words that a task extends at once.
 BLOCK_WORDS = 400_000
 LAST = 2**63 - 1
@@ -133,14 +134,38 @@ def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return differ.argmax(axis=1)
 
 
-def _extend(least: int, limit: int):
+def owned_windows(anchor: np.ndarray, ids: np.ndarray, size: np.ndarray, words: np.ndarray, least: int):
+    """Windows of rows that a row of the same anchor with a smaller id has: row, place and place again."""
+    count = size - least + 1
+    start = ranges(np.cumsum(size) - size, count)
+    own = np.repeat(np.arange(len(size)), count)
+    window = Rolling(words).spans(start, start + least) ^ mix(anchor.view(U))[own]
+    order = np.lexsort((ids[own], window))
+    head = np.flatnonzero(np.r_[True, window[order][1:] != window[order][:-1]])
+    least_id = np.repeat(ids[own[order[head]]], np.diff(np.r_[head, len(order)]))
+    late = np.sort(order[ids[own[order]] > least_id])
+    low = start[late] - (np.cumsum(size) - size)[own[late]]
+    return np.stack([own[late], low, low])
+
+
+def _extend(least: int, limit: int, pairs: int):
     def solve(table: pa.Table) -> pa.RecordBatch:
         lists = table.column("words").combine_chunks()
         size = np.diff(lists.offsets.to_numpy()).astype(np.int64)
         words = lists.flatten().to_numpy().view(U)
-        own, low, high = extend(
-            table.column("anchor").to_numpy(), table.column("id").to_numpy(), table.column("lead").to_numpy().astype(np.int64), size, words, least
-        )
+        anchor, ids, lead = (table.column(c).to_numpy() for c in ("anchor", "id", "lead"))
+        _, group, n = np.unique(anchor, return_inverse=True, return_counts=True)
+        found = []
+        for rows, many in ((np.flatnonzero(n[group] <= pairs), False), (np.flatnonzero(n[group] > pairs), True)):
+            if not len(rows):
+                continue
+            part = words[ranges((np.cumsum(size) - size)[rows], size[rows])]
+            if many:
+                out = owned_windows(anchor[rows], ids[rows], size[rows], part, least)
+            else:
+                out = extend(anchor[rows], ids[rows], lead[rows].astype(np.int64), size[rows], part, least)
+            found.append(np.stack([rows[out[0]], out[1], out[2]]))
+        own, low, high = np.concatenate(found, axis=1)
         out = [table.column(c).combine_chunks().take(pa.array(own)) for c in ("anchor", "content")]
         return pa.RecordBatch.from_arrays([*out, pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32))], names=["anchor", "content", "low", "high"])
 
@@ -185,7 +210,7 @@ def _windows(least: int):
     return per_task(make)
 
 
-def repeats(docs: DataFrame, least: int = LEAST, gram: int = GRAM, group: int = GROUP) -> DataFrame:
+def repeats(docs: DataFrame, least: int = LEAST, gram: int = GRAM, group: int = GROUP, pairs: int = PAIRS) -> DataFrame:
     """Spans of words (key, mark, start, end) that documents with a smaller id have too. They may overlap."""
     found = keep(segments(docs, least, gram), "segments")
     kinds = found.groupBy("anchor", "content").agg(
@@ -212,7 +237,7 @@ def repeats(docs: DataFrame, least: int = LEAST, gram: int = GRAM, group: int =
         fetched.join(large, "anchor", "left_anti")
         .repartition("anchor")
         .sortWithinPartitions("anchor", "id")
-        .mapInArrow(_extend(least, BLOCK_WORDS), "anchor long, content long, low int, high int")
+        .mapInArrow(_extend(least, BLOCK_WORDS, pairs), "anchor long, content long, low int, high int")
     )
     windows = fetched.join(large, "anchor", "left_semi").mapInArrow(
         _windows(least), "anchor long, content long, id long, low int, window long"
