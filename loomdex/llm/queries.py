@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomdex.llm import minhash, multi_index, packing, seed_extend, suffix_dedup, tiling, toxicity
+from loomdex.llm import licenses, minhash, multi_index, packing, seed_extend, suffix_dedup, tiling, toxicity
 from loomdex.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def _in_fold(remainder: int, n: int):
     return F.coalesce(toxicity.remainder("doc_id", n) == remainder, F.lit(False))
 
 
+def op2_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.licenses(table(spark, folder, "documents"))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents")).select("doc_id", "class_id", "class_size")
 
@@ -60,6 +64,7 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
 
 
 QUERIES: dict[str, Query] = {
+    "op2_license_scans": op2_license_scans,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_inverted_multi_index": op5_inverted_multi_index,
@@ -68,4 +73,4 @@ QUERIES: dict[str, Query] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_license_scans": licenses.oracle()}
