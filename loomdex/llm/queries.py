@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomdex.llm import licenses, minhash, multi_index, packing, seed_extend, suffix_dedup, tiling, toxicity
+from loomdex.llm import licenses, minhash, multi_index, packing, quality, seed_extend, suffix_dedup, tiling, toxicity
 from loomdex.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,15 @@ def _in_fold(remainder: int, n: int):
     return F.coalesce(toxicity.remainder("doc_id", n) == remainder, F.lit(False))
 
 
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    labels = table(spark, folder, "labels").where(~_in_fold(0, 5)).selectExpr("doc_id", "quality as label")
+    scored = quality.score(docs, quality.learn(docs, labels))
+    return scored.select(
+        "doc_id", _in_fold(0, 5).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted")
+    )
+
+
 def op2_license_scans(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.licenses(table(spark, folder, "documents"))
 
@@ -64,6 +73,7 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_license_scans": op2_license_scans,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_toxicity": op4_toxicity,
