@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from loomdex.session import scratch_path
 
 #: Bytes of text that one block of a task holds; a longer text is a block of its own.
-BLOCK = 1 << 22
+BLOCK = 1 << 20
 MULTIPLIER = 0x9E3779B97F4A7C15
 U = np.uint64
 
