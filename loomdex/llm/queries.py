@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomdex.llm import licenses, minhash, multi_index, packing, quality, seed_extend, suffix_dedup, tiling, toxicity
+from loomdex.llm import html_text, licenses, minhash, multi_index, packing, quality, seed_extend, suffix_dedup, tiling, toxicity
 from loomdex.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,10 @@ def op5_inverted_multi_index(spark: SparkSession, folder: str) -> DataFrame:
     return multi_index.search(vectors, vectors.where("vec_id % 50 = 0"), k=5)
 
 
+def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages"))
+
+
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
 
@@ -78,6 +82,7 @@ QUERIES: dict[str, Query] = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_inverted_multi_index": op5_inverted_multi_index,
+    "op6_html_extraction": op6_html_extraction,
     "op7_packing": op7_packing,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_substring_dedup": op9_substring_dedup,
