@@ -14,7 +14,7 @@ import time
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "1"))
+RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 ONLY = [n for n in os.environ.get("BENCH_ONLY", "").split(",") if n]
 
 HEADLINE = [
@@ -52,18 +52,21 @@ def main() -> None:
     from loomdex.catalog import QUERIES
     from loomdex.catalog import inputs as i
     from loomdex.plans import jobs
-    from loomdex.session import scratch_path
+    from loomdex.session import remove_path, scratch_path
     from loomdex.sources.collections import Collections
 
+    # one machine: a folder of its own serves as the shared one, and goes at the end
+    scratch = os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="bench-")
     spark = build_session(
         "bench",
         f"local[{CPUS}]",
         **{
             "spark.sql.shuffle.partitions": CPUS,
+            "spark.loomdex.inputPartitions": CPUS,  # each input is one small file here
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g"),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
-            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
+            "spark.checkpoint.dir": scratch,
         },
     )
     spark.sparkContext.setLogLevel("OFF")
@@ -82,6 +85,8 @@ def main() -> None:
     store: dict = {}
 
     def index() -> None:
+        if "it" in store:
+            remove_path(spark, store["it"].root)
         store["it"] = Collections(spark, scratch_path(spark, "bench-index"))
         jobs.build_index(
             store["it"], "motions", i.docs(spark, FOLDER), i.items(spark, FOLDER),
@@ -114,6 +119,7 @@ def main() -> None:
             }
         )
     )
+    remove_path(spark, scratch)
     spark.stop()
 
 

@@ -45,13 +45,13 @@ def layout_pages(spark, folder):
 @query(
     "layout_elements",
     f"""select doc, page_number, row_number() over (partition by doc, page_number order by element_id) - 1 as element_id,
- type, x1, y2, confidence from ({ELEMENTS})""",
+ type, x1, y1, x2, y2, confidence from ({ELEMENTS})""",
 )
 def layout_elements(spark, folder):
     rows = layout.layout_elements(layout.layout_pages(i.elements(spark, folder)))
     return rows.select(
         "doc", "page_number", F.col("element_id").cast("bigint").alias("element_id"), "type",
-        F.col("coordinates.x1").alias("x1"), F.col("coordinates.y2").alias("y2"), "confidence",
+        *[F.col(f"coordinates.{c}").alias(c) for c in ("x1", "y1", "x2", "y2")], "confidence",
     )
 
 

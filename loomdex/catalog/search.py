@@ -13,7 +13,7 @@ from loomdex.functions import vectors as v
 from loomdex.functions.embedding import embed_text
 from loomdex.operators import corpus, relational, retrieval
 from loomdex.plans import jobs
-from loomdex.session import scratch_path
+from loomdex.session import scratch_path, written
 from loomdex.sources.collections import Collections
 
 # The vector table has 64 dimensions, so its prefixes are shorter than those of text embeddings.
@@ -263,9 +263,9 @@ def point_rows(spark, folder):
 def hybrid_search(spark, folder):
     words = texts(spark, folder)
     entries = corpus.vocabulary_entries(corpus.build_vocabulary(words, "id"))
-    found = retrieval.hybrid_search(
-        text_points(words, entries), jobs.query_vectors(asked(spark, folder), entries)
-    )
+    # written once: value ranges, scan and payloads each read the points
+    rows = written(text_points(words, entries), "points")
+    found = retrieval.hybrid_search(rows, jobs.query_vectors(asked(spark, folder), entries))
     return found.select(
         "qid", "rank", "id", F.round("score", 6).alias("score"),
         F.col("payload.source").alias("source"), F.md5("payload.text").alias("digest"),
@@ -308,64 +308,17 @@ def _embedding_points(spark, folder, store, name):
     return store.with_ids(rows, name, "vec_id")
 
 
-def _language_store(spark, folder):
-    """One empty collection per language of the documents."""
-    store = _vector_store(spark)
-    rows = i.table(spark, folder, "documents").select("doc_id", "text", "lang")
-    payload = T.StructType([T.StructField("lang", T.StringType())])
-    langs = [r["lang"] for r in rows.select("lang").distinct().orderBy("lang").collect()]
-    for lang in langs:
-        store.create(lang, 64, 1, prefixes=(64,), payload=payload, bucket_chars=1)
-    return store, rows
-
-
-def _names(spark, names, column="collection"):
-    return spark.createDataFrame([(n,) for n in names], f"{column} string")
-
-
 @query("create_collection", "select lang as collection, count(*) as n from documents group by lang")
 def create_collection(spark, folder):
-    """One collection per language, filled with the texts of that language."""
-    store, rows = _language_store(spark, folder)
-    counted = []
-    for lang in store.list():
-        own = embed_text(rows.where(F.col("lang") == lang), dim=64)
-        own = own.withColumn("text_sparse", F.array(F.lit(0.0))).withColumn("payload", F.struct("lang"))
-        store.upsert(lang, store.with_ids(own, lang, "doc_id"))
-        stored = store.points(lang).groupBy(F.lit(lang).alias("collection"))
-        counted.append(stored.agg(F.count(F.lit(1)).alias("n")))
-    return retrieval.branch_union(counted)
-
-
-@query("list_collections", "select distinct lang as collection from documents")
-def list_collections(spark, folder):
-    store, _ = _language_store(spark, folder)
-    return _names(spark, store.list())
-
-
-@query(
-    "delete_collection",
-    "select distinct lang as collection from documents where lang <> (select min(lang) from documents)",
-)
-def delete_collection(spark, folder):
-    """The first collection goes; a second attempt finds nothing to drop."""
-    store, _ = _language_store(spark, folder)
-    first = store.list()[0]
-    if not store.delete(first) or store.delete(first):
-        raise AssertionError("a collection must be dropped exactly once")
-    return _names(spark, store.list())
-
-
-@query(
-    "collection_exists",
-    """select distinct source as name, source in (select lang from documents) as present from documents
- union select distinct lang, true from documents""",
-)
-def collection_exists(spark, folder):
-    store, rows = _language_store(spark, folder)
-    documents = i.table(spark, folder, "documents")
-    names = documents.select(F.col("source").alias("name")).union(rows.select("lang")).distinct()
-    return names.withColumn("present", F.col("name").isin(store.list()))
+    """A new collection of all documents, counted by the language in their payload."""
+    store = _vector_store(spark)
+    payload = T.StructType([T.StructField("lang", T.StringType())])
+    store.create("texts", 64, 1, prefixes=(64,), payload=payload, bucket_chars=1)
+    rows = embed_text(i.table(spark, folder, "documents").select("doc_id", "text", "lang"), dim=64)
+    rows = rows.withColumn("text_sparse", F.array(F.lit(0.0))).withColumn("payload", F.struct("lang"))
+    store.upsert("texts", store.with_ids(rows, "texts", "doc_id"))
+    stored = store.points("texts").groupBy(F.col("payload.lang").alias("collection"))
+    return stored.agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
@@ -432,14 +385,12 @@ def _built(spark, folder):
     return store
 
 
-@query(
-    "build_index",
-    f"""with {STORED}, {q.vocabulary_ctes(256, True)}, {q.sparse_ctes('stored', '', 'v.idf')}
+INDEXED = f"""with {STORED}, {q.vocabulary_ctes(256, True)}, {q.sparse_ctes('stored', '', 'v.idf')}
  select s.id as dokument_uid, geschaeft_uid, {FIELDS}, url, md5(text) as digest, round(list_sum(w), 5) as weight
- from stored s join sp on sp.id = s.id""",
-)
-def build_index(spark, folder):
-    store = _built(spark, folder)
+ from stored s join sp on sp.id = s.id"""
+
+
+def _stored(store):
     weight = F.aggregate("text_sparse", F.lit(0.0), lambda a, x: a + x)
     return store.read("motions").select(
         "payload.dokument_uid", "payload.geschaeft_uid", "payload.title", "payload.beschluss",
@@ -447,6 +398,21 @@ def build_index(spark, folder):
     )
 
 
+@query("build_index", INDEXED)
+def build_index(spark, folder):
+    return _stored(_built(spark, folder))
+
+
+@query("append_index", INDEXED)
+def append_index(spark, folder):
+    """Built from half of the documents, then from all, the index is as if built once."""
+    store = Collections(spark, scratch_path(spark, "index"))
+    docs, items, content = i.docs(spark, folder), i.items(spark, folder), i.doc_content(spark, folder)
+    for part in (docs.where("cast(dokument_uid as bigint) % 2 = 0"), docs):
+        jobs.build_index(store, "motions", part, items, content, extractor="text", bucket_chars=1)
+    return _stored(store)
+
+
 # Ids of stored points are digests of collection, item and document.
 SEARCHED = f"""with {STORED}, {ASKED},
  keyed as (select *, sha256('motions' || chr(31) || coalesce(geschaeft_uid, '') || chr(31) || id) as pid from stored),

@@ -39,27 +39,34 @@ def write_csv(spark, folder):
     return readers.scan_csv(spark, path, readers.DOCUMENT_SCHEMA)
 
 
+def _one_file_each(spark, folder):
+    """A text file for each source: its texts by id, line by line."""
+    path = scratch_path(spark, "texts")
+    rows = i.table(spark, folder, "documents").repartition("source").sortWithinPartitions("source", "doc_id")
+    rows.select("text", "source").write.partitionBy("source").option("maxRecordsPerFile", 0).text(path)
+    return path
+
+
+BY_SOURCE = "string_agg(text || chr(10), '' order by doc_id)"
+
+
 @query(
     "scan_text_files",
-    "select cast(sum(length(text) + 1) as bigint) as characters from documents",
+    f"select source, md5({BY_SOURCE}) as digest, length({BY_SOURCE}) as characters from documents group by source",
 )
 def scan_text_files(spark, folder):
-    """Every character of the documents comes back from whole text files."""
-    path = scratch_path(spark, "texts")
-    i.table(spark, folder, "documents").select("text").write.text(path)
-    files = readers.scan_text_files(spark, path)
-    return files.agg(F.sum(F.length("text")).alias("characters"))
+    """Every file comes back whole, with the key of its folder."""
+    files = readers.scan_text_files(spark, _one_file_each(spark, folder), keys=["source"])
+    return files.select("source", F.md5("text").alias("digest"), F.length("text").cast("bigint").alias("characters"))
 
 
 @query(
     "scan_binary_docs",
-    "select cast(sum(strlen(text) + 1) as bigint) as bytes from documents",
+    f"select source, md5({BY_SOURCE}) as digest, strlen({BY_SOURCE}) as bytes from documents group by source",
 )
 def scan_binary_docs(spark, folder):
-    path = scratch_path(spark, "binaries")
-    i.table(spark, folder, "documents").select("text").write.text(path)
-    files = readers.scan_binary_docs(spark, path, "txt")
-    return files.agg(F.sum(F.octet_length("content")).alias("bytes"))
+    files = readers.scan_binary_docs(spark, _one_file_each(spark, folder), "txt", keys=["source"])
+    return files.select("source", F.md5("content").alias("digest"), F.octet_length("content").cast("bigint").alias("bytes"))
 
 
 @query("sample_head", "select doc_id, lang, source from documents order by doc_id limit 5")

@@ -165,6 +165,21 @@ def extract_dedup_job(spark, folder):
     return deduped(spark, folder).drop("content")
 
 
+# Several documents belong to one motion.
+SHARED_SQL = CONTENT.replace("select page_id as motion_id", "select page_id % 40 as motion_id")
+SHARED = f"""select {RESULT.replace('status', "case when status = 'success' and r > 1 then 'duplicate' else status end as status")}
+ from (select *, row_number() over (partition by status = 'success', {q.basic("coalesce(text, '')")} order by cast(motion_id as bigint), url) as r
+ from ({EXTRACTED.replace(CONTENT, TWICE.replace("motion_id + 1000000000 as motion_id, url", "motion_id, url || '#again' as url").replace("{src}", SHARED_SQL))}))"""
+
+
+@query("extract_dedup_shared", SHARED)
+def extract_dedup_shared(spark, folder):
+    """Documents of shared motions, each landed under two addresses."""
+    once = i.content(spark, folder).withColumn("motion_id", F.col("motion_id") % 40)
+    twice = once.unionAll(once.withColumn("url", F.concat("url", F.lit("#again"))))
+    return jobs.extract_dedup_job(twice).drop("content")
+
+
 @query("status_summary", f"select status, count(*) as n from ({DEDUPED}) group by status")
 def status_summary(spark, folder):
     return duplicates.status_summary(deduped(spark, folder))

@@ -6,12 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from loomdex.functions.embedding import vocabulary_weights
 from loomdex.functions.text import keyword_lower, tokenize
 
-VOCABULARY_LIMIT = 8_192
 IDF_EPSILON = 0.25
 
 
@@ -19,17 +17,6 @@ def with_tokens(df: DataFrame, text: str = "text", out: str = "tokens") -> DataF
     return df.withColumn(out, tokenize(text))
 
 
-def _order_value(df: DataFrame, key: str, pos: Column) -> Column:
-    """Comparable (key, position). One decimal for whole-number keys: it can be updated in place,
-    so the aggregate hashes; a struct would make Spark sort every exploded token instead."""
-    if isinstance(df.schema[key].dataType, T.IntegralType):
-        wide = "decimal(38,0)"
-        return F.col(key).cast("decimal(20,0)").cast(wide) * F.lit(2**31).cast("decimal(10,0)") + pos.cast(
-            "decimal(10,0)"
-        )
-    return F.struct(F.col(key), pos)
-
-
 def token_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     """Term frequency over the corpus."""
     exploded = df.select(F.explode(tokens).alias("token"))
@@ -42,21 +29,15 @@ def document_frequency(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     return exploded.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
 
 
-def token_statistics(df: DataFrame, key: str, tokens: str = "tokens") -> DataFrame:
-    """(token, n, df, first_seen) in one scan and one shuffle of combined rows."""
-    both = df.select(key, F.array_distinct(tokens).alias("_once"), F.col(tokens).alias("_all"))
+def token_statistics(df: DataFrame, tokens: str = "tokens") -> DataFrame:
+    """(token, n, df) in one scan and one shuffle of combined rows."""
+    both = df.select(F.array_distinct(tokens).alias("_once"), F.col(tokens).alias("_all"))
     exploded = both.select(
-        key,
         F.size("_once").alias("_n_once"),
         F.posexplode(F.concat("_once", "_all")).alias("pos", "token"),
     )
-    # the distinct tokens lead the list, in the order of their first use
     once = F.col("pos") < F.col("_n_once")
-    return exploded.groupBy("token").agg(
-        F.count_if(~once).alias("n"),
-        F.count_if(once).alias("df"),
-        F.min(_order_value(df, key, F.col("pos"))).alias("first_seen"),
-    )
+    return exploded.groupBy("token").agg(F.count_if(~once).alias("n"), F.count_if(once).alias("df"))
 
 
 def vocabulary_topk(
@@ -66,18 +47,20 @@ def vocabulary_topk(
 
     With ``pad`` the list is filled up with empty tokens to exactly ``cap`` rows.
     """
-    exploded = df.select(key, F.posexplode(tokens).alias("pos", "token"))
-    counted = exploded.groupBy("token").agg(
-        F.count(F.lit(1)).alias("n"), F.min(_order_value(df, key, F.col("pos"))).alias("first_seen")
-    )
-    return _ranked(counted, cap, pad)
-
-
-def _ranked(counted: DataFrame, cap: int, pad: bool, *extra: str) -> DataFrame:
-    if not 0 < cap <= VOCABULARY_LIMIT:
-        raise ValueError(f"vocabulary cap must be between 1 and {VOCABULARY_LIMIT}")
+    return _ranked(df, key, tokens, token_counts(df, tokens), cap, pad)
+
+
+def _ranked(df: DataFrame, key: str, tokens: str, counted: DataFrame, cap: int, pad: bool, *extra: str) -> DataFrame:
+    """The first ``cap`` tokens by count. Where a token was seen first matters only to those with the count of
+    the last one that gets in, so first uses are looked up for these tokens alone."""
+    if cap < 1:
+        raise ValueError("vocabulary cap must be positive")
+    cut = counted.orderBy(F.desc("n")).limit(cap).agg(F.min("n")).scalar()
+    reached = counted.where(F.col("n") >= cut)
+    uses = df.select(key, F.posexplode(F.array_distinct(tokens)).alias("pos", "token"))
+    first = uses.join(reached.select("token"), "token").groupBy("token").agg(F.min(F.struct(key, "pos")).alias("first_seen"))
     order = [F.desc("n"), F.asc("first_seen")]
-    top = counted.orderBy(*order).limit(cap)
+    top = reached.join(first, "token").orderBy(*order).limit(cap)
     # at most `cap` rows are left here, so one task is enough to number them
     vocab = top.select(
         (F.row_number().over(Window.orderBy(*order)) - 1).cast("bigint").alias("idx"),
@@ -91,7 +74,7 @@ def _ranked(counted: DataFrame, cap: int, pad: bool, *extra: str) -> DataFrame:
 def vocabulary_padding(vocab: DataFrame, cap: int) -> DataFrame:
     """Exactly ``cap`` rows: missing positions get the empty token with count 0."""
     slots = vocab.sparkSession.range(cap).withColumnRenamed("id", "idx")
-    padded = slots.join(F.broadcast(vocab), "idx", "left")
+    padded = slots.join(vocab, "idx", "left")
     fills = {"token": "", "n": 0, "idf": 0.0}
     return padded.select(
         "idx",
@@ -131,13 +114,12 @@ def build_vocabulary(
     epsilon: float = IDF_EPSILON,
 ) -> DataFrame:
     """Vocabulary with weights (idx, token, n, idf) from one pass over the corpus."""
-    stats = token_statistics(df, key, tokens)
+    stats = token_statistics(df, tokens)
     n_docs = df.agg(F.count(F.lit(1))).scalar()
     raw = F.ln(n_docs - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5)
     # naming every column keeps this aggregate identical to the one below, so Spark runs it once
-    counted = (F.col("n") > 0) & F.col("first_seen").isNotNull()
-    mean = stats.agg(F.avg(F.when(counted, raw))).scalar()
-    return _ranked(bm25_idf(stats, n_docs, epsilon, mean), cap, pad, "idf")
+    mean = stats.agg(F.avg(F.when(F.col("n") > 0, raw))).scalar()
+    return _ranked(df, key, tokens, bm25_idf(stats, n_docs, epsilon, mean), cap, pad, "idf")
 
 
 def vocab_membership_join(
@@ -145,11 +127,12 @@ def vocab_membership_join(
 ) -> DataFrame:
     """Postings (key, idx, weight): distinct document tokens that the vocabulary holds.
 
-    The vocabulary has at most ``cap`` rows and is broadcast; padding entries never match.
+    Padding entries never match. Spark broadcasts a vocabulary that is small enough and shuffles a larger one, so
+    this is the form for vocabularies whose weights don't fit in an array for each document.
     """
     exploded = df.select(key, F.explode(F.array_distinct(tokens)).alias("token"))
     known = vocab.where(F.col("token") != "").select("token", "idx", F.col("idf").alias("weight"))
-    return exploded.join(F.broadcast(known), "token").select(key, "idx", "weight")
+    return exploded.join(known, "token").select(key, "idx", "weight")
 
 
 def query_vocab_join(
@@ -165,12 +148,10 @@ def query_vocab_join(
 
 
 def vocabulary_entries(vocab: DataFrame | Sequence[tuple[str, float]]) -> list[tuple[str, float]]:
-    """The vocabulary as a list of (token, idf) in order: never more than VOCABULARY_LIMIT rows."""
+    """The vocabulary as a list of (token, idf) in order: as many rows as the cap it was built with."""
     if not isinstance(vocab, DataFrame):
         return list(vocab)
-    rows = vocab.select("idx", "token", "idf").limit(VOCABULARY_LIMIT + 1).collect()
-    if len(rows) > VOCABULARY_LIMIT:
-        raise ValueError(f"vocabulary holds more than {VOCABULARY_LIMIT} tokens")
+    rows = vocab.select("idx", "token", "idf").collect()
     return [(r["token"], float(r["idf"])) for r in sorted(rows, key=lambda r: r["idx"])]
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,26 +52,28 @@ def dedup_clean_text(
 ) -> DataFrame:
     """Turn ``success`` into ``duplicate`` where an earlier key has the same cleaned text.
 
-    ``key`` must identify a row. The lowest key of each text is found by a combined aggregate over
-    (hash, key) alone; the verdict is joined back on the key, which is unique, so a text with any
-    number of copies loads no single task. The original text is kept in both cases.
+    ``key`` names a row among those of one text; rows equal in key and text raise an error, as none of
+    them comes first. Repeats are found on (digest, key) alone by combined aggregates, so a text with any number of
+    copies loads no single task, and only the narrow list of repeats is joined back, on key and
+    digest. The original text is kept in all cases.
     """
     keys = [key] if isinstance(key, str) else list(key)
     eligible = (F.col(status) == "success") & F.col(text).isNotNull()
-    digest = F.sha2(get_cleaner(cleaner)(F.col(text)), 256)
-    # rows that do not take part share the null digest; a filter would be pushed down to the source
-    # and repeat the work behind text and status there
-    hashed = df.select(*keys, F.when(eligible, digest).alias("_digest"))
-    lowest = F.min(keys[0]) if len(keys) == 1 else F.min(F.struct(*keys))
-    firsts = hashed.groupBy("_digest").agg(lowest.alias("_first"))
-    picked = [F.col("_first")] if len(keys) == 1 else [F.col(f"_first.{k}") for k in keys]
-    keepers = firsts.select(
-        *[c.alias(f"_keep_{i}") for i, c in enumerate(picked)], F.lit(True).alias("_kept")
+    marked = df.withColumn("_digest", F.when(eligible, F.sha2(get_cleaner(cleaner)(F.col(text)), 256)))
+    named = F.struct(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    counted = marked.groupBy(F.col("_digest").alias("_text"), named.alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    firsts = counted.groupBy("_text").agg(F.min("_key").alias("_first"))
+    twice = F.raise_error(F.concat(F.lit("rows repeat in key and text: "), F.to_json("_key")))
+    checked = F.when(F.col("_n") > 1, twice.cast("boolean")).otherwise(True)
+    repeats = counted.join(firsts, "_text").where(checked & (F.col("_key") != F.col("_first")))
+    listed = repeats.select("_text", *[F.col(f"_key._k{i}").alias(f"_k{i}") for i in range(len(keys))])
+    condition = reduce(
+        lambda a, b: a & b,
+        [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)],
+        F.col("_digest") == F.col("_text"),
     )
-    condition = [df[k].eqNullSafe(keepers[f"_keep_{i}"]) for i, k in enumerate(keys)]
-    flagged = df.join(keepers, condition, "left").withColumn(
-        status,
-        F.when(eligible & F.col("_kept").isNull(), F.lit("duplicate")).otherwise(F.col(status)),
+    flagged = marked.join(listed, condition, "left").withColumn(
+        status, F.when(F.col("_text").isNotNull(), F.lit("duplicate")).otherwise(F.col(status))
     )
     return flagged.select(*df.columns)
 

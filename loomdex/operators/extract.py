@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import io
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -32,33 +31,10 @@ def _html(content: Column) -> Column:
     return html_to_text(_utf8(content))
 
 
-def _pdf_with_pdfminer(data: bytes) -> str | None:
-    from pdfminer.high_level import extract_text
-
-    return extract_text(io.BytesIO(data))
-
-
-def _pdf_with_pdfplumber(data: bytes) -> str | None:
-    import pdfplumber
-
-    with pdfplumber.open(io.BytesIO(data)) as pdf:
-        return "".join(page.extract_text() + "\n" for page in pdf.pages)
-
-
-def _pdf_with_pypdf2(data: bytes) -> str | None:
-    import PyPDF2
-
-    return "".join(p.extract_text() + "\n" for p in PyPDF2.PdfReader(io.BytesIO(data)).pages)
-
-
 # Extractors over a binary Column, evaluated in the JVM.
 COLUMN_EXTRACTORS: dict[str, Callable[[Column], Column]] = {"html": _html, "text": _utf8}
-# Extractors from bytes to text, run on Arrow batches; each needs its library on the executors.
-BYTE_EXTRACTORS: dict[str, Callable[[bytes], str | None]] = {
-    "pdfminer": _pdf_with_pdfminer,
-    "pdfplumber": _pdf_with_pdfplumber,
-    "pypdf2": _pdf_with_pypdf2,
-}
+# Registered extractors from bytes to text, run on Arrow batches.
+BYTE_EXTRACTORS: dict[str, Callable[[bytes], str | None]] = {}
 
 
 def register_extractor(name: str, extractor: Callable[[bytes], str | None]) -> None:

@@ -17,12 +17,12 @@ from loomdex.functions.vectors import (
     vector_prefix,
 )
 from loomdex.operators.relational import top_per_group
-from loomdex.operators.scan import Branch, Stage, branch_columns, branch_scan, hold_queries
+from loomdex.operators.scan import Branch, Stage, branch_scan
+from loomdex.session import written
 
 DENSE = "text_dense"
 SPARSE = "text_sparse"
 SCORE_DIGITS = 9
-PAYLOAD_BROADCAST_ROWS = 1_000_000
 Bounds = Mapping[int, tuple[float, float]]
 
 
@@ -173,24 +173,17 @@ def rrf_fusion(
 
 
 def payload_attach(
-    hits: DataFrame,
-    points: DataFrame,
-    max_hits: int | None = None,
-    payload: str = "payload",
-    bucket_chars: int = 0,
+    hits: DataFrame, points: DataFrame, payload: str = "payload", bucket_chars: int = 0
 ) -> DataFrame:
-    """Attach payloads to final hits. When ``max_hits``, the most rows the hits can have, is
-    small, they are broadcast and the payload table is read without a shuffle."""
-    small = max_hits is not None and max_hits <= PAYLOAD_BROADCAST_ROWS
-    side = F.broadcast(hits) if small else hits
-    keys = ["id"]
-    stored = ["id", payload]
+    """Attach payloads to final hits.
+
+    Hits that were written first have a known size, by which Spark decides whether to broadcast
+    them. The storage partition follows from the id, so only the hits' partitions are read then.
+    """
     if bucket_chars and "id_bucket" in points.columns:
-        # the storage partition follows from the id, so only the hits' partitions are read
         bucketed = hits.withColumn("id_bucket", F.substring("id", 1, bucket_chars))
-        side = F.broadcast(bucketed) if small else bucketed
-        keys, stored = ["id_bucket", "id"], ["id_bucket", "id", payload]
-    return points.select(*stored).join(side, keys).drop("id_bucket")
+        return points.select("id_bucket", "id", payload).join(bucketed, ["id_bucket", "id"]).drop("id_bucket")
+    return points.select("id", payload).join(hits, "id")
 
 
 def unit_prefix(vector, n: int):
@@ -263,7 +256,8 @@ def hybrid_search(
     """Fuse cascade, dense and sparse rankings of every query; one scan serves all three.
 
     Returns (qid, id, score, rank) and, with ``with_payload``, the payload of each hit.
-    Quantised stages of the preset measure their value range unless ``bounds`` gives it.
+    Quantised stages of the preset measure their value range unless ``bounds`` gives it, which is one more
+    scan. ``points`` are read up to three times in all, so write them first where they are costly to make.
     """
     p = get_preset(preset)
     limit = p.default_limit if limit is None else limit
@@ -271,11 +265,8 @@ def hybrid_search(
         raise ValueError("limit must be positive")
     if p.quantised and bounds is None:
         bounds = bounds_dict(int8_bounds(points, p.quantised))
-    branches = hybrid_branches(limit, p, bounds)
-    held = hold_queries(queries, branch_columns(branches))
-    found = branch_scan(points, queries, branches, SCORE_DIGITS, held=held, **options)
+    found = branch_scan(points, queries, hybrid_branches(limit, p, bounds), SCORE_DIGITS, **options)
     fused = rrf_fusion(found, k, limit)
     if not with_payload:
         return fused
-    most = None if held is None else held.num_rows * limit
-    return payload_attach(fused, points, most).select("qid", "rank", "id", "score", "payload")
+    return payload_attach(written(fused, "hits"), points).select("qid", "rank", "id", "score", "payload")

@@ -2,14 +2,15 @@
 
 The points are read once. Each task holds the query matrix, scores whole Arrow batches with matrix
 products and keeps only the best rows per query, so what is shuffled is (queries x limit) rows per
-task and not one row per pair. Queries that are too large to hand to every task take a second
-path that shuffles bounded blocks of both sides against each other.
+task and not one row per pair. The scan runs in few long tasks. Queries are handed to the tasks in
+blocks of bounded size, each in a scan of its own; the points are never moved.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,9 +20,9 @@ from pyspark.sql import types as T
 
 from loomdex.functions.vectors import INT8_LEVELS
 
-QUERY_ROWS = 8192  # most queries that are held in memory and broadcast to every task
-QUERY_BYTES = 128 << 20  # and the most bytes they may take
-BLOCK_BYTES = 64 << 20  # size of one block of points on the shuffled path
+QUERY_ROWS = 8192  # queries of one block, which is held in memory and broadcast to every task
+QUERY_BYTES = 128 << 20  # and the bytes that they may take
+TASKS_PER_SLOT = 4  # tasks of a scan for each slot of the cluster
 SCORE_CELLS = 4_000_000  # scores held at a time
 MERGE_SALTS = 32
 
@@ -71,19 +72,23 @@ def _stage_matrix(matrix: np.ndarray, stage: Stage, metric: str, is_point: bool)
     return _unit(part)
 
 
-def _stage_scores(
-    matrix: np.ndarray, stage: Stage, metric: str, queries: np.ndarray, digits: int
-) -> np.ndarray:
-    """Scores of all rows against a block of scaled queries. Whole rows are not scaled for it: it is
-    cheaper to divide the products by the norms."""
+def _scored_by(matrix: np.ndarray, stage: Stage, metric: str) -> tuple[np.ndarray, np.ndarray | None]:
+    """What a batch is multiplied by, and the norms to divide the products by; made once for a batch.
+    Whole rows are not scaled: it is cheaper to divide the products."""
     if metric == "dot" or stage.bounds is not None:
-        score = _stage_matrix(matrix, stage, metric, True) @ queries.T
-    else:
-        part = (matrix if stage.dims is None else matrix[:, : stage.dims]).astype(np.float64)
-        norms = np.sqrt(np.einsum("ij,ij->i", part, part))[:, None]
-        score = part @ queries.T
+        return _stage_matrix(matrix, stage, metric, True), None
+    part = (matrix if stage.dims is None else matrix[:, : stage.dims]).astype(np.float64)
+    return part, np.sqrt(np.einsum("ij,ij->i", part, part))[:, None]
+
+
+def _stage_scores(part: np.ndarray, norms: np.ndarray | None, queries: np.ndarray, digits: int) -> np.ndarray:
+    """Scores of all rows against a block of scaled queries. What has no finite score takes no part."""
+    score = part @ queries.T
+    if norms is not None:
         np.divide(score, norms, out=score, where=norms > 0)
-    return np.round(score, digits, out=score) + 0.0  # -0.0 and 0.0 are the same score
+    score = np.round(score, digits, out=score) + 0.0  # -0.0 and 0.0 are the same score
+    score[~np.isfinite(score)] = -np.inf
+    return score
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray, dim: int | None = None) -> np.ndarray:
@@ -91,7 +96,12 @@ def _matrix(column: pa.Array | pa.ChunkedArray, dim: int | None = None) -> np.nd
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     n = len(column)
+    if column.null_count:
+        raise ValueError("a vector is null")
     if pa.types.is_list(column.type) or pa.types.is_large_list(column.type):
+        sizes = np.diff(column.offsets.to_numpy())
+        if n and (sizes != (sizes[0] if dim is None else dim)).any():
+            raise ValueError("vectors of one column must have equal lengths")
         flat = column.flatten().to_numpy(zero_copy_only=False)
     else:
         data = _bytes_of(column)
@@ -99,8 +109,6 @@ def _matrix(column: pa.Array | pa.ChunkedArray, dim: int | None = None) -> np.nd
         if width not in (4, 8) or n * dim * width != len(data):
             raise ValueError(f"packed vectors do not hold {dim} numbers each")
         flat = np.frombuffer(data, dtype="<f4" if width == 4 else "<f8")
-    if n and len(flat) % n:
-        raise ValueError("vectors of one column must have equal lengths")
     return flat.reshape(n, len(flat) // max(n, 1))
 
 
@@ -131,9 +139,10 @@ class _Best:
         are the ones to keep; ``ids`` are in that order."""
         n, step = len(ids), max(1, SCORE_CELLS // max(len(ids), 1))
         rows, queries, firsts = [], [], []
+        part, norms = _scored_by(matrix, self.branch.stages[0], self.branch.metric)
         for start in range(0, len(self.floor), step):
             block = self.parts[0][start : start + step]
-            score = _stage_scores(matrix, self.branch.stages[0], self.branch.metric, block, self.digits)
+            score = _stage_scores(part, norms, block, self.digits)
             if not self.branch.keep_zero:
                 score[score == 0] = -np.inf
             threshold = self.floor[start : start + step].copy()
@@ -145,9 +154,9 @@ class _Best:
             keep &= score > -np.inf
             crowded = np.nonzero(keep.sum(axis=0) > self.limit)[0]
             if len(crowded):
-                part, limit = score[:, crowded], threshold[crowded]
-                room = self.limit - (part > limit).sum(axis=0)
-                tie = part == limit
+                many, limit = score[:, crowded], threshold[crowded]
+                room = self.limit - (many > limit).sum(axis=0)
+                tie = many == limit
                 keep[:, crowded] &= ~(tie & (np.cumsum(tie, axis=0) > room))
             r, q = np.nonzero(keep)
             rows.append(r)
@@ -171,9 +180,17 @@ class _Best:
                 part = slice(s, s + 50_000)
                 pair = np.einsum("ij,ij->i", points[where[part]], self.parts[i][queries[part]])
                 scores[part, i] = np.round(pair, self.digits) + 0.0
-        q = np.concatenate([self.q, queries])
-        names = ids[rows] if self.ids is None else np.concatenate([self.ids, ids[rows]])
-        scores = np.concatenate([self.scores, scores])
+        scores[~np.isfinite(scores)] = -np.inf
+        q, names = queries, ids[rows]
+        rest = np.zeros(0, bool)
+        if self.ids is not None:
+            # only the queries that gained a row are ranked again
+            gained = np.zeros(len(self.floor), bool)
+            gained[queries] = True
+            rest = ~gained[self.q]
+            q = np.concatenate([self.q[~rest], q])
+            names = np.concatenate([self.ids[~rest], names])
+            scores = np.concatenate([self.scores[~rest], scores])
         by_rank = np.lexsort((names, -scores[:, 0], q))
         q, names, scores = q[by_rank], names[by_rank], scores[by_rank]
         starts = np.searchsorted(q, q, side="left")
@@ -181,12 +198,19 @@ class _Best:
         keep = rank < self.limit
         full = rank == self.limit - 1
         self.floor[q[full]] = scores[full, 0]
-        self.q, self.ids, self.scores = q[keep], names[keep], scores[keep]
+        q, names, scores = q[keep], names[keep], scores[keep]
+        if rest.any():
+            q = np.concatenate([self.q[rest], q])
+            names = np.concatenate([self.ids[rest], names])
+            scores = np.concatenate([self.scores[rest], scores])
+        self.q, self.ids, self.scores = q, names, scores
 
 
 def _sorted_ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    if column.null_count:
+        raise ValueError("a point has no id")
     ids = column.to_numpy(zero_copy_only=False)
     if ids.dtype == object:
         ids = ids.astype(str)
@@ -212,25 +236,24 @@ def _result(best: Sequence[_Best], qids: pa.Array, schema: pa.Schema) -> Iterato
 def _score_batches(
     batches: Iterator[pa.RecordBatch],
     branches: Sequence[Branch],
-    qids: pa.Array,
-    matrices: dict[str, np.ndarray],
+    asked: dict[str, tuple[pa.Array, np.ndarray]],
     schema: pa.Schema,
     digits: int,
 ) -> Iterator[pa.RecordBatch]:
-    best = [_Best(b, matrices[b.column], digits) for b in branches]
+    """``asked`` has the ids and vectors of the queries by column; a row without a vector is left out of the
+    branches over that column only."""
+    best = [_Best(b, asked[b.column][1], digits) for b in branches if len(asked[b.column][0])]
     for batch in batches:
-        for b in best:
-            batch = batch.filter(batch.column(b.branch.column).is_valid())
-        if not batch.num_rows:
-            continue
-        ids, order = _sorted_ids(batch.column("id"))
-        cache: dict[str, np.ndarray] = {}
+        cache: dict[str, tuple] = {}
         for b in best:
             column = b.branch.column
             if column not in cache:
-                cache[column] = _matrix(batch.column(column), matrices[column].shape[1])
-            b.add(ids, order, cache[column])
-    yield from _result(best, qids, schema)
+                own = batch.filter(batch.column(column).is_valid())
+                cache[column] = (*_sorted_ids(own.column("id")), _matrix(own.column(column), asked[column][1].shape[1]))
+            if len(cache[column][0]):
+                b.add(*cache[column])
+    for b in best:
+        yield from _result([b], asked[b.branch.column][0], schema)
 
 
 def _spark_schema(points: DataFrame, queries: DataFrame, depth: int) -> T.StructType:
@@ -249,14 +272,6 @@ def _arrow_schema(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
-def hold_queries(
-    queries: DataFrame, columns: Sequence[str], max_rows: int = QUERY_ROWS
-) -> pa.Table | None:
-    """The query vectors as one Arrow table, or None when there are more than the bounds allow."""
-    held = queries.select("qid", *columns).limit(max_rows + 1).toArrow()
-    return held if held.num_rows <= max_rows and held.nbytes <= QUERY_BYTES else None
-
-
 def branch_columns(branches: Sequence[Branch]) -> list[str]:
     return sorted({b.column for b in branches})
 
@@ -267,75 +282,50 @@ def branch_scan(
     branches: Sequence[Branch],
     digits: int = 9,
     max_queries: int = QUERY_ROWS,
-    held: pa.Table | None = None,
 ) -> DataFrame:
-    """Ranked rows (branch, qid, id, score, rank) of every branch from one scan of the points.
+    """Ranked rows (branch, qid, id, score, rank) of every branch from one scan of the points for each
+    block of queries.
 
     ``points`` has ``id`` and the vector columns, as arrays or packed; ``queries`` has ``qid`` and
-    array columns of the same names. Points without a vector take no part. Scores are rounded to ``digits`` places before
-    ranking and equal scores are ordered by id, so results do not depend on partitioning.
+    array columns of the same names. A point or query without a vector takes no part in the branches over it, nor do
+    vectors whose score is not finite; vectors of unequal length and points without an id raise an error. Scores are
+    rounded to ``digits`` places before ranking and equal scores are ordered by id, so results do not depend on
+    partitioning.
     """
     columns = branch_columns(branches)
     depth = max(len(b.stages) for b in branches)
-    present = points.select("id", *columns)
     schema = _spark_schema(points, queries, depth)
-    if held is None:
-        held = hold_queries(queries, columns, max_queries)
-    if held is None:
-        asked = queries.select("qid", *columns)
-        found = _scan_in_blocks(present, asked, branches, columns, schema, digits, max_queries)
-    elif held.num_rows == 0:
-        found = points.sparkSession.createDataFrame([], schema)
-    else:
-        found = _scan_with_held_queries(present, held, branches, columns, schema, digits)
-    return _finish(found, branches, depth)
-
-
-def _scan_with_held_queries(present, held, branches, columns, schema, digits) -> DataFrame:
-    matrices = {c: _matrix(held.column(c)) for c in columns}
-    qids = held.column("qid").combine_chunks()
-    sc = present.sparkSession.sparkContext
-    shared = sc.broadcast((qids, matrices))
+    sc = points.sparkSession.sparkContext
+    # few, long tasks: each gives queries x limit rows, however much it has read
+    present = points.select("id", *columns).coalesce(TASKS_PER_SLOT * sc.defaultParallelism)
+    asked = queries.select("qid", *columns)
+    size = asked.agg(F.count(F.lit(1)).alias("n"), *[F.max(F.size(c)).alias(c) for c in columns]).first()
+    per_block = max(1, min(max_queries, QUERY_BYTES // (8 * max(1, sum(size[c] or 0 for c in columns)))))
+    n_blocks = -(-size["n"] // per_block)
+    found = [
+        _scan(present, asked.where(F.pmod(F.xxhash64("qid"), F.lit(n_blocks)) == k), branches, columns, schema, digits)
+        for k in range(n_blocks)
+    ]
+    if not found:
+        found = [points.sparkSession.createDataFrame([], schema)]
+    return _finish(reduce(DataFrame.union, found), branches, depth)
+
+
+def _scan(present, asked, branches, columns, schema, digits) -> DataFrame:
+    held = asked.toArrow()  # a block, bounded in rows and bytes
+    vectors = {}
+    for c in columns:
+        own = held.filter(held.column(c).is_valid())
+        vectors[c] = own.column("qid").combine_chunks(), _matrix(own.column(c))
+    shared = present.sparkSession.sparkContext.broadcast(vectors)
     target = _arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, vectors = shared.value
-        yield from _score_batches(batches, branches, names, vectors, target, digits)
+        yield from _score_batches(batches, branches, shared.value, target, digits)
 
     return present.mapInArrow(run, schema)
 
 
-def _scan_in_blocks(present, asked, branches, columns, schema, digits, most) -> DataFrame:
-    """Every block of points meets every block of queries in one task of bounded size."""
-    target = _arrow_schema(schema)
-    n_queries, n_points = asked.count(), present.count()
-    width = asked.select(*[F.size(c).alias(c) for c in columns]).first()
-    per_block = max(1, BLOCK_BYTES // (8 * sum(width or [1])))
-    q_blocks = -(-n_queries // max(1, most // 2))  # hashed blocks vary in size, so aim for half
-    p_blocks = max(1, -(-n_points // per_block))
-    spread_points = present.withColumn(
-        "_pb", F.pmod(F.xxhash64("id"), F.lit(p_blocks))
-    ).withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)).cast("array<bigint>")))
-    spread_queries = asked.withColumn(
-        "_qb", F.pmod(F.xxhash64("qid"), F.lit(q_blocks))
-    ).withColumn("_pb", F.explode(F.sequence(F.lit(0), F.lit(p_blocks - 1)).cast("array<bigint>")))
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return target.empty_table()
-        matrices = {c: _matrix(right.column(c)) for c in columns}
-        qids = right.column("qid").combine_chunks()
-        found = _score_batches(iter([left]), branches, qids, matrices, target, digits)
-        return pa.Table.from_batches(list(found), schema=target)
-
-    blocks = ["_pb", "_qb"]
-    return (
-        spread_points.groupBy(*blocks)
-        .cogroup(spread_queries.groupBy(*blocks))
-        .applyInArrow(run, schema)
-    )
-
-
 def _finish(found: DataFrame, branches: Sequence[Branch], depth: int) -> DataFrame:
     """Merge the rows of all tasks, first within salted parts of a query and then per query, and
     apply the stages one after the other."""

@@ -5,28 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_TRACKED = 100
-
-
-def hot_key_hashes(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> Column:
-    """Scalar subquery: hashes of the keys that hold more than ``share`` of the rows.
-
-    A frequent-items sketch finds them in one map-side-combined pass and keeps at most 100.
-    The sketch only steers the layout of a join; a key it misses costs balance, never rows.
-    """
-    hashed = df.select(F.xxhash64(*keys).alias("h"))
-    counted = hashed.agg(
-        F.expr(f"approx_top_k(h, {HOT_TRACKED}, 10000)").alias("top"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    hot = F.transform(
-        F.filter("top", lambda x: x["count"] > F.col("n") * F.lit(share)), lambda x: x["item"]
-    )
-    return counted.select(hot.alias("hot")).scalar()
-
 
 def salted_join(
     left: DataFrame,
@@ -34,35 +15,23 @@ def salted_join(
     on: Sequence[tuple[str, str]],
     how: str = "inner",
     null_safe: bool = False,
-    salts: int = 64,
-    share: float = 0.01,
+    salts: int = 1,
 ) -> DataFrame:
     """Equi-join whose left side may have hot keys.
 
-    Left rows of a hot key are spread over ``salts`` buckets by the task that reads them, and the
-    matching right rows are repeated once per bucket. All other keys join as usual.
+    Adaptive execution splits large partitions of a join by itself. Where its result must keep a
+    partitioning, or a key's rows are too many for one task all the same, ``salts`` deals the left
+    rows of every key into that many parts, by a hash of the whole row, and repeats the right
+    rows for each part. The parts do not depend on how the left side is partitioned already.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join repeats right rows, so it supports inner and left joins only")
-    left_keys = [a for a, _ in on]
-    right_keys = [b for _, b in on]
-    hot = hot_key_hashes(left, left_keys, share)
-    bucket = F.pmod(F.spark_partition_id(), F.lit(salts)).cast("int")
-    spread = left.withColumn(
-        "_salt_l",
-        F.when(F.array_contains(hot, F.xxhash64(*left_keys)), bucket).otherwise(F.lit(0)),
-    )
-    repeated = right.withColumn(
-        "_salt_r",
-        F.explode(
-            F.when(
-                F.array_contains(hot, F.xxhash64(*right_keys)),
-                F.sequence(F.lit(0), F.lit(salts - 1)),
-            ).otherwise(F.array(F.lit(0)))
-        ),
-    )
-    pairs = [
-        spread[a].eqNullSafe(repeated[b]) if null_safe else spread[a] == repeated[b] for a, b in on
-    ]
-    condition = reduce(lambda x, y: x & y, pairs, spread["_salt_l"] == repeated["_salt_r"])
-    return spread.join(repeated, condition, how).drop("_salt_l", "_salt_r")
+    if salts < 1:
+        raise ValueError("salts must be positive")
+    pairs = []
+    if salts > 1:
+        left = left.withColumn("_salt_l", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
+        right = right.withColumn("_salt_r", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        pairs = [left["_salt_l"] == right["_salt_r"]]
+    pairs += [left[a].eqNullSafe(right[b]) if null_safe else left[a] == right[b] for a, b in on]
+    return left.join(right, reduce(lambda x, y: x & y, pairs), how).drop("_salt_l", "_salt_r")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomdex.functions.embedding import DENSE_SIZE, embed_text
-from loomdex.functions.text import get_cleaner
+from loomdex.functions.text import get_cleaner, tokenize
 from loomdex.functions.vectors import vector_prefix
 from loomdex.operators.corpus import (
     build_vocabulary,
@@ -29,7 +29,6 @@ from loomdex.operators.relational import (
     sample_head,
 )
 from loomdex.operators.retrieval import (
-    PAYLOAD_BROADCAST_ROWS,
     PRESETS,
     Preset,
     get_preset,
@@ -37,7 +36,7 @@ from loomdex.operators.retrieval import (
     payload_attach,
 )
 from loomdex.operators.skew import salted_join
-from loomdex.session import remove_path, scratch_path
+from loomdex.session import remove_path, scratch_path, written
 from loomdex.sources.collections import PAYLOAD_FIELDS, Collections
 
 MOTION_ORDER = ("geschaeft_uid", "dokument_uid")
@@ -65,19 +64,21 @@ def extract_dedup_job(
 ) -> DataFrame:
     """Extract text and mark repeats of cleaned text; the lowest key of a text stays unique.
 
-    ``row_key`` names the columns that identify a row where ``key`` alone does not. The result of
-    an extractor that runs in Python is written to the shared folder first, because marking reads
-    it twice; built-in extractors are cheap enough to run again.
+    ``row_key`` names the columns that tell the rows of one text apart, by default the key and the
+    address, as a motion may have several documents. The result of an extractor that runs in Python is written to
+    the shared folder first, because marking reads it twice; built-in extractors are cheap
+    enough to run again.
     """
     results = extract_text_job(df, key, content, url, extractor, **options)
     if not runs_in_jvm(extractor):
         results = written(results, "extracted")
-    return dedup_clean_text(results, row_key or "motion_id", cleaner=cleaner)
+    keys = row_key or ["motion_id", *(["url"] if "url" in results.columns else [])]
+    return dedup_clean_text(results, keys, cleaner=cleaner)
 
 
 def attach_content(motions: DataFrame, content: DataFrame, url: str = "dokument_url") -> DataFrame:
-    """Landed bytes by address. An address that many documents share is spread over tasks."""
-    landed = content.select(F.col("url").alias("_url"), "content")
+    """Landed bytes by address. Of several contents that landed for one address, the smallest counts."""
+    landed = content.groupBy(F.col("url").alias("_url")).agg(F.min("content").alias("content"))
     return salted_join(motions, landed, [(url, "_url")], "left").drop("_url")
 
 
@@ -123,13 +124,6 @@ def index_points(
     return point_rows(localized_fields(vectors), PAYLOAD_FIELDS, ())
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """The same rows read back from a new table in the shared folder."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 @contextmanager
 def staged(df: DataFrame, label: str = "stage"):
     """A table written to the shared folder for the length of a block.
@@ -164,20 +158,38 @@ def build_index(
 ) -> int:
     """Index the motion documents into a collection; returns the number of points added.
 
-    Token statistics cover every extracted document, also those that are not stored afterwards.
+    Token statistics cover every extracted document, also those that are not stored afterwards, and the
+    stored ones that ``docs`` no longer has. If the vocabulary changes, stored points get new weights from
+    their texts, and all become visible together; a repeated build changes nothing.
     """
     p = get_preset(preset)
     store.create(name, dim, p.vocabulary, p.prefixes, p.quantised, bucket_chars=bucket_chars, exist_ok=True)
     motions = sample_head(prepare_motions(docs, items), samples, MOTION_ORDER)
     corpus = extract_corpus(motions, content, extractor, cleaner, **options)
     keyed = store.with_ids(corpus, name, "geschaeft_uid", "dokument_uid", random=random_ids)
+    if not random_ids:
+        keyed = keyed.dropDuplicates(["id"])
     with staged(keyed, "corpus") as texts:
         # success implies a text; filtering the written table keeps extraction to one run per row
         tokens = with_tokens(texts.where(F.col("status") == STATUS_SUCCESS))
-        store.write_vocabulary(name, build_vocabulary(tokens, "dokument_uid", p.vocabulary, pad=p.padded))
-        entries = vocabulary_entries(store.vocabulary(name))
         new = tokens if random_ids else store.without_known(tokens, name)
-        return store.upsert(name, index_points(new, entries, dim, embedder), skip_known=False)
+        earlier = store.points(name).join(tokens.select("id"), "id", "left_anti")
+        earlier = with_tokens(earlier.select(F.col("payload.dokument_uid").alias("dokument_uid"), F.col("payload.text").alias("text")))
+        counted = tokens.select("dokument_uid", "tokens").union(earlier.select("dokument_uid", "tokens"))
+        vocab = written(build_vocabulary(counted, "dokument_uid", p.vocabulary, pad=p.padded), "vocabulary")
+        entries = vocabulary_entries(vocab)
+        before = store.vocabulary(name)
+        added = index_points(new, entries, dim, embedder)
+        if before is not None and vocabulary_entries(before) != entries:
+            return store.rewrite(name, added, vocab, lambda old: reweighted(old, entries))
+        store.write_vocabulary(name, vocab)
+        return store.upsert(name, added, skip_known=False)
+
+
+def reweighted(points: DataFrame, entries: Sequence[tuple[str, float]]) -> DataFrame:
+    """Points (id, text_dense, payload) with the sparse vectors of their texts over another vocabulary."""
+    tokens = points.withColumn("tokens", tokenize(F.coalesce("payload.text", F.lit(""))))
+    return sparse_vector(tokens, entries).select("id", "text_dense", "text_sparse", "payload")
 
 
 def query_vectors(
@@ -196,15 +208,15 @@ def query_vectors(
     )
 
 
-def attach_stored_payload(store: Collections, name: str, hits: DataFrame, most: int | None) -> DataFrame:
+def attach_stored_payload(store: Collections, name: str, hits: DataFrame) -> DataFrame:
     """Payloads of final hits from a collection, reading only the partitions that hold a hit.
 
-    The hits, at most queries x limit rows, are written first: as a small table their partitions
+    The hits, at most queries x limit rows, are written first: as a table of known size their partitions
     are known before the payload scan starts, and the search does not run a second time for it.
     """
     config = store.config(name)
     kept = written(hits, "hits").where(F.col("rank") >= 1)
-    return payload_attach(kept, store.points(name), most, bucket_chars=config["bucket_chars"]).select(
+    return payload_attach(kept, store.points(name), bucket_chars=config["bucket_chars"]).select(
         "qid", "rank", "id", "score", "payload"
     )
 
@@ -225,8 +237,7 @@ def search_similar(
     hits = hybrid_search(
         store.points(name), vectors, limit, p, bounds=store.bounds(name), with_payload=False, **options
     )
-    most = limit * queries.limit(PAYLOAD_BROADCAST_ROWS + 1).count()
-    return attach_stored_payload(store, name, hits, most)
+    return attach_stored_payload(store, name, hits)
 
 
 def demo_search(
@@ -252,4 +263,4 @@ def demo_search(
         F.struct(F.col("text"), F.lit(source).alias("source")).alias("payload"),
     )
     asked = query_vectors(queries, entries, p, dim, embedder, keywords)
-    return hybrid_search(points, asked, limit, p)
+    return hybrid_search(written(points, "points"), asked, limit, p)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -37,7 +37,8 @@ class CollectionMissing(KeyError):
 class Collections:
     """Create, list, drop, append to and read collections.
 
-    A collection is a folder with ``config``, ``points``, ``vocabulary`` and ``bounds``. Points are
+    A collection is a folder with ``config``, and ``points``, ``vocabulary`` and ``bounds`` of its current version, which
+    ``current`` names. Appending keeps the version; :meth:`rewrite` makes the next one. Points are
     partitioned by the first ``bucket_chars`` characters of their id, so that fetching the payload
     of a few hits reads a few partitions only. Vectors are packed into bytes, which a scan reads several
     times faster than arrays; :meth:`read` gives arrays back. The longest prefix is stored beside the whole vector, which
@@ -94,7 +95,9 @@ class Collections:
             else:
                 raise CollectionExists(name)
         payload = payload or payload_type()
-        prefixes = sorted(n for n in prefixes if n <= dense_size)
+        prefixes = sorted(prefixes)
+        if prefixes and prefixes[-1] > dense_size:
+            raise ValueError(f"prefixes {prefixes} are longer than the vectors, which have {dense_size} elements")
         config = {
             "dense_size": dense_size,
             "sparse_size": sparse_size,
@@ -117,6 +120,13 @@ class Collections:
             raise CollectionMissing(name)
         return json.loads(self.spark.read.parquet(self.path(name, "config")).first()["config"])
 
+    def version(self, name: str) -> int:
+        fs, target = self._fs(self.path(name, "current"))
+        return self.spark.read.parquet(self.path(name, "current")).first()["version"] if fs.exists(target) else 0
+
+    def _part(self, name: str, part: str, version: int | None = None) -> str:
+        return f"{part}-{self.version(name) if version is None else version}"
+
     def _schema(self, config: dict) -> T.StructType:
         return T.StructType(
             [
@@ -138,12 +148,12 @@ class Collections:
     def points(self, name: str) -> DataFrame:
         """The points as stored, with packed vectors; unused columns are never read."""
         config = self.config(name)
-        return self._table(name, "points", self._schema(config))
+        return self._table(name, self._part(name, "points"), self._schema(config))
 
     def read(self, name: str, with_vectors: bool = True, with_payload: bool = True) -> DataFrame:
         """Points with their named vectors (dense, one per prefix, sparse) and payload."""
         config = self.config(name)
-        stored = self._table(name, "points", self._schema(config))
+        stored = self._table(name, self._part(name, "points"), self._schema(config))
         rest = ["payload"] if with_payload else []
         if not with_vectors:
             return stored.select("id", *rest)
@@ -165,16 +175,35 @@ class Collections:
 
     def vocabulary(self, name: str) -> DataFrame | None:
         self.config(name)
-        fs, target = self._fs(self.path(name, "vocabulary"))
-        return self._table(name, "vocabulary", VOCABULARY_SCHEMA) if fs.exists(target) else None
+        part = self._part(name, "vocabulary")
+        fs, target = self._fs(self.path(name, part))
+        return self._table(name, part, VOCABULARY_SCHEMA) if fs.exists(target) else None
 
-    def write_vocabulary(self, name: str, vocab: DataFrame) -> None:
+    def write_vocabulary(self, name: str, vocab: DataFrame, version: int | None = None) -> None:
         rows = vocab.select("idx", "token", "n", "idf").coalesce(1)
-        rows.write.mode("overwrite").parquet(self.path(name, "vocabulary"))
+        rows.write.mode("overwrite").parquet(self.path(name, self._part(name, "vocabulary", version)))
+
+    def rewrite(
+        self, name: str, added: DataFrame, vocab: DataFrame, change: Callable[[DataFrame], DataFrame]
+    ) -> int:
+        """Next version: stored points (id, text_dense, payload) after ``change``, those of ``added``, and another
+        vocabulary. Searches see all of it or nothing; returns how many points were added."""
+        old, new = self.version(name), self.version(name) + 1
+        for part in ("points", "bounds", "vocabulary"):  # of a run that broke off
+            remove_path(self.spark, self.path(name, self._part(name, part, new)))
+        stored = self.points(name).select("id", unpack_vector("text_dense").alias("text_dense"), "payload")
+        self._append(name, change(stored), new)
+        written = self._append(name, added, new)
+        self.write_vocabulary(name, vocab, new)
+        row = self.spark.range(1).select(F.lit(new).alias("version"))
+        row.coalesce(1).write.mode("overwrite").parquet(self.path(name, "current"))
+        for part in ("points", "bounds", "vocabulary"):
+            remove_path(self.spark, self.path(name, self._part(name, part, old)))
+        return written
 
     def bounds(self, name: str) -> dict[int, tuple[float, float]]:
         """Value range per quantised prefix over everything appended so far."""
-        return bounds_dict(self._table(name, "bounds", BOUNDS_SCHEMA))
+        return bounds_dict(self._table(name, self._part(name, "bounds"), BOUNDS_SCHEMA))
 
     def with_ids(self, df: DataFrame, name: str, *keys: str, random: bool = False) -> DataFrame:
         """Add the point id: a digest of collection and keys, or a fresh random id."""
@@ -189,12 +218,16 @@ class Collections:
     def upsert(self, name: str, points: DataFrame, skip_known: bool = True) -> int:
         """Append points (id, text_dense, text_sparse, payload); returns how many were written.
 
-        With ``skip_known`` stored ids are left alone, so a repeated run adds nothing. Value
-        ranges and the row count are observed while writing, not in passes of their own.
+        With ``skip_known`` stored ids are left alone and of equal ids one is taken, so a repeated
+        run adds nothing; without it the caller answers for that. Value ranges and the row count are
+        observed while writing, not in passes of their own.
         """
-        config = self.config(name)
         if skip_known:
-            points = self.without_known(points, name)
+            points = self.without_known(points, name).dropDuplicates(["id"])
+        return self._append(name, points, self.version(name))
+
+    def _append(self, name: str, points: DataFrame, version: int) -> int:
+        config = self.config(name)
         longest = max(config["prefixes"], default=0)
         rows = points.select(
             "id",
@@ -219,14 +252,17 @@ class Collections:
             "payload",
             "id_bucket",
         )
-        sized = packed.hint("rebalance", "id_bucket")
-        sized.write.mode("append").partitionBy("id_bucket").parquet(self.path(name, "points"))
+        # within a file ids are sorted, so its statistics tell which of its pages may hold an id
+        sized = packed.hint("rebalance", "id_bucket").sortWithinPartitions("id_bucket", "id")
+        sized.write.mode("append").partitionBy("id_bucket").parquet(self.path(name, self._part(name, "points", version)))
         try:
             got = seen.get
-        except Py4JJavaError:  # adaptive execution drops the measures of an empty result
+        except Py4JJavaError:
+            if not points.isEmpty():  # adaptive execution drops the measures of an empty result only
+                raise
             got = {"n": 0}
         if got["n"] and config["quantised"]:
             spans = [(n, got[f"low{n}"], got[f"high{n}"]) for n in config["quantised"]]
             rows = self.spark.createDataFrame(spans, BOUNDS_SCHEMA)
-            rows.coalesce(1).write.mode("append").parquet(self.path(name, "bounds"))
+            rows.coalesce(1).write.mode("append").parquet(self.path(name, self._part(name, "bounds", version)))
         return got["n"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,16 +39,19 @@ NULL_WORDS = [
 ]
 
 
-def scan_csv(spark: SparkSession, path: str, schema: T.StructType, null_words: bool = True) -> DataFrame:
-    """Header CSV with a declared schema; columns are matched by name, quotes may span lines.
+def scan_csv(
+    spark: SparkSession, path: str, schema: T.StructType, null_words: bool = True, multi_line: bool = False
+) -> DataFrame:
+    """Header CSV with a declared schema; columns are matched by name.
 
-    Every column is read as text, the null words become null, and then types are cast.
+    Every column is read as text, the null words become null, and then types are cast. With
+    ``multi_line`` quoted values may hold line breaks, but then a file can't be split over tasks.
     """
     names = spark.read.option("header", True).csv(path).columns
     raw = (
         spark.read.schema(_strings(*names))
         .option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("escape", '"')
         .csv(path)
     )
@@ -60,34 +65,33 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType, null_words: b
     return raw.select(*[value(f) for f in schema.fields])
 
 
-def scan_text_files(spark: SparkSession, folder: str, suffix: str = "txt") -> DataFrame:
-    """(filename, text): every file of a folder as one row, named without its suffix."""
+def scan_text_files(
+    spark: SparkSession, folder: str, suffix: str = "txt", keys: Sequence[str] = ()
+) -> DataFrame:
+    """(filename, text): every file of a folder as one row, named without its suffix.
+
+    ``keys`` names levels of ``key=value`` folders to add as columns.
+    """
     files = spark.read.option("pathGlobFilter", f"*.{suffix}").text(folder, wholetext=True)
     return files.select(
-        file_stem(F.col("_metadata.file_name")).alias("filename"), F.col("value").alias("text")
+        file_stem(F.col("_metadata.file_name")).alias("filename"), F.col("value").alias("text"), *keys
     )
 
 
-def scan_binary_docs(spark: SparkSession, folder: str, suffix: str = "pdf") -> DataFrame:
-    """(name, content): every matching file of a folder as bytes."""
+def scan_binary_docs(
+    spark: SparkSession, folder: str, suffix: str = "pdf", keys: Sequence[str] = ()
+) -> DataFrame:
+    """(name, content): every matching file of a folder as bytes, with the ``keys`` of its folders."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{suffix}").load(folder)
-    return files.select(file_name("path").alias("name"), "content")
-
+    return files.select(file_name("path").alias("name"), "content", *keys)
 
-SPREAD_BYTES_PER_CORE = 32 << 20
 
-
-def spread_small(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread an input of less than 32 MB per core by key; larger inputs stay as they are.
-
-    A small file is often one row group, so one task however many cores there are. An input that
-    fills the cores with splits of the usual size is never shuffled here.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores, *keys) if size < cores * SPREAD_BYTES_PER_CORE else df
+#: Setting by which a caller asks for inputs spread by key over so many partitions; unset, file splits decide.
+PARTITIONS_SETTING = "spark.loomdex.inputPartitions"
 
 
 def read_parquet(spark: SparkSession, path: str, *spread_by: str) -> DataFrame:
+    """A table as its files are split, or spread by key where the caller's session asks for it."""
     df = spark.read.parquet(path)
-    return spread_small(df, *spread_by) if spread_by else df
+    wanted = spark.conf.get(PARTITIONS_SETTING, None)
+    return df.repartition(int(wanted), *spread_by) if wanted and spread_by else df

@@ -100,3 +100,24 @@ def test_model_hook_gets_whole_batches(spark):
     df = spark.createDataFrame([("abc",), ("",)], "text string")
     got = {r.text: r.text_dense for r in embed_text(df, embedder=load).collect()}
     assert got == {"abc": [3.0, 1.0], "": [0.0, 1.0]}
+
+
+def test_vocabulary_of_any_size(spark):
+    from loomdex.operators import corpus
+
+    df = spark.range(1000).selectExpr("id", "transform(sequence(0, 119), x -> concat('t', id * 100 + x)) as tokens")
+    vocab = corpus.build_vocabulary(df, "id", 100_000, pad=False)
+    entries = corpus.vocabulary_entries(vocab)
+    assert len(entries) == 100_000 and entries[0][0] == "t100"
+    held = corpus.sparse_vector(df.where("id < 3"), entries).selectExpr("size(text_sparse) as n").collect()
+    assert {r.n for r in held} == {100_000}
+
+
+def test_vocabulary_of_text_keys_sorts_no_tokens_of_documents(spark):
+    from loomdex.operators import corpus
+
+    df = spark.createDataFrame([("b", ["x", "y", "y"]), ("a", ["z", "x"]), (None, None)], "id string, tokens array<string>")
+    got = corpus.build_vocabulary(df, "id", 2, pad=False).orderBy("idx").collect()
+    assert [(r.token, r.n) for r in got] == [("x", 2), ("y", 2)]
+    ties = corpus.vocabulary_topk(df, "id", 3).orderBy("idx").collect()
+    assert [r.token for r in ties] == ["x", "y", "z"]

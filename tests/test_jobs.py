@@ -5,7 +5,7 @@ from loomdex.operators import extract, layout
 from loomdex.plans import jobs
 from loomdex.session import scratch_path, shared_folder
 from loomdex.sources import readers, sinks
-from loomdex.sources.collections import CollectionExists, CollectionMissing, Collections
+from loomdex.sources.collections import PAYLOAD_FIELDS, CollectionExists, CollectionMissing, Collections
 
 
 @pytest.fixture
@@ -86,10 +86,10 @@ def test_csv_round_trip_with_quotes_lines_and_null_words(spark):
     rows = [("1", "Motion", 'say "x", y', "line\nend", None, "NaN")]
     path = scratch_path(spark, "csv")
     sinks.write_csv(spark.createDataFrame(rows, readers.ITEM_SCHEMA), path)
-    assert [tuple(r) for r in readers.scan_csv(spark, path, readers.ITEM_SCHEMA).collect()] == [
+    assert [tuple(r) for r in readers.scan_csv(spark, path, readers.ITEM_SCHEMA, multi_line=True).collect()] == [
         ("1", "Motion", 'say "x", y', "line\nend", None, None)
     ]
-    raw = readers.scan_csv(spark, path, readers.ITEM_SCHEMA, null_words=False).first()
+    raw = readers.scan_csv(spark, path, readers.ITEM_SCHEMA, null_words=False, multi_line=True).first()
     assert raw.geschaeft_beschluss_franz == "NaN"
 
 
@@ -116,7 +116,9 @@ def test_status_areas(spark):
 
 def test_collections_life_cycle(store):
     assert store.list() == [] and not store.exists("a") and not store.delete("a")
-    assert store.create("a", 8, 2, prefixes=(4, 64)) and store.list() == ["a"]
+    with pytest.raises(ValueError):
+        store.create("a", 8, 2, prefixes=(4, 64))
+    assert store.create("a", 8, 2, prefixes=(4,), quantised=()) and store.list() == ["a"]
     assert store.config("a")["prefixes"] == [4]
     assert store.create("a", exist_ok=True) is False
     with pytest.raises(CollectionExists):
@@ -157,18 +159,51 @@ def test_index_search_and_repeat(spark, store):
 def test_random_ids_append_again(spark, store):
     docs, items, content = motions(spark)
     for _ in range(2):
-        assert jobs.build_index(store, "m", docs, items, content, extractor="text", dim=64, random_ids=True, bucket_chars=1) == 3
+        assert jobs.build_index(store, "m", docs, items, content, extractor="text", dim=256, random_ids=True, bucket_chars=1) == 3
     assert store.points("m").select("id").distinct().count() == 6
 
 
+def test_append_weighs_stored_points_anew(spark, store):
+    docs, items, content = motions(spark)
+    options = dict(extractor="text", dim=256, bucket_chars=1)
+    one, two = (Collections(spark, f"{store.root}-{n}") for n in (1, 2))
+    assert jobs.build_index(one, "m", docs, items, content, **options) == 3
+    twice = content.union(content)  # landed twice: still one content for an address
+    assert jobs.build_index(two, "m", docs.where("dokument_uid in ('d0', 'd3')"), items, twice, **options) == 1
+    assert jobs.build_index(two, "m", docs, items, twice, **options) == 2
+    assert jobs.build_index(two, "m", docs, items, content, **options) == 0
+    assert two.version("m") == 1 and one.version("m") == 0
+
+    def weights(s):
+        return {r.id: (r.text_sparse, r.payload.text) for r in s.read("m").collect()}
+
+    assert weights(one) == weights(two)
+    assert one.vocabulary("m").exceptAll(two.vocabulary("m")).count() == 0
+    # documents that are not given again keep their share in the statistics
+    assert jobs.build_index(two, "m", docs.where("dokument_uid = 'd4'"), items, content, **options) == 0
+    assert {r.token for r in two.vocabulary("m").collect()} >= {"solar", "wind", "school"}
+
+
+def test_equal_ids_of_a_batch_are_stored_once(spark, store):
+    store.create("b", 4, 1, prefixes=(2,), quantised=(2,), payload=None)
+    rows = [("x", [1.0, 0.0, 0.0, 0.0], [0.0])] * 3 + [("y", [0.0, 1.0, 0.0, 0.0], [0.0])]
+    points = spark.createDataFrame(rows, "id string, text_dense array<double>, text_sparse array<double>")
+    empty = F.struct(*[F.lit(None).cast("string").alias(n) for n in PAYLOAD_FIELDS])
+    points = points.withColumn("payload", empty)
+    assert store.upsert("b", points) == 2 and store.upsert("b", points) == 0
+    broken = points.withColumn("id", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception, match="no"):
+        store.upsert("b", broken, skip_known=False)
+
+
 def test_samples_limit_the_index(spark, store):
     docs, items, content = motions(spark)
-    assert jobs.build_index(store, "m", docs, items, content, extractor="text", dim=64, samples="2", bucket_chars=1) == 2
+    assert jobs.build_index(store, "m", docs, items, content, extractor="text", dim=256, samples="2", bucket_chars=1) == 2
 
 
 def test_nothing_extracted_gives_an_empty_padded_vocabulary(spark, store):
     docs, items, content = motions(spark)
-    assert jobs.build_index(store, "m", docs, items, content.where("url = 'u5'"), extractor="text", dim=64) == 0
+    assert jobs.build_index(store, "m", docs, items, content.where("url = 'u5'"), extractor="text", dim=256) == 0
     assert store.vocabulary("m").where("token = ''").count() == 256
     asked = spark.createDataFrame([(1, "x")], "qid int, text string")
     assert jobs.search_similar(store, "m", asked).count() == 0
@@ -176,7 +211,7 @@ def test_nothing_extracted_gives_an_empty_padded_vocabulary(spark, store):
 
 def test_lookup_of_hits_prunes_partitions(spark, store):
     docs, items, content = motions(spark)
-    jobs.build_index(store, "m", docs, items, content, extractor="text", dim=64, bucket_chars=1)
+    jobs.build_index(store, "m", docs, items, content, extractor="text", dim=256, bucket_chars=1)
     asked = spark.createDataFrame([(1, "power")], "qid int, text string")
     found = jobs.search_similar(store, "m", asked, limit=1)
     assert len(found.collect()) == 1

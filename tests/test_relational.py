@@ -56,6 +56,24 @@ def test_hot_key_is_spread_over_tasks(spark):
     assert sum(sizes) == 8000 and max(sizes) < 8000
 
 
+def test_key_spreads_when_the_left_side_is_partitioned_by_it(spark):
+    left = spark.range(0, 8000).select(F.when(F.col("id") < 40, 1).otherwise(F.col("id")).alias("k"), F.col("id").alias("row"))
+    right = spark.createDataFrame([(1, "x")], "j int, v string")
+    joined = salted_join(left.repartition(8, "k"), right.hint("shuffle_hash"), [("k", "j")], salts=16)
+    assert joined.count() == 40
+    parts = left.where("k = 1").select(F.pmod(F.xxhash64("k", "row"), F.lit(16))).distinct().count()
+    assert parts >= 10
+
+
+def test_repeats_among_documents_of_one_motion(spark):
+    rows = [("1", "a", "x"), ("1", "b", " x "), ("1", "c", "y"), ("2", "a", "x"), ("2", "d", None)]
+    df = spark.createDataFrame(rows, "m string, d string, text string").withColumn("status", F.lit("success"))
+    got = {(r.m, r.d): r.status for r in duplicates.dedup_clean_text(df, ["m", "d"]).collect()}
+    assert got == {("1", "a"): "success", ("1", "b"): "duplicate", ("1", "c"): "success", ("2", "a"): "duplicate", ("2", "d"): "success"}
+    with pytest.raises(Exception, match="rows repeat in key and text"):
+        duplicates.dedup_clean_text(df.union(df), ["m", "d"]).collect()
+
+
 def test_rows_are_deduplicated_with_nulls_equal(spark):
     rows = [(1, None), (1, None), (2, "a"), (2, "a"), (2, "a"), (3, "b")]
     df = spark.createDataFrame(rows, "a int, b string")

@@ -92,7 +92,7 @@ def test_packing_keeps_nulls_and_empty_vectors(spark):
 
 def test_queries_beyond_the_bound_give_the_same_rows(tables, arrays, monkeypatch):
     points, asked, name = tables
-    monkeypatch.setattr(scan, "BLOCK_BYTES", 20_000)
+    monkeypatch.setattr(scan, "QUERY_BYTES", 1_000)
     want = result(retrieval.dense_topk(points, asked, 10), name)
     assert result(retrieval.dense_topk(points, asked, 10, max_queries=3), name) == want
 
@@ -231,3 +231,57 @@ def test_bounds_cover_all_unit_prefixes(tables, arrays):
     for n in (8, 16):
         u = unit(arrays[0][:, :n])
         assert got[n] == pytest.approx((u.min(), u.max()))
+
+
+def vectors_of(spark, rows, key="id"):
+    return spark.createDataFrame(rows, f"{key} long, text_dense array<double>, text_sparse array<double>")
+
+
+def ranked(df):
+    return [(r.qid, r.id) for r in df.orderBy("qid", "rank").collect()]
+
+
+def test_points_without_a_finite_score_take_no_place(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(n, [1.0, 0.1 * n], [1.0]) for n in range(6)]
+    rows += [(10, [nan, 1.0], [nan]), (11, [inf, 1.0], [1.0]), (12, [None, 1.0], [1.0])]
+    asked = vectors_of(spark, [(0, [1.0, 0.0], [1.0])], "qid")
+    for points in (vectors_of(spark, rows), vectors_of(spark, rows).coalesce(1)):
+        assert ranked(retrieval.dense_topk(points, asked, 3)) == [(0, 0), (0, 1), (0, 2)]
+        assert ranked(retrieval.matryoshka_cascade(points, asked, (1, 2), (9, 3))) == [(0, 0), (0, 1), (0, 2)]
+
+
+def test_a_point_without_one_vector_stays_in_the_other_branch(spark):
+    points = vectors_of(spark, [(1, [1.0, 0.0], None), (2, None, [1.0]), (3, [0.0, 1.0], [0.5])])
+    asked = vectors_of(spark, [(0, [1.0, 0.0], [1.0])], "qid")
+    branches = [retrieval.dense_branch(5), retrieval.sparse_branch(5)]
+    got = {(r.branch, r.id) for r in scan.branch_scan(points, asked, branches).collect()}
+    assert got == {("dense", 1), ("dense", 3), ("sparse", 2), ("sparse", 3)}
+
+
+def test_queries_without_a_vector_get_no_rows_and_ragged_ones_raise(spark):
+    points = vectors_of(spark, [(1, [1.0, 0.0], [1.0]), (2, [0.0, 1.0], [1.0])])
+    asked = vectors_of(spark, [(0, [1.0, 0.0], [1.0]), (1, None, [1.0]), (2, [0.0, 1.0], None)], "qid")
+    assert ranked(retrieval.dense_topk(points, asked, 1)) == [(0, 1), (2, 2)]
+    assert {q for q, _ in ranked(retrieval.sparse_topk(points, asked, 1))} == {0, 1}
+    ragged = vectors_of(spark, [(0, [1.0], [1.0]), (1, [1.0, 0.0, 0.0], [1.0])], "qid")
+    with pytest.raises(ValueError):
+        retrieval.dense_topk(points, ragged, 1)
+    bent = points.union(vectors_of(spark, [(3, [1.0], [1.0])]))
+    with pytest.raises(Exception, match="equal lengths"):
+        retrieval.dense_topk(bent, asked, 1).collect()
+
+
+def test_null_ids_raise(spark):
+    points = vectors_of(spark, [(None, [1.0, 0.0], [1.0]), (2, [0.0, 1.0], [1.0])])
+    with pytest.raises(Exception, match="no id"):
+        retrieval.dense_topk(points, vectors_of(spark, [(0, [1.0, 0.0], [1.0])], "qid"), 1).collect()
+
+
+def test_tasks_and_so_shuffled_rows_of_a_scan_are_bounded(spark, tables):
+    points, asked, name = tables
+    split = points.repartition(200)
+    slots = scan.TASKS_PER_SLOT * spark.sparkContext.defaultParallelism
+    seen = split.select("id", "text_dense").coalesce(slots).rdd.getNumPartitions()
+    assert seen <= slots
+    assert result(retrieval.dense_topk(split, asked, 4), name) == result(retrieval.dense_topk(points, asked, 4), name)
