@@ -131,18 +131,27 @@ def remove_patterns(c: Column | str, patterns: Sequence[str] = REMOVAL_PATTERNS)
         *[
             F.struct(
                 F.lit(required_literal(p)).alias("need"),
-                F.lit("(?iU)" + p.replace(r"\S", NON_WS)).alias("regex"),
+                F.lit(n).alias("number"),
             )
-            for p in patterns
+            for n, p in enumerate(patterns)
         ]
     )
 
     start = F.struct(_col(c).alias("text"), _folded(_col(c)).alias("low"), F.lit(False).alias("changed"))
 
+    def removed(text: Column, number: Column) -> Column:
+        # each pattern is a literal in a branch of its own, which Spark compiles once for a task
+        out = text
+        for n, p in enumerate(patterns):
+            regex = F.lit("(?iU)" + p.replace(r"\S", NON_WS))
+            replaced = F.regexp_replace(text, regex, F.lit(""))
+            out = F.when(number == n, replaced) if n == 0 else out.when(number == n, replaced)
+        return out
+
     def apply(acc: Column, step: Column) -> Column:
         # the one-element transform names the new text, so it is computed once
         ran = F.transform(
-            F.array(F.regexp_replace(acc["text"], step["regex"], F.lit(""))),
+            F.array(removed(acc["text"], step["number"])),
             lambda new: F.struct(
                 new.alias("text"),
                 acc["low"].alias("low"),
