@@ -18,27 +18,28 @@ def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
     key = np.zeros(n, np.uint64)
     for k in range(8):
         key = (key << np.uint64(8)) | padded[k : n + k]
-    order = np.argsort(key)
-    rank = np.empty(n, np.int64)
+    order = np.argsort(key).astype(np.int32)  # a block has far less than 2^31 symbols
+    rank = np.empty(n, np.int32)
 
-    def number(places: np.ndarray, keys: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def number(places: np.ndarray, keys: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Rank places, given in order, by the row where their key begins; returns which rows are tied."""
         new = np.r_[True, keys[1:] != keys[:-1]]
         head = np.flatnonzero(new)
         size = np.diff(np.r_[head, len(keys)])
         rank[places] = np.repeat(first[head], size)
-        return np.repeat(size > 1, size), new
+        return np.repeat(size > 1, size)
 
-    tied, _ = number(order, key[order], np.arange(n))
-    rows, width = np.flatnonzero(tied), 8
+    tied = number(order, key[order], np.arange(n, dtype=np.int32))
+    del key
+    rows, width = np.flatnonzero(tied).astype(np.int32), 8
     while len(rows) and width < depth:
         places = order[rows]
         after = places + width
         follow = np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
-        pair = (rank[places] << 32) | follow
+        pair = (rank[places].astype(np.int64) << 32) | follow
         by = np.argsort(pair)
         order[rows] = places = places[by]  # rows of one tied group are adjacent, and so stay its own
-        tied, _ = number(places, pair[by], rows)
+        tied = number(places, pair[by], rows)
         rows, width = rows[tied], width * 2
     return order
 
@@ -54,13 +55,14 @@ def unset_prefixes(symbols: np.ndarray, order: np.ndarray, least: int) -> np.nda
     """
     n = len(symbols)
     transform = symbols[order - 1]  # the place before 0 is the last: the text is taken as a circle
-    by = np.argsort(transform, kind="stable")
-    step = np.empty(n, np.int64)
-    step[by] = np.arange(n)  # from a row to the row of the suffix one symbol longer
+    by = np.argsort(transform, kind="stable").astype(np.int32)
+    step = np.empty(n, np.int32)
+    step[by] = np.arange(n, dtype=np.int32)  # from a row to the row of the suffix one symbol longer
     same = transform[by[1:]] == transform[by[:-1]]
-    before, after = np.full(n, -1, np.int64), np.full(n, n, np.int64)
+    before, after = np.full(n, -1, np.int32), np.full(n, n, np.int32)
     before[by[1:][same]] = by[:-1][same]
     after[by[:-1][same]] = by[1:][same]
+    del by, same
     unset = np.ones(n + 1, bool)
     unset[0] = unset[n] = False
     low, high = np.array([0]), np.array([n])

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -69,15 +68,25 @@ def powers(base: int, n: int) -> np.ndarray:
     return out
 
 
-@lru_cache(maxsize=2)
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    codes = np.random.default_rng(20).integers(0, 2**64, 256, dtype=U) | U(1)
-    return codes, powers(MULTIPLIER, n), powers(pow(MULTIPLIER, -1, 2**64), n)
+class Tables:
+    """Byte codes, powers and inverse powers for sequences of one size. Tasks make their own: nothing travels."""
 
+    def __init__(self):
+        self.codes = np.random.default_rng(20).integers(0, 2**64, 256, dtype=U) | U(1)
+        self.up = self.down = np.ones(1, U)
 
-def tables(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte codes, powers and inverse powers; sizes are rounded up so that few are ever built."""
-    return _tables(max(1 << 16, 1 << int(n).bit_length()))
+    def __reduce__(self):
+        return Tables, ()
+
+    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Powers for n places at least; sizes are rounded up, so few are ever made."""
+        if len(self.up) < n:
+            size = max(1 << 16, 1 << int(n - 1).bit_length())
+            self.up, self.down = powers(MULTIPLIER, size), powers(pow(MULTIPLIER, -1, 2**64), size)
+        return self.up, self.down
+
+
+TABLES = Tables()
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -93,7 +102,7 @@ class Rolling:
     """Hashes of any ranges of a sequence of codes in constant time each (sums of powers modulo 2^64)."""
 
     def __init__(self, codes: np.ndarray):
-        _, up, self.down = tables(len(codes) + 1)
+        up, self.down = TABLES.get(len(codes) + 1)
         self.sums = np.zeros(len(codes) + 1, U)
         np.cumsum(codes * up[: len(codes)], out=self.sums[1:])
 
@@ -108,7 +117,7 @@ class Rolling:
 
 
 def byte_codes(data: np.ndarray) -> np.ndarray:
-    return tables(1)[0][data]
+    return TABLES.codes[data]
 
 
 def word_spans(data: np.ndarray, ends: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -35,7 +35,7 @@ from loomdex.llm.common import (
 LEAST = 400
 GRAM = 64
 #: Bytes of one transform.
-TRANSFORM = 1_500_000
+TRANSFORM = 1_000_000
 #: Different segments of one anchor that a task takes.
 GROUP = 2_000
 
@@ -139,21 +139,26 @@ def _expand(least: int, limit: int):
         held: list[pa.RecordBatch] = []
         for batch in batches:
             held.append(batch)
-            if sum(b.nbytes for b in held) < limit:
+            if sum(b.num_rows for b in held) * least < limit:
                 continue
             table = pa.Table.from_batches(held)
             anchor = table.column("anchor").to_numpy()
             starts = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
             size = np.r_[0, np.cumsum(np.asarray(table.column("windows").to_numpy(), np.int64) + least)]
-            done = 0
-            for k in range(1, len(starts)):  # the last anchor may go on in the next batch
-                if size[starts[k]] - size[done] >= limit or k == len(starts) - 1:
-                    cut = starts[k - 1] if size[starts[k]] - size[done] > 2 * limit and starts[k - 1] > done else starts[k]
-                    yield solve(table.slice(done, cut - done))
-                    done = cut
+            done = 0  # the last anchor may go on in the next batch
+            for this, after in zip(starts[:-1], starts[1:]):
+                if this > done and size[after] - size[done] > limit:
+                    yield solve(table.slice(done, this - done))
+                    done = this
             held = table.slice(done).to_batches()
-        if held:
-            yield solve(pa.Table.from_batches(held))
+        rest = pa.Table.from_batches(held) if held else None
+        while rest is not None and rest.num_rows:
+            anchor = rest.column("anchor").to_numpy()
+            size = np.cumsum(np.asarray(rest.column("windows").to_numpy(), np.int64) + least)
+            ends = np.r_[np.flatnonzero(anchor[1:] != anchor[:-1]) + 1, len(anchor)]
+            cut = int(ends[max(0, np.searchsorted(size[ends - 1], limit, "right") - 1)])
+            yield solve(rest.slice(0, cut))
+            rest = rest.slice(cut)
 
     return run
 
@@ -225,21 +230,13 @@ def _cut(with_text: bool):
     def make():
         def work(batch):
             data, at = flat_bytes(batch.column("text"))
-            spans = batch.column("spans")
-            per_row = np.diff(spans.offsets.to_numpy())
-            flat = spans.flatten()
-            start, end = (flat.field(n).to_numpy().astype(np.int64) for n in ("start", "end"))
-            own = np.repeat(np.arange(len(per_row)), per_row)
-            # +1 where a span starts, -1 where it ends; one more place for each text keeps them apart
-            change = np.zeros(len(data) + len(per_row) + 1, np.int32)
-            np.add.at(change, at[own] + own + start, 1)
-            np.add.at(change, at[own] + own + end, -1)
-            covered = np.cumsum(change) > 0
             rows = []
-            for i, doc in enumerate(batch.column("doc_id").to_pylist()):
-                gone = covered[at[i] + i : at[i + 1] + i]
+            for i, (doc, spans) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("spans").to_pylist())):
                 text = data[at[i] : at[i + 1]]
-                kept = (text[~gone] if per_row[i] else text).tobytes()
+                gone = np.zeros(len(text), bool)
+                for span in spans:
+                    gone[span["start"] : span["end"]] = True
+                kept = (text[~gone] if spans else text).tobytes()
                 runs = int(np.count_nonzero(gone[1:] & ~gone[:-1]) + gone[:1].sum())
                 rows.append((doc, len(text), len(text) - len(kept), runs, hashlib.sha256(kept).hexdigest(), kept)[: len(names)])
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]

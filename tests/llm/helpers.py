@@ -5,6 +5,13 @@ import re
 from collections import Counter
 from hashlib import sha256
 
+import numpy as np
+import pyarrow as pa
+
+from loomdex.llm import minhash
+from loomdex.llm.common import blocks
+from loomdex.llm.words import hashed_words, shingles
+
 
 def rows_of(df):
     return Counter(tuple(r) for r in df.collect())
@@ -67,3 +74,69 @@ def brute_words(rows, least):
         kept = " ".join(w for w, g in zip(words, gone) if not g)
         out.append((name, len(words), sum(gone), sha256(kept.encode()).hexdigest()))
     return Counter(out)
+
+
+def classes_by_brute_force(rows):
+    batch = pa.RecordBatch.from_arrays([pa.array([r[1] or "" for r in rows])], names=["text"])
+    _, _, data, at = next(blocks(batch, "text", 1 << 40))
+    words, _, _, first = hashed_words(data, at)
+    text, code, often, _ = shingles(words, first)
+    cell = (code & np.uint64(minhash.CELLS - 1)).astype(int)
+    n = np.bincount(cell, minlength=minhash.CELLS).astype(float)
+    noise = (n.sum() - n) / (minhash.CELLS - 1)
+    share = np.clip((n - noise) / len(rows), minhash.RARE, 1)
+    weight = often * (1 + minhash.SPAN * np.log(share) / np.log(minhash.RARE))[cell]
+    total = np.bincount(text, weight, minlength=len(rows))
+    places: dict = {}
+    for t, c, w in zip(text, code, weight):
+        places.setdefault(c, []).append((t, w))
+    common: dict = {}
+    for found in places.values():
+        for i, (a, x) in enumerate(found):
+            for b, y in found[i + 1 :]:
+                common[a, b] = common.get((a, b), 0) + min(x, y)
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for (a, b), s in common.items():
+        if s / (total[a] + total[b] - s) >= minhash.THRESHOLD:
+            root[find(b)] = find(a)
+    out: dict = {}
+    for i in range(len(rows)):
+        out.setdefault(find(i), []).append(i)
+    return {frozenset(v) for v in out.values()}
+
+
+def strings_cut(rows, least):
+    """Texts without every byte that a repeated string of ``least`` bytes covers."""
+    seen = Counter()
+    for _, text in rows:
+        data = text.encode()
+        seen.update(data[i : i + least] for i in range(len(data) - least + 1))
+    out = []
+    for doc, text in rows:
+        data = text.encode()
+        gone = bytearray(len(data))
+        for i in range(len(data) - least + 1):
+            if seen[data[i : i + least]] > 1:
+                gone[i : i + least] = b"\1" * least
+        out.append((doc, bytes(x for x, g in zip(data, gone) if not g).decode("utf-8", "ignore")))
+    return out
+
+
+def covered(text, items, least=5, share=0.5):
+    """Items whose words lie in common runs of ``least`` words with the text, to ``share`` at least."""
+    split = lambda t: re.findall(r"[0-9a-z\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))
+    own = split(text)
+    grams = {tuple(own[i : i + least]) for i in range(len(own) - least + 1)}
+    out = set()
+    for item, other in items:
+        other = split(other)
+        hit = {j for i in range(len(other) - least + 1) if tuple(other[i : i + least]) in grams for j in range(i, i + least)}
+        if len(other) >= least and len(hit) >= share * len(other):
+            out.add(item)
+    return out

@@ -1,15 +1,13 @@
 import random
 
 import numpy as np
-import pyarrow as pa
 import pytest
-from helpers import brute_bytes, brute_words, empty, patchwork, rows_of, strange
+from helpers import brute_bytes, brute_words, classes_by_brute_force, empty, patchwork, rows_of, strange
 
 from loomdex.llm import minhash, seed_extend, suffix_dedup
 from loomdex.llm.bwt import repeated_starts
-from loomdex.llm.common import blocks, table
+from loomdex.llm.common import table
 from loomdex.llm.components import components
-from loomdex.llm.words import hashed_words, shingles
 
 
 def test_interval_expansion_finds_exactly_the_repeated_strings():
@@ -74,41 +72,6 @@ def test_repeats_of_strange_rows(spark, remove):
     assert remove(empty(spark)).count() == 0
 
 
-def classes_by_brute_force(rows):
-    batch = pa.RecordBatch.from_arrays([pa.array([r[1] or "" for r in rows])], names=["text"])
-    _, _, data, at = next(blocks(batch, "text", 1 << 40))
-    words, _, _, first = hashed_words(data, at)
-    text, code, often, _ = shingles(words, first)
-    cell = (code & np.uint64(minhash.CELLS - 1)).astype(int)
-    n = np.bincount(cell, minlength=minhash.CELLS).astype(float)
-    noise = (n.sum() - n) / (minhash.CELLS - 1)
-    share = np.clip((n - noise) / len(rows), minhash.RARE, 1)
-    weight = often * (1 + minhash.SPAN * np.log(share) / np.log(minhash.RARE))[cell]
-    total = np.bincount(text, weight, minlength=len(rows))
-    places: dict = {}
-    for t, c, w in zip(text, code, weight):
-        places.setdefault(c, []).append((t, w))
-    common: dict = {}
-    for found in places.values():
-        for i, (a, x) in enumerate(found):
-            for b, y in found[i + 1 :]:
-                common[a, b] = common.get((a, b), 0) + min(x, y)
-    root = list(range(len(rows)))
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    for (a, b), s in common.items():
-        if s / (total[a] + total[b] - s) >= minhash.THRESHOLD:
-            root[find(b)] = find(a)
-    out: dict = {}
-    for i in range(len(rows)):
-        out.setdefault(find(i), []).append(i)
-    return {frozenset(v) for v in out.values()}
-
-
 def near_copies(n):
     r = random.Random(9)
     base = [f"w{r.randint(0, 400)}" for _ in range(120)]
