@@ -36,9 +36,21 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_made: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """Fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """Fresh path below the shared folder. Results read from it lazily, so it stays until :func:`clear_scratch`."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete all that this driver has written to fresh paths, once its results have been used; returns how many."""
+    gone = sum(remove_path(spark, path) for path in _made)
+    _made.clear()
+    return gone
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

@@ -238,6 +238,25 @@ def test_staged_table_is_removed(spark):
     assert path.replace("file://", "").startswith(shared_folder(spark))
 
 
+def test_scratch_is_cleared_on_request(spark, monkeypatch):
+    from loomdex import session
+
+    monkeypatch.setattr(session, "_made", [])
+    rows = session.written(spark.range(3), "kept")
+    assert rows.count() == 3 and session.clear_scratch(spark) == 1 and session.clear_scratch(spark) == 0
+
+
+def test_a_shared_folder_is_needed(spark, monkeypatch):
+    from loomdex import session
+
+    class Bare:
+        conf = type("C", (), {"get": staticmethod(lambda *a: None)})
+        sparkContext = type("S", (), {"getCheckpointDir": staticmethod(lambda: None)})
+
+    with pytest.raises(ValueError):
+        session.shared_folder(Bare())
+
+
 def test_layout_round_trip_and_ranking(spark):
     rows = [("d", 1, n, n % 3, float(n), 0.0, n + 2.0, 4.0, [0.9, 0.2, 0.5, 0.9, 0.7, 0.6, 0.8][n]) for n in range(7)]
     flat = spark.createDataFrame(rows, "doc string, page_number int, element_id int, type int, x1 double, y1 double, x2 double, y2 double, confidence double")
