@@ -13,6 +13,7 @@ from loomdex.session import scratch_path
 
 #: Bytes of text that one block of a task holds; a longer text is a block of its own.
 BLOCK = 1 << 20
+FILES_PER_SLOT = 4
 MULTIPLIER = 0x9E3779B97F4A7C15
 U = np.uint64
 
@@ -21,9 +22,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def keep(df: DataFrame, label: str) -> DataFrame:
-    """Write to the shared folder and read again: cuts the lineage and survives lost executors."""
+def keep(df: DataFrame, label: str, narrow: bool = False) -> DataFrame:
+    """Write to the shared folder and read again: cuts the lineage and survives lost executors.
+
+    A ``narrow`` table of a few numbers a row, written often, goes to a few files for each slot of the cluster.
+    """
     path = scratch_path(df.sparkSession, label)
+    if narrow:
+        df = df.coalesce(FILES_PER_SLOT * df.sparkSession.sparkContext.defaultParallelism)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -19,14 +19,14 @@ def components(links: DataFrame) -> DataFrame:
     (and the node itself) are. Both keep the components and end in stars. Neighbours are never gathered: each
     step is a grouped minimum, combined before its shuffle, and a join.
     """
-    edges = keep(links.where("u <> v").selectExpr("greatest(u, v) as u", "least(u, v) as v").distinct(), "links")
+    edges = keep(links.where("u <> v").selectExpr("greatest(u, v) as u", "least(u, v) as v").distinct(), "links", narrow=True)
     state = None
     while (now := _state(edges)) != state:
         state = now
         both = edges.union(edges.selectExpr("v as u", "u as v"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        edges = keep(both.join(least, "u").where("v > u").selectExpr("v as u", "m as v").where("u <> v").distinct(), "links")
+        edges = keep(both.join(least, "u").where("v > u").selectExpr("v as u", "m as v").where("u <> v").distinct(), "links", narrow=True)
         least = edges.groupBy("u").agg(F.min("v").alias("m"))
         small = edges.join(least, "u").selectExpr("v as u", "m as v").where("u <> v")
-        edges = keep(small.union(least.selectExpr("u", "m as v")).distinct(), "links")
+        edges = keep(small.union(least.selectExpr("u", "m as v")).distinct(), "links", narrow=True)
     return edges.selectExpr("u as node", "v as root").union(edges.selectExpr("v as node", "v as root").distinct())

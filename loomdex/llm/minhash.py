@@ -252,10 +252,10 @@ def _pairs(members: DataFrame) -> DataFrame:
 def connecting_links(nodes: DataFrame, node_texts: DataFrame, weights, threshold: float) -> DataFrame:
     """Verified links (u, v, similarity) between nodes (node, samples, bands) that connect what is near."""
     banded = nodes.select("node", F.posexplode("bands").alias("i", "x"))
-    one = keep(_sized(banded.select("i", F.xxhash64("i", "x").alias("bucket"), "node")), "buckets")
+    one = keep(_sized(banded.select("i", F.xxhash64("i", "x").alias("bucket"), "node")), "buckets", narrow=True)
     size = F.col("size")
     again = one.where(size > LARGE).select("i", "bucket", "node").join(nodes.select("node", F.posexplode("bands").alias("j", "y")), "node")
-    two = keep(_sized(again.where(F.pmod(F.col("j") - F.col("i"), F.lit(BANDS)).between(1, NEXT)).select("i", F.xxhash64("bucket", "j", "y").alias("bucket"), "node")), "buckets")
+    two = keep(_sized(again.where(F.pmod(F.col("j") - F.col("i"), F.lit(BANDS)).between(1, NEXT)).select("i", F.xxhash64("bucket", "j", "y").alias("bucket"), "node")), "buckets", narrow=True)
     pairs = _pairs(one.where(size <= SMALL)).union(_pairs(two.where(size <= SMALL))).distinct()
     sides = [node_texts.withColumnsRenamed({"node": x, "text": f"text_{x}"}) for x in ("u", "v")]
     verified = pairs.join(sides[1], "v").join(sides[0], "u").mapInArrow(_verify(weights, threshold), LINK)
@@ -281,7 +281,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, class_id, class_size, is_first, key, mark.
 
     ``key`` and ``mark`` tell rows apart: equal rows share them. ``is_first`` marks the rows of each class that
-    equal its row with the smallest (key, mark).
+    equal its row with the smallest id; of several texts under that id, one is taken.
     """
     spark = docs.sparkSession
     texts = texts_of(docs).select(*same_row(), "text")
@@ -290,7 +290,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         texts.mapInArrow(_sign(weights), "key long, mark long, node long, words long, samples array<long>, bands array<long>"), "signatures"
     )
     filled = signed_rows.where("words > 0")
-    nodes = keep(filled.groupBy("node").agg(F.first("key").alias("key"), F.first("mark").alias("mark"), F.first("samples").alias("samples"), F.first("bands").alias("bands")), "nodes")
+    nodes = keep(filled.groupBy("node").agg(*(F.first(c).alias(c) for c in ("key", "mark", "samples", "bands"))), "nodes")
     bands = nodes.select("node", F.posexplode("bands").alias("band", "value"))
     shared = bands.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1").select("band", "value")
     met = nodes.join(bands.join(shared, ["band", "value"], "left_semi").select("node").distinct(), "node", "left_semi")
@@ -304,14 +304,15 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rows = signed_rows.select("key", "mark", "node", "words").join(roots, "node", "left")
     rows = keep(rows.select("key", "mark", F.coalesce("root", own).alias("root")), "classes")
     none = F.lit(-(2**63))
+    order = F.struct((F.col("key") == none).alias("unnamed"), "key", "mark")  # rows without an id come last
     classes = rows.groupBy("root").agg(
         F.count("*").alias("class_size"),
         F.min(F.when(F.col("key") != none, F.col("key"))).alias("class_id"),
-        F.min(F.struct("key", "mark")).alias("head"),
+        F.min(order).alias("head"),
     )
     return rows.join(classes, "root").select(
         F.when(F.col("key") != none, F.col("key")).alias("doc_id"), "class_id", "class_size",
-        (F.struct("key", "mark") == F.col("head")).alias("is_first"), "key", "mark",
+        (order == F.col("head")).alias("is_first"), "key", "mark",
     )
 
 

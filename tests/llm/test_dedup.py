@@ -111,6 +111,8 @@ def test_classes_of_strange_rows(spark):
     assert len(got) == docs.count()
     assert {(r.class_id, r.class_size) for r in got if r.doc_id == 1} == {(1, 2)}
     assert all(r.class_size == 1 for r in got if r.doc_id in (2, 3, 4))
+    twins = spark.createDataFrame([(None, "a b c d e f"), (9, "A b, c d e f"), (8, "a b c d e f")], "doc_id long, text string")
+    assert [r.doc_id for r in minhash.first_of_class(twins).collect()] == [8]
     kept = minhash.first_of_class(docs)
     assert kept.columns == docs.columns and kept.count() == docs.count() - 1
     assert minhash.near_duplicates(empty(spark)).count() == 0
