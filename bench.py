@@ -52,10 +52,10 @@ def main() -> None:
     from loomdex.catalog import QUERIES
     from loomdex.catalog import inputs as i
     from loomdex.plans import jobs
-    from loomdex.session import remove_path, scratch_path
+    from loomdex.session import clear_scratch, remove_path, scratch_path
     from loomdex.sources.collections import Collections
 
-    # one machine: a folder of its own serves as the shared one, and goes at the end
+    # one machine: a folder of its own serves as the shared one; what was written there goes at the end
     scratch = os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="bench-")
     spark = build_session(
         "bench",
@@ -119,7 +119,7 @@ def main() -> None:
             }
         )
     )
-    remove_path(spark, scratch)
+    clear_scratch(spark)
     spark.stop()
 
 
