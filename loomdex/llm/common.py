@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 from loomdex.session import scratch_path
 
 #: Bytes of text that one block of a task holds; a longer text is a block of its own.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
+#: Rows that cross to Python at once while a table is written; the session's own setting may be less.
+BATCH_ROWS = 1_000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 FILES_PER_SLOT = 4
 MULTIPLIER = 0x9E3779B97F4A7C15
 U = np.uint64
@@ -30,7 +33,13 @@ def keep(df: DataFrame, label: str, narrow: bool = False) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     if narrow:
         df = df.coalesce(FILES_PER_SLOT * df.sparkSession.sparkContext.defaultParallelism)
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(BATCH_SETTING)
+    conf.set(BATCH_SETTING, str(min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(BATCH_SETTING, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
