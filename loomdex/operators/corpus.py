@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomdex.functions.embedding import vocabulary_weights
 from loomdex.functions.text import keyword_lower, tokenize
@@ -17,6 +18,15 @@ def with_tokens(df: DataFrame, text: str = "text", out: str = "tokens") -> DataF
     return df.withColumn(out, tokenize(text))
 
 
+def _order_value(df: DataFrame, key: str, pos: Column) -> Column:
+    """Comparable (key, position). One decimal for whole-number keys: it can be updated in place,
+    so the aggregate hashes; a struct makes Spark sort the rows instead."""
+    if isinstance(df.schema[key].dataType, T.IntegralType):
+        wide = "decimal(38,0)"
+        return F.col(key).cast("decimal(20,0)").cast(wide) * F.lit(2**31).cast("decimal(10,0)") + pos.cast("decimal(10,0)")
+    return F.struct(F.col(key), pos)
+
+
 def token_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     """Term frequency over the corpus."""
     exploded = df.select(F.explode(tokens).alias("token"))
@@ -51,16 +61,19 @@ def vocabulary_topk(
 
 
 def _ranked(df: DataFrame, key: str, tokens: str, counted: DataFrame, cap: int, pad: bool, *extra: str) -> DataFrame:
-    """The first ``cap`` tokens by count. Where a token was seen first matters only to those with the count of
-    the last one that gets in, so first uses are looked up for these tokens alone."""
+    """The first ``cap`` tokens by count. Where a token was seen first matters only among tokens with the same count
+    that get in, so first uses are looked up for these alone: few, once the corpus is large."""
     if cap < 1:
         raise ValueError("vocabulary cap must be positive")
     cut = counted.orderBy(F.desc("n")).limit(cap).agg(F.min("n")).scalar()
     reached = counted.where(F.col("n") >= cut)
     uses = df.select(key, F.posexplode(F.array_distinct(tokens)).alias("pos", "token"))
-    first = uses.join(reached.select("token"), "token").groupBy("token").agg(F.min(F.struct(key, "pos")).alias("first_seen"))
+    shared = reached.groupBy("n").agg(F.count(F.lit(1)).alias("_alike")).where("_alike > 1")
+    tied = reached.join(shared, "n", "left_semi").select("token")
+    first_use = F.min(_order_value(df, key, F.col("pos"))).alias("first_seen")
+    first = uses.join(tied, "token", "left_semi").groupBy("token").agg(first_use)
     order = [F.desc("n"), F.asc("first_seen")]
-    top = reached.join(first, "token").orderBy(*order).limit(cap)
+    top = reached.join(first, "token", "left").orderBy(*order).limit(cap)
     # at most `cap` rows are left here, so one task is enough to number them
     vocab = top.select(
         (F.row_number().over(Window.orderBy(*order)) - 1).cast("bigint").alias("idx"),
