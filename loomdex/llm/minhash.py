@@ -9,10 +9,13 @@
 2. Each different text gets ``BANDS`` x ``ROWS`` consistent weighted samples; samples are hashed by band. A pair
    with similarity 0.8 shares no band with probability (1 - 0.8^2)^12 = 5e-6.
 3. A band's bucket with few texts is joined into pairs. A middle one is one block of a task, which verifies likely
-   pairs until all that is near is connected. One above ``LARGE`` is split by the next bands; where even that
-   is above ``LARGE``, it is dealt at random, otherwise in each bucket, into blocks with one common text. So no
-   bucket is cut, none meets in one task and pairs never grow with the square of a group.
-4. Pairs are verified by the weighted Jaccard similarity of their whole texts, and linked texts form classes.
+   pairs until all that is near is connected. One above ``LARGE`` is first split by the next bands; where even that
+   is above ``LARGE``, it is dealt at random, otherwise in each bucket, into blocks with one common text.
+4. Such a split misses pairs, so the texts of all buckets above ``LARGE`` are then joined on their rarest shingles:
+   of a pair at the threshold, the lighter text's rarest (1 - t) / (1 + t) of its weight and the heavier one's rarest
+   1 - t share a shingle. All pairs of such a shingle that are not connected yet are compared, many of them as a grid
+   of blocks. That is the square of a group only where its texts are at the threshold to each other but apart.
+5. Pairs are verified by the weighted Jaccard similarity of their whole texts, and linked texts form classes.
 
 Equal word sequences are one text from the start. Null, empty and wordless texts are classes of their own. Null
 ids are kept; a class is named by its smallest id. Repeated rows are copies. Other columns are ignored.
@@ -38,7 +41,7 @@ RARE = 1 / 2048
 SPAN = 0.25
 #: Texts of a bucket that are compared pairwise.
 SMALL = 12
-#: Bands by which a too large bucket of a band is split: of pairs at 0.8 in it, 19 of 20 meet again, for each band they share.
+#: Bands by which a too large bucket of a band is split first.
 NEXT = 3
 #: Texts of a bucket that one task compares.
 LARGE = 500
@@ -72,14 +75,19 @@ def _add_cells(batches):
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([total.tobytes()])], names=["part", "cells"])
 
 
-def inverse_frequencies(texts: DataFrame, documents: int) -> np.ndarray:
-    """Weight of each cell, from all texts. The table has a fixed size and may be sent to every task."""
+def cell_counts(texts: DataFrame) -> np.ndarray:
+    """How many texts have a shingle of each cell. The table has a fixed size and may be sent to every task."""
     schema = "part int, cells binary"
     summed = texts.select("text").mapInArrow(_count_cells, schema).repartition(PARTS, "part").mapInArrow(_add_cells, schema)
     cells = np.zeros((PARTS, CELLS // PARTS))
     for row in summed.collect():  # PARTS rows of one fixed size
         cells[row.part] = np.frombuffer(row.cells, np.int64)
-    cells = cells.ravel()
+    return cells.ravel()
+
+
+def inverse_frequencies(texts: DataFrame, documents: int) -> np.ndarray:
+    """Weight of each cell, from all texts."""
+    cells = cell_counts(texts)
     noise = (cells.sum() - cells) / (CELLS - 1)
     share = np.clip((cells - noise) / max(documents, 1), RARE, 1)
     return (1 + SPAN * np.log(share) / np.log(RARE)).astype(np.float32)
@@ -176,9 +184,12 @@ def _verify(weights, threshold: float):
 
 
 def _cluster(weights, threshold: float):
-    """Links that connect each group of texts of one block: all likely pairs are verified unless connected already."""
+    """Links that connect each group of texts of one block: all likely pairs are verified unless connected already.
+
+    Texts with one ``root`` are connected from the start.
+    """
 
-    def solve(cells, node, samples, texts):
+    def solve(cells, node, root, samples, texts):
         n = len(node)
         data = np.frombuffer(b"".join(texts), np.uint8)
         at = np.r_[0, np.cumsum([len(t) for t in texts])]
@@ -188,10 +199,10 @@ def _cluster(weights, threshold: float):
         alike = np.zeros((n, n), np.int8)
         for k in range(samples.shape[1]):
             alike += samples[:, k, None] == samples[None, :, k]
-        i, j = np.nonzero(np.triu(alike >= LIKELY * samples.shape[1], 1))
+        root = np.unique(root, return_inverse=True)[1]
+        i, j = np.nonzero(np.triu((alike >= LIKELY * samples.shape[1]) & (root[:, None] != root), 1))
         order = np.argsort(-alike[i, j], kind="stable")
         i, j = i[order], j[order]
-        root = np.arange(n)
         links = []
         while len(i):
             part = slice(0, 1000)
@@ -215,13 +226,13 @@ def _cluster(weights, threshold: float):
         for batch in batches:
             samples = batch.column("samples")
             flat = samples.flatten().to_numpy().reshape(len(samples), -1)
-            rows = zip(batch.column("bucket").to_pylist(), batch.column("block").to_pylist(), batch.column("node").to_pylist(), flat, batch.column("text").to_pylist())
-            for bucket, block, node, own, text in rows:
+            lists = (batch.column(c).to_pylist() for c in ("bucket", "block", "node", "root", "text"))
+            for bucket, block, node, root, text, own in zip(*lists, flat):
                 if (bucket, block) != group:
                     if len(held) > 1:
                         yield from _emit(solve(cells, *_columns(held)))
                     group, held = (bucket, block), []
-                held.append((node, own, text.encode()))
+                held.append((node, root, own, text.encode()))
         if len(held) > 1:
             yield from _emit(solve(cells, *_columns(held)))
 
@@ -229,8 +240,8 @@ def _cluster(weights, threshold: float):
 
 
 def _columns(held: list) -> tuple:
-    node, samples, texts = zip(*held)
-    return node, np.array(samples), texts
+    node, root, samples, texts = zip(*held)
+    return node, np.array(root), np.array(samples), texts
 
 
 def _emit(links: list):
@@ -249,16 +260,87 @@ def _pairs(members: DataFrame) -> DataFrame:
     return members.alias("a").join(members.alias("b"), F.expr("a.bucket = b.bucket and a.node < b.node")).selectExpr("a.node as u", "b.node as v")
 
 
-def connecting_links(nodes: DataFrame, node_texts: DataFrame, weights, threshold: float) -> DataFrame:
-    """Verified links (u, v, similarity) between nodes (node, samples, bands) that connect what is near."""
+def _verified(pairs: DataFrame, node_texts: DataFrame, weights, threshold: float) -> DataFrame:
+    sides = [node_texts.withColumnsRenamed({"node": x, "text": f"text_{x}"}) for x in ("u", "v")]
+    return pairs.join(sides[1], "v").join(sides[0], "u").mapInArrow(_verify(weights, threshold), LINK)
+
+
+def _clustered(blocks_of: DataFrame, nodes: DataFrame, node_texts: DataFrame, weights, threshold: float) -> DataFrame:
+    """Links within each block (bucket, block, node, root)."""
+    return (
+        blocks_of.join(nodes.select("node", "samples"), "node").join(node_texts, "node")
+        .select("bucket", "block", "node", "root", "samples", "text")
+        .repartition("bucket", "block").sortWithinPartitions("bucket", "block")
+        .mapInArrow(_cluster(weights, threshold), LINK)
+    )
+
+
+def _rarest(weights, counts, threshold: float):
+    """Postings of the rarest shingles of each text, by ``counts``: a share 1 - t of its weight, and in it the share for the lighter of two."""
+
+    def make():
+        cells, seen = weights.value, counts.value
+
+        def work(batch):
+            own = batch.select(["node", "root"])
+            for row, end, data, at in blocks(batch):
+                words, _, _, first = hashed_words(data, at)
+                text, code, often, _ = shingles(words, first)
+                order = np.lexsort((code, seen[_cell(code)], text))  # any order that is the same for all texts is right
+                code, weight = code[order], (often * cells[_cell(code)].astype(np.float64))[order]
+                total = np.bincount(text, weight, minlength=end - row)
+                before = np.cumsum(weight) - weight
+                share = (before - before[np.searchsorted(text, text)]) / total[text] - 1e-6
+                taken = np.flatnonzero(share <= 1 - threshold)
+                light = share[taken] <= (1 - threshold) / (1 + threshold)
+                of = own.slice(row, end - row).take(pa.array(text[taken]))
+                columns = [signed(code[taken]), *of.columns, pa.array(light), pa.array(total[text[taken]])]
+                yield pa.RecordBatch.from_arrays(columns, names=["bucket", "node", "root", "light", "weight"])
+
+        return work
+
+    return per_task(make)
+
+
+def crowded_links(crowded: DataFrame, nodes: DataFrame, node_texts: DataFrame, weights, threshold: float) -> DataFrame:
+    """Verified links that connect what is near among ``crowded`` (node, root) and does not share a root."""
+    texts = node_texts.join(crowded, "node")
+    counts = crowded.sparkSession.sparkContext.broadcast(cell_counts(texts).astype(np.float32))
+    schema = "bucket long, node long, root long, light boolean, weight double"
+    postings = keep(texts.select("node", "root", "text").mapInArrow(_rarest(weights, counts, threshold), schema), "rarest")
+    by_root = postings.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.count_if("light").alias("light"))
+    size = by_root.groupBy("bucket").agg(
+        F.sum("n").alias("size"), F.sum("light").alias("lights"), F.max("n").alias("most"), F.max_by("root", "n").alias("main")
+    )
+    # Of a pair to compare, one is light here, and one is outside of the main root: the fewer of both are one side.
+    sides = size.where("most < size and lights > 0").select(
+        "bucket", "size", "main", (F.col("lights") <= F.col("size") - F.col("most")).alias("by_light"), F.least("lights", F.expr("size - most")).alias("few")
+    )
+    met = keep(postings.join(sides, "bucket"), "rarest", narrow=True)
+    small = F.col("few") * F.col("size") <= SMALL**2
+    a, b = met.where(small & F.col("light")).alias("a"), met.where(small).alias("b")
+    near = f"a.weight <= b.weight and a.weight >= {threshold - 1e-6} * b.weight"
+    pairs = a.join(b, F.expr(f"a.bucket = b.bucket and a.root <> b.root and {near}")).selectExpr("least(a.node, b.node) as u", "greatest(a.node, b.node) as v")
+
+    half = max(LARGE // 2, 1)
+    down, across = F.ceil(F.col("few") / half), F.ceil(F.col("size") / half)
+    place = F.xxhash64("node", "bucket")
+    one_side = F.when(F.col("by_light"), F.col("light")).otherwise(F.col("root") != F.col("main"))
+    grid = met.where(~small).withColumns({"down": down, "across": across})
+    first = grid.where(one_side).withColumn("i", F.pmod(place, "down")).select("*", F.explode(F.expr("sequence(0L, across - 1)")).alias("j"))
+    second = grid.withColumn("j", F.pmod(place, "across")).select("*", F.explode(F.expr("sequence(0L, down - 1)")).alias("i"))
+    cells = first.unionByName(second).select("bucket", F.expr("i * across + j").alias("block"), "node", "root")
+    return _verified(pairs.distinct(), node_texts, weights, threshold).union(_clustered(cells, nodes, node_texts, weights, threshold))
+
+
+def connected(nodes: DataFrame, node_texts: DataFrame, weights, threshold: float) -> DataFrame:
+    """Rows (node, root) of the nodes (node, samples, bands) that are near to another."""
     banded = nodes.select("node", F.posexplode("bands").alias("i", "x"))
     one = keep(_sized(banded.select("i", F.xxhash64("i", "x").alias("bucket"), "node")), "buckets", narrow=True)
     size = F.col("size")
     again = one.where(size > LARGE).select("i", "bucket", "node").join(nodes.select("node", F.posexplode("bands").alias("j", "y")), "node")
     two = keep(_sized(again.where(F.pmod(F.col("j") - F.col("i"), F.lit(BANDS)).between(1, NEXT)).select("i", F.xxhash64("bucket", "j", "y").alias("bucket"), "node")), "buckets", narrow=True)
     pairs = _pairs(one.where(size <= SMALL)).union(_pairs(two.where(size <= SMALL))).distinct()
-    sides = [node_texts.withColumnsRenamed({"node": x, "text": f"text_{x}"}) for x in ("u", "v")]
-    verified = pairs.join(sides[1], "v").join(sides[0], "u").mapInArrow(_verify(weights, threshold), LINK)
     # Middle buckets are one block each. Above that, and alike in two bands, random blocks; the leader is in all.
     dealt = F.pmod(F.xxhash64("node", "bucket"), F.ceil(size / LARGE)).cast("int")
     over = two.where(size > LARGE)
@@ -267,14 +349,16 @@ def connecting_links(nodes: DataFrame, node_texts: DataFrame, weights, threshold
         one.union(two).where((size > SMALL) & (size <= LARGE)).select("bucket", "node", F.lit(0).alias("block"))
         .union(over.where("node <> leader").select("bucket", "node", dealt.alias("block")))
         .union(leaders)
-    )
-    clustered = (
-        blocks_of.join(nodes.select("node", "samples"), "node").join(node_texts, "node")
-        .select("bucket", "block", "node", "samples", "text")
-        .repartition("bucket", "block").sortWithinPartitions("bucket", "block")
-        .mapInArrow(_cluster(weights, threshold), LINK)
-    )
-    return verified.union(clustered)
+    ).withColumn("root", F.col("node"))
+    links = _verified(pairs, node_texts, weights, threshold).union(_clustered(blocks_of, nodes, node_texts, weights, threshold))
+    roots = components(links.select("u", "v"))
+    crowded = one.where(size > LARGE).select("node").distinct()
+    if crowded.isEmpty():
+        return roots
+    roots = keep(roots, "roots", narrow=True)
+    crowded = keep(crowded.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root")), "crowded", narrow=True)
+    more = crowded_links(crowded, nodes, node_texts, weights, threshold)
+    return components(roots.selectExpr("node as u", "root as v").union(more.select("u", "v")))
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -297,8 +381,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     of_node = texts.join(met.select("key", "mark", "node"), ["key", "mark"]).dropDuplicates(["node"]).select("node", "text")
     node_texts = keep(of_node, "node-texts")
 
-    links = connecting_links(nodes.join(met.select("node"), "node", "left_semi"), node_texts, weights, threshold)
-    roots = components(links.select("u", "v"))
+    roots = connected(nodes.join(met.select("node"), "node", "left_semi"), node_texts, weights, threshold)
     # A text without words stands alone: its row is its class.
     own = F.when(F.col("words") > 0, F.col("node")).otherwise(F.xxhash64("key", "mark", F.monotonically_increasing_id()))
     rows = signed_rows.select("key", "mark", "node", "words").join(roots, "node", "left")

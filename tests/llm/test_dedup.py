@@ -97,6 +97,23 @@ def test_classes_equal_brute_force(spark, monkeypatch, small, large):
     assert all(r.class_size == len(have[r.class_id]) and r.class_id == min(have[r.class_id]) for r in got)
 
 
+def test_planted_pairs_of_one_template_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "SMALL", 2)
+    monkeypatch.setattr(minhash, "LARGE", 6)
+    r = random.Random(12)
+    base = [f"w{i}" for i in range(140)]
+    texts = [" ".join(base + [f"u{r.randrange(10**6)}" for _ in range(40)]) for _ in range(300)]
+    planted = [t.rsplit(" ", 12)[0] + " " + " ".join(f"v{r.randrange(10**6)}" for _ in range(12)) for t in texts[::6]]
+    lighter = [texts[i].rsplit(" ", 14)[0] for i in (3, 9, 15)]
+    rows = list(enumerate([*texts, *planted, *lighter, " ".join(base), " ".join(base[:130])]))
+    r.shuffle(rows)
+    have: dict = {}
+    for x in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        have.setdefault(x.class_id, []).append(x.doc_id)
+    want = {frozenset(rows[i][0] for i in v) for v in classes_by_brute_force(rows)}
+    assert sum(len(v) == 2 for v in want) > 40 and {frozenset(v) for v in have.values()} == want
+
+
 def test_classes_of_whole_table_equal_brute_force(spark, data):
     rows = [tuple(r) for r in table(spark, data, "documents").orderBy("doc_id").select("doc_id", "text").collect()]
     have: dict = {}
