@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import zlib
 from bisect import bisect_left, insort
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -25,17 +26,19 @@ from pyspark.sql import functions as F
 
 from loomdex.llm.common import keep, per_task, texts_of
 
+#: Added token of the vocabulary, numbered after its ranks.
+END = "<|endoftext|>"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, number long"
 
 
 def encoder(path: str):
-    """Byte-level BPE from a file of ranks; strings of special tokens are ordinary text."""
+    """Byte-level BPE from a file of ranks. The name of the end token in a text is that token, as in the tokenizer's JSON file."""
     import tiktoken
 
     pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={END: len(ranks)})
 
 
 def pieces(docs: DataFrame, ranks_path: str, capacity: int = 1024, end_id: int = 2, with_ids: bool = False) -> DataFrame:
@@ -43,7 +46,7 @@ def pieces(docs: DataFrame, ranks_path: str, capacity: int = 1024, end_id: int =
     schema = PIECES + (", ids array<int>" if with_ids else "")
 
     def make():
-        encode = encoder(ranks_path).encode_ordinary
+        encode = partial(encoder(ranks_path).encode, allowed_special="all")
         seen = np.zeros(capacity + 1, np.int64)
         task = TaskContext.get().partitionId()
 

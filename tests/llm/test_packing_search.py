@@ -27,6 +27,14 @@ def test_ids_equal_the_other_library():
     assert [encode(t) for t in texts] == [e.ids for e in tokenizer().encode_batch(texts, add_special_tokens=False)]
 
 
+def test_name_of_the_end_token_in_a_text_is_that_token(spark):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n y", " <|endoftext|", "<|endoftext|> <|ENDOFTEXT|>", "it's<|endoftext|>'s"]
+    want = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode_batch(texts, add_special_tokens=False)
+    assert want[0].ids == [64, 220, 50256, 275]
+    got = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), RANKS, with_ids=True).collect()
+    assert {r.doc_id: r.ids for r in got} == {i: [*w.ids, 2] for i, w in enumerate(want)}
+
+
 @pytest.mark.parametrize("capacity", [16, 100])
 def test_plan_places_all_and_is_close_to_the_bound(capacity):
     r = random.Random(capacity)
