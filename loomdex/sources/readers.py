@@ -40,21 +40,16 @@ NULL_WORDS = [
 
 
 def scan_csv(
-    spark: SparkSession, path: str, schema: T.StructType, null_words: bool = True, multi_line: bool = False
+    spark: SparkSession, path: str, schema: T.StructType, null_words: bool = True, multi_line: bool = True
 ) -> DataFrame:
     """Header CSV with a declared schema; columns are matched by name.
 
-    Every column is read as text, the null words become null, and then types are cast. With
-    ``multi_line`` quoted values may hold line breaks, but then a file can't be split over tasks.
+    Every column is read as text, the null words become null, and then types are cast. Quoted values may
+    hold line breaks; without ``multi_line``, for files known to have none, a file is split over tasks.
     """
-    names = spark.read.option("header", True).csv(path).columns
-    raw = (
-        spark.read.schema(_strings(*names))
-        .option("header", True)
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .csv(path)
-    )
+    options = {"header": True, "multiLine": multi_line, "escape": '"'}
+    names = spark.read.options(**options).csv(path).columns
+    raw = spark.read.schema(_strings(*names)).options(**options).csv(path)
 
     def value(field: T.StructField):
         if field.name not in names:

@@ -93,6 +93,13 @@ def test_csv_round_trip_with_quotes_lines_and_null_words(spark):
     assert raw.geschaeft_beschluss_franz == "NaN"
 
 
+def test_csv_values_with_line_breaks_are_whole_by_default(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,"long\nname",text\n1,x,"one\n\ntwo, ""three"""\n2,y,z\n', encoding="utf-8")
+    schema = "text string, id long, `long\nname` string"
+    got = readers.scan_csv(spark, str(tmp_path), spark.createDataFrame([], schema).schema).orderBy("id").collect()
+    assert [tuple(r) for r in got] == [('one\n\ntwo, "three"', 1, "x"), ("z", 2, "y")]
+
+
 def test_files_as_rows(spark, tmp_path):
     (tmp_path / "a.b.txt").write_text("eins\nzwei", encoding="utf-8")
     (tmp_path / "c.md").write_text("no")
