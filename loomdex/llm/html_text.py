@@ -8,7 +8,7 @@
 3. What the template leaves open are slots. The element that holds the slots with most of the text, an article or main element
    first, is the host's main element; a page that lacks it is judged by its own elements alone.
 4. Of each page, the blocks inside of the main element are kept in order, except elements that are menus, headers,
-   footers, sidebars, notices, adverts, forms or comments by tag, role or class, and nested divisions that hold template text only.
+   footers, sidebars, notices, adverts, forms or comments by tag, role or class (unless they hold all of main), and nested divisions that hold template text only.
 
 Null and empty pages give an empty text. Pages without an address are one host. Repeated pages are extracted each; their
 text stays, as the text that stands directly in the main element is never taken for the template's. Other
@@ -49,15 +49,18 @@ NOISE_WORDS = frozenset(
     pagination popup promo promotion related recommended replies reply search share sharing sidebar signup social sponsor sponsored
     subscribe subscription toolbar widget""".split()
 )
+#: Parts of a class that tell of a state and do not name what the element is, as in with-sidebar or comments-open.
+STATES = frozenset("has with without no not hide show open opened closed enabled disabled".split())
 #: A nested element that holds this share of the main element's text takes its place.
 MOST = 0.9
 
 
 def blocks_of(page: str) -> tuple[list[tuple[str, bool, str]], Counter]:
     """Blocks in page order as (path, noise, text), and how often each path's element opens."""
-    out: list[tuple[str, bool, str]] = []
+    out: list[tuple[str, bool, tuple, int, str]] = []
     opened: Counter = Counter()
-    stack: list[tuple[str, str, bool]] = []  # tag, path, noise
+    stack: list[tuple[str, str, bool, tuple, int]] = []  # tag, path, noise, elements with noise words, 1 in an article, 2 in main
+    marked = 0
     parts: list[str] = []
 
     def flush() -> None:
@@ -65,8 +68,8 @@ def blocks_of(page: str) -> tuple[list[tuple[str, bool, str]], Counter]:
             text = SPACE.sub(" ", entities.unescape("".join(parts))).strip()
             parts.clear()
             if text:
-                _, path, noise = stack[-1] if stack else ("", "", False)
-                out.append((path, noise, text))
+                _, *where = stack[-1] if stack else ("", "", False, (), 0)
+                out.append((*where, text))
 
     at = 0
     while True:
@@ -91,20 +94,34 @@ def blocks_of(page: str) -> tuple[list[tuple[str, bool, str]], Counter]:
             if not close:
                 marks = sorted({w for m in CLASS.findall(rest) for w in "".join(m).lower().split()})
                 path = (stack[-1][1] + "/" if stack else "") + ".".join([name, *marks])
-                words = {x for m in marks for x in re.split(r"[^a-z]+", m)}
+                words = {x for m in marks if not STATES & (parts_of := set(re.split(r"[^a-z]+", m))) for x in parts_of}
                 inside = any(s[0] in ("article", "main") for s in stack)
                 noise = bool(stack and stack[-1][2]) or name in NOISE_TAGS or (name == "header" and not inside)
-                noise = noise or bool(words & NOISE_WORDS and name not in ("html", "body")) or bool(HIDDEN.search(rest))
+                noise = noise or bool(HIDDEN.search(rest))
+                worded, level = stack[-1][3:] if stack else ((), 0)
+                if words & NOISE_WORDS and name not in ("html", "body", "main"):
+                    worded = (*worded, marked := marked + 1)
+                else:
+                    level = max(level, {"article": 1, "main": 2}.get(name, 0))
                 opened[path] += 1
                 if not rest.rstrip().endswith("/"):
-                    stack.append((name, path, noise))
+                    stack.append((name, path, noise, worded, level))
             else:
                 depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
                 if depth is not None:
                     del stack[depth:]
     flush()
     # Text in the head, such as a title, is no block of the page.
-    return [b for b in out if "head" not in b[0].split("/")[:2]], opened
+    out = [b for b in out if "head" not in b[0].split("/")[:2]]
+    # A noise word is no mark of what holds all text of main or the articles or, without any, most text of the page.
+    top = max((level for _, noise, _, level, _ in out if not noise), default=0)
+    total, held = 0, Counter()
+    for _, noise, worded, level, text in out:
+        if not noise and level == top:
+            total += len(text)
+            held.update(dict.fromkeys(worded, len(text)))
+    whole = {e for e, n in held.items() if (n == total if top else 2 * n > total)}
+    return [(path, noise or not whole.issuperset(worded), text) for path, noise, worded, _, text in out], opened
 
 
 def _number(*parts: str) -> int:

@@ -150,3 +150,13 @@ def test_main_text_of_whole_table(spark, data):
         parts = (re.sub(r"<[^>]*>", "", re.sub(r"<br>", " ", p)) for p in re.split(r"</?(?:p|h1)>", inner))
         want = [t for t in (re.sub(r"\s+", " ", html.unescape(p)).strip() for p in parts) if t]
         assert row.text == "\n".join(want)
+
+
+@pytest.mark.parametrize("wrapper", [
+    "<div class='page with-sidebar'><article>@</article></div>", "<main class='no-sidebar'>@</main>", "<div id='search-page'>@</div>",
+    "<article class='post has-related comments-open'>@</article>", "<div class='comments-open sidebar'><main id='search'>@</main></div>",
+])
+def test_noise_words_of_whole_page_wrappers(wrapper):
+    rest = "<div class='sidebar'>side</div><div class='comment-list'><article class='comment'>me too</article></div><nav>menu</nav>"
+    page = "<html><body>" + wrapper.replace("@", f"<h1>Title</h1><p>{'long text ' * 20}</p><div class='ad-slot'>buy</div>") + rest + "</body></html>"
+    assert html_text.main_text(page, None, frozenset()) == "Title\n" + ("long text " * 20).strip()
