@@ -11,7 +11,7 @@
    footers, sidebars, notices, adverts, forms or comments by tag, role or class (unless they hold all of main), and nested divisions that hold template text only.
 
 Null and empty pages give an empty text. Pages without an address are one host. Repeated pages are extracted each; their
-text stays, as the text that stands directly in the main element is never taken for the template's. Other
+text stays, as pages of a host that say the same outside of noise count once in 1 to 3. Other
 columns are ignored; an empty table gives no rows.
 """
 
@@ -161,11 +161,22 @@ def _tokens(batches):
         yield emit()
 
 
+def _contents(batches):
+    """Pages with a digest of what they say outside of noise: copies that differ in a menu or an advert share it."""
+    for batch in batches:
+        said = [_number(*(x for path, noise, text in blocks_of(page)[0] if not noise for x in (path, text))) for page in batch.column("html").to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(said, pa.int64())], names=[*batch.schema.names, "said"])
+
+
 def templates(pages: DataFrame) -> DataFrame:
-    """One row per host: elements of its template with the slots' text below them, and the template's own texts."""
+    """One row per host: elements of its template with the slots' text below them, and the template's own texts.
+
+    Copies of a page count once, so what recurs does so on pages whose other text differs.
+    """
+    pages = pages.select("host", "html").mapInArrow(_contents, "host string, html string, said long").dropDuplicates(["host", "said"])
     schema = "host string, kind int, path string, value long, pages long, total long, chars long, vector long"
     tokens = (
-        pages.select("host", F.col("page_id").cast("string").alias("page"), "html").mapInArrow(_tokens, schema)
+        pages.select("host", F.col("said").cast("string").alias("page"), "html").mapInArrow(_tokens, schema)
         .groupBy("host", "kind", "path", "value")
         .agg(*(F.sum(c).alias(c) for c in ("pages", "total", "chars")), F.bit_xor("vector").alias("vector"))
     )

@@ -160,3 +160,15 @@ def test_noise_words_of_whole_page_wrappers(wrapper):
     rest = "<div class='sidebar'>side</div><div class='comment-list'><article class='comment'>me too</article></div><nav>menu</nav>"
     page = "<html><body>" + wrapper.replace("@", f"<h1>Title</h1><p>{'long text ' * 20}</p><div class='ad-slot'>buy</div>") + rest + "</body></html>"
     assert html_text.main_text(page, None, frozenset()) == "Title\n" + ("long text " * 20).strip()
+
+
+def test_text_of_copied_pages_stays(spark):
+    page = "<html><body><nav>menu {1}</nav><article><h1>T{0}</h1><div class='lead'><p>lead {0} of it</p></div><div class='body'><p>body {0} of it all</p></div><div class='box'>Same words</div></article></body></html>"
+    want = {}
+    rows = []
+    for host, numbers in (("two.x", [1, 1]), ("many.x", [1, 1, 1, 1, 2, 3, 4]), ("hot.x", [5] * 30)):
+        for n, i in enumerate(numbers):
+            want[len(rows)] = f"T{i}\nlead {i} of it\nbody {i} of it all" + "\nSame words" * (host != "many.x")
+            rows.append((len(rows), f"http://{host}/{n}", page.format(i, n % 2)))
+    got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == want
