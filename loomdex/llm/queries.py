@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomdex.llm import html_text, licenses, minhash, multi_index, packing, quality, seed_extend, suffix_dedup, tiling, toxicity
-from loomdex.llm.common import table
+from loomdex.llm import (
+    fim, html_text, licenses, minhash, multi_index, packing, quality, seed_extend, simhash, suffix_dedup, tiling, toxicity, whitening,
+)
+from loomdex.llm.common import keep, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,6 +78,20 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
     return found.select("row.doc_id", F.explode("matches").alias("m")).select("doc_id", "m.*")
 
 
+def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    white = whitening.whiten(table(spark, folder, "embeddings"), 4)
+    return white.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    store = keep(fim.frame_store(table(spark, folder, "documents")), "frames")
+    return fim.outputs(fim.fill_in_middle(store), text=False).withColumnRenamed("units", "n")
+
+
+def op13_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_license_scans": op2_license_scans,
@@ -87,5 +103,8 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_simhash_near_dedup": op13_simhash_near_dedup,
 }
-ORACLES: dict[str, str] = {"op2_license_scans": licenses.oracle()}
+ORACLES: dict[str, str] = {"op2_license_scans": licenses.oracle(), "op12_fill_in_middle": fim.oracle()}
