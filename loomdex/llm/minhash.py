@@ -13,7 +13,7 @@
    is above ``LARGE``, it is dealt at random, otherwise in each bucket, into blocks with one common text.
 4. Such a split misses pairs, so the texts of all buckets above ``LARGE`` are then joined on their rarest shingles:
    of a pair at the threshold, the lighter text's rarest (1 - t) / (1 + t) of its weight and the heavier one's rarest
-   1 - t share a shingle. All pairs of such a shingle that are not connected yet are compared, many of them as a grid
+   1 - t share a shingle; how far into the latter depends on the ratio of their weights. All pairs of such a shingle that are not connected yet are compared, many of them as a grid
    of blocks. That is the square of a group only where its texts are at the threshold to each other but apart.
 5. Pairs are verified by the weighted Jaccard similarity of their whole texts, and linked texts form classes.
 
@@ -45,6 +45,8 @@ SMALL = 12
 NEXT = 3
 #: Texts of a bucket that one task compares.
 LARGE = 500
+#: Texts, and bytes of them, that a block of the grid over a frequent shingle takes.
+GRID, GRID_BYTES = 1_600, 8 << 20
 #: Share of equal samples from which a pair is verified; at similarity 0.8, 1 pair in 20,000 is below it.
 LIKELY = 10 / 24
 LINK = "u long, v long, similarity double"
@@ -294,8 +296,10 @@ def _rarest(weights, counts, threshold: float):
                 taken = np.flatnonzero(share <= 1 - threshold)
                 light = share[taken] <= (1 - threshold) / (1 + threshold)
                 of = own.slice(row, end - row).take(pa.array(text[taken]))
-                columns = [signed(code[taken]), *of.columns, pa.array(light), pa.array(total[text[taken]])]
-                yield pa.RecordBatch.from_arrays(columns, names=["bucket", "node", "root", "light", "weight"])
+                # Of a pair at the threshold, the lighter text has at most this weight if the heavier one's first common shingle is here.
+                reach = total[text[taken]] * ((1 - share[taken]) * (1 + threshold) / threshold - 1 + 1e-6)
+                columns = [signed(code[taken]), *of.columns, pa.array(light), pa.array(total[text[taken]]), pa.array(reach), pa.array(np.diff(at)[text[taken]])]
+                yield pa.RecordBatch.from_arrays(columns, names=["bucket", "node", "root", "light", "weight", "reach", "bytes"])
 
         return work
 
@@ -306,15 +310,18 @@ def crowded_links(crowded: DataFrame, nodes: DataFrame, node_texts: DataFrame, w
     """Verified links that connect what is near among ``crowded`` (node, root) and does not share a root."""
     texts = node_texts.join(crowded, "node")
     counts = crowded.sparkSession.sparkContext.broadcast(cell_counts(texts).astype(np.float32))
-    schema = "bucket long, node long, root long, light boolean, weight double"
+    schema = "bucket long, node long, root long, light boolean, weight double, reach double, bytes long"
     postings = keep(texts.select("node", "root", "text").mapInArrow(_rarest(weights, counts, threshold), schema), "rarest")
-    by_root = postings.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.count_if("light").alias("light"))
+    lightest = postings.where("light").groupBy("bucket").agg(F.min("weight").alias("lightest"))
+    postings = keep(postings.join(lightest, "bucket").where("light or lightest <= reach").drop("lightest", "reach"), "rarest")
+    by_root = postings.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.count_if("light").alias("light"), F.sum("bytes").alias("bytes"))
     size = by_root.groupBy("bucket").agg(
-        F.sum("n").alias("size"), F.sum("light").alias("lights"), F.max("n").alias("most"), F.max_by("root", "n").alias("main")
+        F.sum("n").alias("size"), F.sum("light").alias("lights"), F.max("n").alias("most"), F.max_by("root", "n").alias("main"),
+        F.ceil(F.sum("bytes") / F.sum("n")).alias("mean"),
     )
     # Of a pair to compare, one is light here, and one is outside of the main root: the fewer of both are one side.
     sides = size.where("most < size and lights > 0").select(
-        "bucket", "size", "main", (F.col("lights") <= F.col("size") - F.col("most")).alias("by_light"), F.least("lights", F.expr("size - most")).alias("few")
+        "bucket", "size", "main", "mean", (F.col("lights") <= F.col("size") - F.col("most")).alias("by_light"), F.least("lights", F.expr("size - most")).alias("few")
     )
     met = keep(postings.join(sides, "bucket"), "rarest", narrow=True)
     small = F.col("few") * F.col("size") <= SMALL**2
@@ -322,7 +329,8 @@ def crowded_links(crowded: DataFrame, nodes: DataFrame, node_texts: DataFrame, w
     near = f"a.weight <= b.weight and a.weight >= {threshold - 1e-6} * b.weight"
     pairs = a.join(b, F.expr(f"a.bucket = b.bucket and a.root <> b.root and {near}")).selectExpr("least(a.node, b.node) as u", "greatest(a.node, b.node) as v")
 
-    half = max(LARGE // 2, 1)
+    # A block's texts are bounded in number and in bytes, as far as the list's mean tells; longer ones are few in each block.
+    half = F.greatest(F.least(F.lit(GRID // 2), F.floor(F.lit(GRID_BYTES // 2) / F.col("mean"))), F.lit(1))
     down, across = F.ceil(F.col("few") / half), F.ceil(F.col("size") / half)
     place = F.xxhash64("node", "bucket")
     one_side = F.when(F.col("by_light"), F.col("light")).otherwise(F.col("root") != F.col("main"))

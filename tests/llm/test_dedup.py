@@ -43,8 +43,8 @@ def test_texts_without_repeats_keep_columns_and_rows(spark):
     got = suffix_dedup.without_repeats(docs)
     assert got.columns == docs.columns and got.count() == docs.count()
     assert {r.doc_id: r.text for r in got.where("doc_id in (3, 6)").collect()}.keys() == {3, 6}
-    kept = {tuple(r)[:2]: r.text for r in suffix_dedup.remove_repeats(docs, with_text=True).selectExpr("doc_id", "kept_sha256", "cast(kept as string) text").collect()}
-    assert sorted(x or "" for x in kept.values()) == sorted({r.text or "" for r in got.collect()} | set()) or kept
+    kept = suffix_dedup.remove_repeats(docs, with_text=True).selectExpr("doc_id", "decode(kept, 'utf-8') as text").collect()
+    assert sorted(x.text or "" for x in kept) == sorted(r.text or "" for r in got.collect())
 
 
 @pytest.mark.parametrize(("group", "pairs"), [(20_000, 64), (20_000, 1), (1, 1)])
@@ -68,7 +68,8 @@ def test_repeats_of_strange_rows(spark, remove):
     docs = strange(spark, "one two three four five six seven eight nine ten " * 20)
     got = remove(docs).collect()
     assert len(got) == docs.count()
-    assert all((r.kept or "") == "" or r.kept for r in got)
+    kept = {r.doc_id: r.kept if isinstance(r.kept, str) else bytes(r.kept or b"").decode() for r in got if r.doc_id in (2, 3, 4)}
+    assert kept[2] == kept[3] == "" and kept[4] == "!!! ???"
     assert remove(empty(spark)).count() == 0
 
 
@@ -100,6 +101,7 @@ def test_classes_equal_brute_force(spark, monkeypatch, small, large):
 def test_planted_pairs_of_one_template_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(minhash, "SMALL", 2)
     monkeypatch.setattr(minhash, "LARGE", 6)
+    monkeypatch.setattr(minhash, "GRID", 20)
     r = random.Random(12)
     base = [f"w{i}" for i in range(140)]
     texts = [" ".join(base + [f"u{r.randrange(10**6)}" for _ in range(40)]) for _ in range(300)]
