@@ -32,7 +32,7 @@ def test_run_equals_brute_force(spark, data):
     scores = toxic_scores(rows, toxicity.learn(documents, labels))
     rows = [r for r in rows if scores[r[0]] < toxicity.THRESHOLD]
     rows = sorted(rows[min(c)] for c in classes_by_brute_force(rows))
-    rows = strings_cut(rows, 400)
+    rows = strings_cut(rows, corpus_pipeline.REPEAT)
     items = [(r.item_id, r.text) for r in table(spark, data, "benchmark").collect()]
     rows = [r for r in rows if not covered(r[1], items)]
     encode = encoder(vocabulary("byte_bpe_50k.tiktoken")).encode_ordinary
