@@ -11,7 +11,7 @@ from loomdex.catalog.registry import query
 from loomdex.catalog.tables import MOTIONS
 from loomdex.functions import vectors as v
 from loomdex.functions.embedding import embed_text
-from loomdex.operators import corpus, relational, retrieval
+from loomdex.operators import corpus, postings, relational, retrieval
 from loomdex.plans import jobs
 from loomdex.session import scratch_path, written
 from loomdex.sources.collections import Collections
@@ -201,7 +201,7 @@ def asked(spark, folder):
 
 
 def text_points(words, entries, dim=DIM):
-    return embed_text(corpus.sparse_vector(words, entries), "text", "text_dense", dim).select(
+    return embed_text(corpus.sparse_vector(words, entries), "text", "text_dense", dim, tokens="tokens").select(
         "id", "text_dense", "text_sparse", F.struct("text", "source").alias("payload")
     )
 
@@ -217,9 +217,9 @@ def _sparse_query(name, include_zero, where):
     def run(spark, folder):
         words = texts(spark, folder)
         entries = corpus.vocabulary_entries(corpus.build_vocabulary(words, "id"))
-        rows = corpus.sparse_vector(words, entries)
-        wanted = corpus.sparse_query_vector(asked(spark, folder), entries)
-        return shown(retrieval.sparse_topk(rows, wanted, 10, include_zero))
+        index = postings.build_postings(corpus.sparse_vector(words, entries, dense=False))
+        wanted = corpus.sparse_query_vector(asked(spark, folder), entries, dense=False)
+        return shown(postings.sparse_topk_postings(index, wanted, 10, include_zero))
 
     return run
 
@@ -228,6 +228,27 @@ _sparse_query("sparse_topk", True, "")
 _sparse_query("sparse_topk_matching", False, "where score <> 0")
 
 
+WIDE = 100_000  # entries: more than the corpus has words at these sizes
+
+
+@query(
+    "sparse_topk_wide",
+    f"""with {CORPUS}, {ASKED}, {q.vocabulary_ctes(WIDE, False)},
+ phas as (select distinct id, token from toks),
+ qhas as (select distinct id, unnest({q.tokens('text')}) as token from asked),
+ scored as (select a.id as qid, p.id, round(sum(v.idf), 9) as score from qhas a join vocab v using (token) join phas p using (token) group by 1, 2)
+ select qid, id, round(score, 6) as score, rank from (select *, row_number() over (partition by qid order by score desc, id) as rank
+ from scored where score <> 0) where rank <= 10""",
+)
+def sparse_topk_wide(spark, folder):
+    """Keyword search over a vocabulary that is too wide for arrays."""
+    words = texts(spark, folder)
+    entries = corpus.vocabulary_entries(corpus.build_vocabulary(words, "id", WIDE, pad=False))
+    index = postings.build_postings(corpus.sparse_vector(words, entries, dense=False))
+    wanted = corpus.sparse_query_vector(asked(spark, folder), entries, dense=False)
+    return shown(postings.sparse_topk_postings(index, wanted, 10, include_zero=False))
+
+
 @query(
     "point_rows",
     f"""with {CORPUS}, {q.vocabulary_ctes(256, True)}, {q.dense_ctes('corpus', '', DIM)}, {q.sparse_ctes('corpus', '', 'v.idf')}

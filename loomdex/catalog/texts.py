@@ -307,6 +307,19 @@ def sparse_vector(spark, folder):
     return cells.select("doc_id", F.round("weight", 6).alias("weight"), F.col("idx").cast("bigint").alias("idx"))
 
 
+@query(
+    "sparse_vector_pairs",
+    f"""{STATS}, has as (select distinct id, token from toks)
+ select h.id as doc_id, v.idx, round(v.idf, 6) as weight from has h join vocab v using (token)""",
+)
+def sparse_vector_pairs(spark, folder):
+    """The same weights as pairs of index and value, without the zeros of absent tokens."""
+    words = tokenized(spark, folder)
+    vectors = corpus.sparse_vector(words, corpus.build_vocabulary(words, "doc_id", CAP), dense=False)
+    cells = vectors.select("doc_id", F.inline(F.arrays_zip("text_sparse.indices", "text_sparse.values")).alias("idx", "weight"))
+    return cells.select("doc_id", F.round("weight", 6).alias("weight"), F.col("idx").cast("bigint").alias("idx"))
+
+
 @query(
     "sparse_query_vector",
     f"""{STATS}, asked as (select item_id as id, text from benchmark), {q.sparse_ctes('asked', 'q', '1.0::double')}

@@ -85,6 +85,47 @@ def vocabulary_weights(
     return weigh(tokens) if cap else F.array().cast("array<double>")
 
 
+SPARSE_TYPE = T.StructType([T.StructField("indices", T.ArrayType(T.IntegerType())), T.StructField("values", T.ArrayType(T.DoubleType()))])
+
+
+def vocabulary_pairs(tokens: Column | str, names: Sequence[str], weights: Sequence[float]) -> Column:
+    """The elements of :func:`vocabulary_weights` that the row has: a struct of rising indices and their values."""
+    slots = np.array([i for i, n in enumerate(names) if n], dtype=np.int64)
+    known = [n for n in names if n]
+    values = np.array([float(w) for w in weights])
+    cap = max(len(names), 1)
+
+    @F.arrow_udf(SPARSE_TYPE)
+    def weigh(batch: pa.Array) -> pa.Array:
+        found = pc.index_in(batch.flatten(), value_set=pa.array(known, type=pa.string()))
+        hit = found.is_valid().to_numpy(zero_copy_only=False)
+        slot = slots[found.drop_null().to_numpy(zero_copy_only=False)]
+        pairs = np.unique(_row_numbers(batch)[hit] * cap + slot)
+        offsets = pa.array(np.searchsorted(pairs // cap, np.arange(len(batch) + 1)).astype(np.int32))
+        slot = pairs % cap
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(v)) for v in (slot.astype(np.int32), values[slot])]
+        return pa.StructArray.from_arrays(lists, names=["indices", "values"])
+
+    return weigh(tokens)
+
+
+def sparse_dot(a: Column | str, b: Column | str) -> Column:
+    """Dot product of two sparse structs: indices of both sides are merged, for a whole Arrow batch at a time."""
+
+    def flat(side: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
+        indices, values = side.field("indices"), side.field("values")
+        key = _row_numbers(indices) << 32 | indices.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        return key, values.flatten().to_numpy(zero_copy_only=False)
+
+    @F.arrow_udf(T.DoubleType())
+    def dot(x: pa.Array, y: pa.Array) -> pa.Array:
+        (i, v), (j, w) = flat(x), flat(y)
+        both, at, to = np.intersect1d(i, j, assume_unique=True, return_indices=True)
+        return pa.array(np.bincount(both >> 32, v[at] * w[to], minlength=len(x)))
+
+    return dot(a, b)
+
+
 def _little_endian(kind: str) -> np.dtype:
     return np.dtype({"float": "<f4", "double": "<f8"}[kind])
 
@@ -152,8 +193,12 @@ def embed_text(
     out: str = "text_dense",
     dim: int = DENSE_SIZE,
     embedder: Callable[[], Callable[[Sequence[str]], Any]] | None = None,
+    tokens: str | None = None,
 ) -> DataFrame:
-    """Add a dense vector per text: the hashing embedder, or a model loaded by ``embedder()``."""
+    """Add a dense vector per text: the hashing embedder, or a model loaded by ``embedder()``.
+
+    ``tokens`` names a column with the text's tokens, if there is one; the hashing embedder then does not split again.
+    """
     if embedder is None:
-        return df.withColumn(out, hash_embedding(tokenize(text), dim))
+        return df.withColumn(out, hash_embedding(F.col(tokens) if tokens else tokenize(text), dim))
     return df.withColumn(out, model_embedding(F.col(text), embedder))

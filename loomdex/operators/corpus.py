@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from loomdex.functions.embedding import vocabulary_weights
+from loomdex.functions.embedding import vocabulary_pairs, vocabulary_weights
 from loomdex.functions.text import keyword_lower, tokenize
+from loomdex.operators.statistics import documents_of, token_state
+from loomdex.session import written
 
 IDF_EPSILON = 0.25
 
@@ -18,15 +19,6 @@ def with_tokens(df: DataFrame, text: str = "text", out: str = "tokens") -> DataF
     return df.withColumn(out, tokenize(text))
 
 
-def _order_value(df: DataFrame, key: str, pos: Column) -> Column:
-    """Comparable (key, position). One decimal for whole-number keys: it can be updated in place,
-    so the aggregate hashes; a struct makes Spark sort the rows instead."""
-    if isinstance(df.schema[key].dataType, T.IntegralType):
-        wide = "decimal(38,0)"
-        return F.col(key).cast("decimal(20,0)").cast(wide) * F.lit(2**31).cast("decimal(10,0)") + pos.cast("decimal(10,0)")
-    return F.struct(F.col(key), pos)
-
-
 def token_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     """Term frequency over the corpus."""
     exploded = df.select(F.explode(tokens).alias("token"))
@@ -39,17 +31,6 @@ def document_frequency(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     return exploded.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
 
 
-def token_statistics(df: DataFrame, tokens: str = "tokens") -> DataFrame:
-    """(token, n, df) in one scan and one shuffle of combined rows."""
-    both = df.select(F.array_distinct(tokens).alias("_once"), F.col(tokens).alias("_all"))
-    exploded = both.select(
-        F.size("_once").alias("_n_once"),
-        F.posexplode(F.concat("_once", "_all")).alias("pos", "token"),
-    )
-    once = F.col("pos") < F.col("_n_once")
-    return exploded.groupBy("token").agg(F.count_if(~once).alias("n"), F.count_if(once).alias("df"))
-
-
 def vocabulary_topk(
     df: DataFrame, key: str, cap: int = 256, tokens: str = "tokens", pad: bool = False
 ) -> DataFrame:
@@ -57,31 +38,7 @@ def vocabulary_topk(
 
     With ``pad`` the list is filled up with empty tokens to exactly ``cap`` rows.
     """
-    return _ranked(df, key, tokens, token_counts(df, tokens), cap, pad)
-
-
-def _ranked(df: DataFrame, key: str, tokens: str, counted: DataFrame, cap: int, pad: bool, *extra: str) -> DataFrame:
-    """The first ``cap`` tokens by count. Where a token was seen first matters only among tokens with the same count
-    that get in, so first uses are looked up for these alone: few, once the corpus is large."""
-    if cap < 1:
-        raise ValueError("vocabulary cap must be positive")
-    cut = counted.orderBy(F.desc("n")).limit(cap).agg(F.min("n")).scalar()
-    reached = counted.where(F.col("n") >= cut)
-    uses = df.select(key, F.posexplode(F.array_distinct(tokens)).alias("pos", "token"))
-    shared = reached.groupBy("n").agg(F.count(F.lit(1)).alias("_alike")).where("_alike > 1")
-    tied = reached.join(shared, "n", "left_semi").select("token")
-    first_use = F.min(_order_value(df, key, F.col("pos"))).alias("first_seen")
-    first = uses.join(tied, "token", "left_semi").groupBy("token").agg(first_use)
-    order = [F.desc("n"), F.asc("first_seen")]
-    top = reached.join(first, "token", "left").orderBy(*order).limit(cap)
-    # at most `cap` rows are left here, so one task is enough to number them
-    vocab = top.select(
-        (F.row_number().over(Window.orderBy(*order)) - 1).cast("bigint").alias("idx"),
-        "token",
-        "n",
-        *extra,
-    )
-    return vocabulary_padding(vocab, cap) if pad else vocab
+    return build_vocabulary(df, key, cap, tokens, pad).drop("idf")
 
 
 def vocabulary_padding(vocab: DataFrame, cap: int) -> DataFrame:
@@ -126,13 +83,20 @@ def build_vocabulary(
     pad: bool = True,
     epsilon: float = IDF_EPSILON,
 ) -> DataFrame:
-    """Vocabulary with weights (idx, token, n, idf) from one pass over the corpus."""
-    stats = token_statistics(df, tokens)
-    n_docs = df.agg(F.count(F.lit(1))).scalar()
-    raw = F.ln(n_docs - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5)
-    # naming every column keeps this aggregate identical to the one below, so Spark runs it once
-    mean = stats.agg(F.avg(F.when(F.col("n") > 0, raw))).scalar()
-    return _ranked(df, key, tokens, bm25_idf(stats, n_docs, epsilon, mean), cap, pad, "idf")
+    """Vocabulary with weights (idx, token, n, idf) from one pass over the corpus, whose statistics are written."""
+    return vocabulary_of(written(token_state(df, key, tokens), "token-state"), cap, pad, epsilon)
+
+
+def vocabulary_of(state: DataFrame, cap: int = 256, pad: bool = True, epsilon: float = IDF_EPSILON) -> DataFrame:
+    """The vocabulary of a written :func:`token_state`: its ``cap`` most frequent tokens, ties to the one first used."""
+    if cap < 1:
+        raise ValueError("vocabulary cap must be positive")
+    scored = bm25_idf(state.where("token is not null"), documents_of(state), epsilon)
+    order = [F.desc("n"), F.asc("first")]
+    top = scored.orderBy(*order).limit(cap)
+    # at most `cap` rows are left here, so one task is enough to number them
+    vocab = top.select((F.row_number().over(Window.orderBy(*order)) - 1).cast("bigint").alias("idx"), "token", "n", "idf")
+    return vocabulary_padding(vocab, cap) if pad else vocab
 
 
 def vocab_membership_join(
@@ -173,14 +137,17 @@ def sparse_vector(
     vocab: DataFrame | Sequence[tuple[str, float]],
     tokens: str = "tokens",
     out: str = "text_sparse",
+    dense: bool = True,
 ) -> DataFrame:
-    """Array of vocabulary length: idf where the document has the token, else 0.
+    """Weights over a vocabulary: idf where the document has the token, else 0.
 
-    Term frequency has no influence, and documents without any known token stay, as all zeros.
+    An array of vocabulary length, or with ``dense=False`` a struct of the indices of tokens that the document has, rising, and
+    their values, which is the form for wide vocabularies. Term frequency has no influence, and documents without any
+    known token stay.
     """
     entries = vocabulary_entries(vocab)
-    weights = vocabulary_weights(F.col(tokens), [t for t, _ in entries], [w for _, w in entries])
-    return df.withColumn(out, weights)
+    weigh = vocabulary_weights if dense else vocabulary_pairs
+    return df.withColumn(out, weigh(F.col(tokens), [t for t, _ in entries], [w for _, w in entries]))
 
 
 def sparse_query_vector(
@@ -191,17 +158,19 @@ def sparse_query_vector(
     keywords: str | None = None,
     cap: int = 256,
     out: str = "text_sparse",
+    dense: bool = True,
 ) -> DataFrame:
-    """Query weights over the vocabulary; all zeros of length ``cap`` without a vocabulary.
+    """Query weights over the vocabulary; all zeros of length ``cap`` without a vocabulary. ``dense`` as in :func:`sparse_vector`.
 
     The tokens come from the query text or, when ``keywords`` names an array column, from there.
     """
     if vocab is None:
-        return queries.withColumn(out, F.array_repeat(F.lit(0.0), cap))
+        none = F.struct(F.array().cast("array<int>").alias("indices"), F.array().cast("array<double>").alias("values"))
+        return queries.withColumn(out, F.array_repeat(F.lit(0.0), cap) if dense else none)
     if weights not in ("binary", "idf"):
         raise ValueError("weights must be 'binary' or 'idf'")
     entries = vocabulary_entries(vocab)
     tokens = keyword_lower(keywords) if keywords else tokenize(text)
     names = [t for t, _ in entries]
     values = [1.0] * len(entries) if weights == "binary" else [w for _, w in entries]
-    return queries.withColumn(out, vocabulary_weights(tokens, names, values))
+    return queries.withColumn(out, (vocabulary_weights if dense else vocabulary_pairs)(tokens, names, values))

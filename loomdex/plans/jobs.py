@@ -120,7 +120,7 @@ def index_points(
 ) -> DataFrame:
     """Points of the documents that can be stored: those that name a publication target."""
     known = corpus.where(F.col("dokument_ziel_publikation").isNotNull())
-    vectors = embed_text(sparse_vector(known, vocab), "text", "text_dense", dim, embedder)
+    vectors = embed_text(sparse_vector(known, vocab), "text", "text_dense", dim, embedder, "tokens")
     return point_rows(localized_fields(vectors), PAYLOAD_FIELDS, ())
 
 
@@ -257,7 +257,7 @@ def demo_search(
     p = PRESETS["demo"]
     tokens = with_tokens(documents.withColumnRenamed(key, "id"))
     entries = vocabulary_entries(build_vocabulary(tokens, "id", p.vocabulary, pad=p.padded))
-    vectors = embed_text(sparse_vector(tokens, entries), "text", "text_dense", dim, embedder)
+    vectors = embed_text(sparse_vector(tokens, entries), "text", "text_dense", dim, embedder, "tokens")
     points = vectors.select(
         "id", "text_dense", "text_sparse",
         F.struct(F.col("text"), F.lit(source).alias("source")).alias("payload"),
