@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomdex.functions.text import get_cleaner
+from loomdex.session import written
 
 REPEAT_CHUNK = 100_000
 
@@ -53,15 +54,17 @@ def dedup_clean_text(
     """Turn ``success`` into ``duplicate`` where an earlier key has the same cleaned text.
 
     ``key`` names a row among those of one text; rows equal in key and text raise an error, as none of
-    them comes first. Repeats are found on (digest, key) alone by combined aggregates, so a text with any number of
+    them comes first. The rows and the digests of their cleaned texts are written to the shared folder once, however costly
+    ``df`` is to make. Repeats are found on (digest, key) alone by combined aggregates, so a text with any number of
     copies loads no single task, and only the narrow list of repeats is joined back, on key and
     digest. The original text is kept in all cases.
     """
     keys = [key] if isinstance(key, str) else list(key)
     eligible = (F.col(status) == "success") & F.col(text).isNotNull()
-    marked = df.withColumn("_digest", F.when(eligible, F.sha2(get_cleaner(cleaner)(F.col(text)), 256)))
+    digest = F.unhex(F.sha2(get_cleaner(cleaner)(F.col(text)), 256))
+    marked = written(df.withColumn("_digest", F.when(eligible, digest)), "marked")
     named = F.struct(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
-    counted = marked.groupBy(F.col("_digest").alias("_text"), named.alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    counted = marked.where("_digest is not null").groupBy(F.col("_digest").alias("_text"), named.alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
     firsts = counted.groupBy("_text").agg(F.min("_key").alias("_first"))
     twice = F.raise_error(F.concat(F.lit("rows repeat in key and text: "), F.to_json("_key")))
     checked = F.when(F.col("_n") > 1, twice.cast("boolean")).otherwise(True)

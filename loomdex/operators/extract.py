@@ -55,10 +55,6 @@ def resolve_extractor(name: str | Callable, fallback: str | None = None):
     return resolve_extractor(fallback)
 
 
-def runs_in_jvm(extractor: str | Callable) -> bool:
-    return isinstance(extractor, str) and extractor.lower() in COLUMN_EXTRACTORS
-
-
 def _bytes_udf(extractor: Callable[[bytes], str | None]):
     """(text, error) per document; an exception becomes the error of that row alone."""
 

@@ -20,7 +20,7 @@ from loomdex.operators.corpus import (
     with_tokens,
 )
 from loomdex.operators.duplicates import dedup_clean_text, dedup_rows
-from loomdex.operators.extract import STATUS_SUCCESS, extract_text_job, runs_in_jvm
+from loomdex.operators.extract import STATUS_SUCCESS, extract_text_job
 from loomdex.operators.relational import (
     DOC_TYPES,
     ITEM_TYPE,
@@ -65,13 +65,9 @@ def extract_dedup_job(
     """Extract text and mark repeats of cleaned text; the lowest key of a text stays unique.
 
     ``row_key`` names the columns that tell the rows of one text apart, by default the key and the
-    address, as a motion may have several documents. The result of an extractor that runs in Python is written to
-    the shared folder first, because marking reads it twice; built-in extractors are cheap
-    enough to run again.
+    address, as a motion may have several documents. Every text is extracted and digested once.
     """
     results = extract_text_job(df, key, content, url, extractor, **options)
-    if not runs_in_jvm(extractor):
-        results = written(results, "extracted")
     keys = row_key or ["motion_id", *(["url"] if "url" in results.columns else [])]
     return dedup_clean_text(results, keys, cleaner=cleaner)
 
