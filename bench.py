@@ -52,7 +52,7 @@ def main() -> None:
     from loomdex.catalog import QUERIES
     from loomdex.catalog import inputs as i
     from loomdex.plans import jobs
-    from loomdex.session import clear_scratch, remove_path, scratch_path
+    from loomdex.session import clear_scratch, scratch_path
     from loomdex.sources.collections import Collections
 
     # one machine: a folder of its own serves as the shared one; what was written there goes at the end
@@ -86,7 +86,7 @@ def main() -> None:
 
     def index() -> None:
         if "it" in store:
-            remove_path(spark, store["it"].root)
+            store["it"].delete("motions")
         store["it"] = Collections(spark, scratch_path(spark, "bench-index"))
         jobs.build_index(
             store["it"], "motions", i.docs(spark, FOLDER), i.items(spark, FOLDER),

@@ -127,7 +127,7 @@ def sparse_dot(a: Column | str, b: Column | str) -> Column:
 
 
 def _little_endian(kind: str) -> np.dtype:
-    return np.dtype({"float": "<f4", "double": "<f8"}[kind])
+    return np.dtype({"int": "<i4", "float": "<f4", "double": "<f8"}[kind])
 
 
 def pack_vector(vector: Column | str, kind: str = "float") -> Column:

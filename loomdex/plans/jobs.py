@@ -17,6 +17,7 @@ from loomdex.operators.corpus import (
     sparse_query_vector,
     sparse_vector,
     vocabulary_entries,
+    vocabulary_of,
     with_tokens,
 )
 from loomdex.operators.duplicates import dedup_clean_text, dedup_rows
@@ -36,6 +37,7 @@ from loomdex.operators.retrieval import (
     payload_attach,
 )
 from loomdex.operators.skew import salted_join
+from loomdex.operators.statistics import merged_states, token_state
 from loomdex.session import remove_path, scratch_path, written
 from loomdex.sources.collections import PAYLOAD_FIELDS, Collections
 
@@ -110,14 +112,16 @@ def point_rows(
 
 def index_points(
     corpus: DataFrame,
-    vocab: DataFrame | Sequence[tuple[str, float]],
+    entries: Sequence[tuple[str, float]],
     dim: int = DENSE_SIZE,
     embedder: Callable[[], Callable[[Sequence[str]], Any]] | None = None,
 ) -> DataFrame:
-    """Points of the documents that can be stored: those that name a publication target."""
+    """Points of the documents that can be stored: those that name a publication target. Their sparse vectors are the
+    places of the ``entries`` that they have."""
     known = corpus.where(F.col("dokument_ziel_publikation").isNotNull())
-    vectors = embed_text(sparse_vector(known, vocab), "text", "text_dense", dim, embedder, "tokens")
-    return point_rows(localized_fields(vectors), PAYLOAD_FIELDS, ())
+    vectors = embed_text(sparse_vector(known, entries, dense=False), "text", "text_dense", dim, embedder, "tokens")
+    indexed = vectors.withColumn("text_sparse", F.col("text_sparse.indices"))
+    return point_rows(localized_fields(indexed), PAYLOAD_FIELDS, ())
 
 
 @contextmanager
@@ -154,12 +158,15 @@ def build_index(
 ) -> int:
     """Index the motion documents into a collection; returns the number of points added.
 
-    Token statistics cover every extracted document, also those that are not stored afterwards, and the
-    stored ones that ``docs`` no longer has. If the vocabulary changes, stored points get new weights from
-    their texts, and all become visible together; a repeated build changes nothing.
+    Token statistics cover every extracted document, also those that are not stored afterwards, and those of earlier
+    runs. They are kept with the collection, so only new documents are counted. New statistics change the weights of stored
+    points when these are read; their texts are read again only if the vocabulary holds other tokens than before. A
+    repeated build changes nothing, and one that breaks off leaves the collection as it was.
     """
     p = get_preset(preset)
-    store.create(name, dim, p.vocabulary, p.prefixes, p.quantised, bucket_chars=bucket_chars, exist_ok=True)
+    store.create(
+        name, dim, p.vocabulary, p.prefixes, p.quantised, bucket_chars=bucket_chars, exist_ok=True, indexed=True,
+    )
     motions = sample_head(prepare_motions(docs, items), samples, MOTION_ORDER)
     corpus = extract_corpus(motions, content, extractor, cleaner, **options)
     keyed = store.with_ids(corpus, name, "geschaeft_uid", "dokument_uid", random=random_ids)
@@ -169,23 +176,38 @@ def build_index(
         # success implies a text; filtering the written table keeps extraction to one run per row
         tokens = with_tokens(texts.where(F.col("status") == STATUS_SUCCESS))
         new = tokens if random_ids else store.without_known(tokens, name)
-        earlier = store.points(name).join(tokens.select("id"), "id", "left_anti")
-        earlier = with_tokens(earlier.select(F.col("payload.dokument_uid").alias("dokument_uid"), F.col("payload.text").alias("text")))
-        counted = tokens.select("dokument_uid", "tokens").union(earlier.select("dokument_uid", "tokens"))
-        vocab = written(build_vocabulary(counted, "dokument_uid", p.vocabulary, pad=p.padded), "vocabulary")
-        entries = vocabulary_entries(vocab)
-        before = store.vocabulary(name)
+        before, counted = store.statistics(name), store.counted(name)
+        uncounted = tokens.join(counted, "id", "left_anti")
+        ids = written(uncounted.select("id"), "uncounted")
+        slots = store.token_slots(name)
+        if before is not None and ids.isEmpty():
+            return store.upsert(name, index_points(new, _by_slot(slots, p.vocabulary), dim, embedder), skip_known=False)
+        parts = [token_state(uncounted, "dokument_uid"), *([before] if before is not None else [])]
+        state = written(merged_states(*parts), "token-state")
+        rows = vocabulary_of(state, p.vocabulary, p.padded).collect()  # as many as the vocabulary's cap
+        names = {r["token"]: r["idx"] for r in rows if r["token"]}
+        same = before is not None and names.keys() == slots.keys()
+        slots = slots if same else names
+        vocab = texts.sparkSession.createDataFrame(
+            [(*r, slots.get(r["token"], -1)) for r in rows], "idx bigint, token string, n bigint, idf double, slot bigint"
+        )
+        entries = _by_slot(slots, len(rows))
         added = index_points(new, entries, dim, embedder)
-        if before is not None and vocabulary_entries(before) != entries:
-            return store.rewrite(name, added, vocab, lambda old: reweighted(old, entries))
-        store.write_vocabulary(name, vocab)
-        return store.upsert(name, added, skip_known=False)
+        return store.replace(name, vocab, state, ids, added, None if same else lambda old: reindexed(old, entries))
 
 
-def reweighted(points: DataFrame, entries: Sequence[tuple[str, float]]) -> DataFrame:
-    """Points (id, text_dense, payload) with the sparse vectors of their texts over another vocabulary."""
+def _by_slot(slots: dict[str, int], size: int) -> list[tuple[str, float]]:
+    """The tokens in order of their slots; points are stored by slot, weights come on read."""
+    at = {slot: token for token, slot in slots.items()}
+    return [(at.get(k, ""), 0.0) for k in range(size)]
+
+
+def reindexed(points: DataFrame, entries: Sequence[tuple[str, float]]) -> DataFrame:
+    """Points (id, text_dense, payload) with the slots of the vocabulary entries that their texts have."""
     tokens = points.withColumn("tokens", tokenize(F.coalesce("payload.text", F.lit(""))))
-    return sparse_vector(tokens, entries).select("id", "text_dense", "text_sparse", "payload")
+    return sparse_vector(tokens, entries, dense=False).select(
+        "id", "text_dense", F.col("text_sparse.indices").alias("text_sparse"), "payload"
+    )
 
 
 def query_vectors(

@@ -152,7 +152,7 @@ def test_index_search_and_repeat(spark, store):
     assert store.vector_size("m") == 256
     assert set(store.bounds("m")) == {64, 128}
 
-    again = Collections(spark, store.root)  # nothing but the folder is needed
+    again = Collections(spark, store.root)  # nothing but the catalog is needed
     asked = spark.createDataFrame([(1, "wind power plant"), (2, "School bus")], "qid int, text string")
     found = jobs.search_similar(again, "m", asked, limit=2).orderBy("qid", "rank").collect()
     assert [(r.qid, r.rank) for r in found] == [(1, 1), (1, 2), (2, 1), (2, 2)]
@@ -179,7 +179,7 @@ def test_append_weighs_stored_points_anew(spark, store):
     assert jobs.build_index(two, "m", docs.where("dokument_uid in ('d0', 'd3')"), items, twice, **options) == 1
     assert jobs.build_index(two, "m", docs, items, twice, **options) == 2
     assert jobs.build_index(two, "m", docs, items, content, **options) == 0
-    assert two.version("m") == 1 and one.version("m") == 0
+    assert two.version("m") == 2 and one.version("m") == 1
 
     def weights(s):
         return {r.id: (r.text_sparse, r.payload.text) for r in s.read("m").collect()}
@@ -191,6 +191,74 @@ def test_append_weighs_stored_points_anew(spark, store):
     assert {r.token for r in two.vocabulary("m").collect()} >= {"solar", "wind", "school"}
 
 
+def index_of(s):
+    words = {r.token: (r.n, r.idf) for r in s.vocabulary("m").collect()}
+    return words, {r.id: (r.text_sparse, r.payload.text) for r in s.read("m").collect()}
+
+
+def test_append_reads_no_stored_text_while_the_vocabulary_stays(spark, store, monkeypatch):
+    docs, items, content = motions(spark)
+    options = dict(extractor="text", dim=256, bucket_chars=1)
+    known = content.withColumn("content", F.when(F.col("url") == "u2", F.lit(b"power wind solar")).otherwise(F.col("content")))
+    known = known.where("url in ('u0', 'u1', 'u2')")
+    jobs.build_index(store, "m", docs.where("dokument_uid in ('d0', 'd1')"), items, known, **options)
+    table, before = store.state("m")["points"], index_of(store)
+    monkeypatch.setattr(jobs, "reindexed", lambda *a: pytest.fail("stored texts are read"))
+    assert jobs.build_index(store, "m", docs.where("dokument_uid in ('d0', 'd1', 'd2')"), items, known, **options) == 1
+    assert store.state("m")["points"] == table and store.statistics("m").where("token is null").first().df == 3
+    after = index_of(store)
+    assert after[0]["roof"][1] != before[0]["roof"][1]  # a stored point's weights follow
+    once = Collections(spark, f"{store.root}-once")
+    jobs.build_index(once, "m", docs.where("dokument_uid in ('d0', 'd1', 'd2')"), items, known, **options)
+    assert index_of(once) == after
+
+
+@pytest.mark.parametrize("words", ["power wind", "new words here"])
+def test_a_build_that_breaks_off_leaves_the_index(spark, store, monkeypatch, words):
+    docs, items, content = motions(spark)
+    content = content.withColumn("content", F.when(F.col("url") == "u2", F.lit(words.encode())).otherwise(F.col("content")))
+    options = dict(extractor="text", dim=256, bucket_chars=1)
+    first, every = docs.where("dokument_uid in ('d0', 'd1')"), docs.where("dokument_uid in ('d0', 'd1', 'd2')")
+    jobs.build_index(store, "m", first, items, content, **options)
+    before = index_of(store)
+    for step in ("vocabulary", "statistics", "counted", "points", "publish"):
+        with monkeypatch.context() as m:
+
+            def fail(self, *args, save=Collections._save, append=Collections._append):
+                if step == "publish" or step == "points" or args[1] == step:
+                    raise RuntimeError(f"lost at {step}")
+                return save(self, *args)
+
+            m.setattr(Collections, {"points": "_append", "publish": "_publish"}.get(step, "_save"), fail)
+            with pytest.raises(RuntimeError, match=step):
+                jobs.build_index(store, "m", every, items, content, **options)
+        words_now, points = index_of(store)
+        assert words_now == before[0] and {i: points[i] for i in before[1]} == before[1], step
+    assert jobs.build_index(store, "m", every, items, content, **options) in (0, 1)  # a lost append may have got its points in
+    once = Collections(spark, f"{store.root}-once")
+    jobs.build_index(once, "m", every, items, content, **options)
+    assert index_of(once) == index_of(store)
+    named = {t for p in ("points", "vocabulary", "statistics") for t in [store.state("m")[p]]}
+    assert named < set(store._tables("m")) and len(store._tables("m")) <= 14  # broken-off tables are gone
+
+
+def test_a_build_can_be_entered_into_another_catalog(spark, store):
+    docs, items, content = motions(spark)
+    jobs.build_index(store, "m", docs, items, content, extractor="text", dim=256, bucket_chars=1)
+    state, want = store.state("m"), index_of(store)
+    copy = f"{store.root}-copy"
+    from loomdex.session import remove_path
+
+    for table in [state["points"], state["vocabulary"], state["statistics"], *state["bounds"], *state["counted"]]:
+        spark.read.parquet(f"{store.root}/{table}").write.parquet(f"{copy}/{table}")
+    other = Collections(spark, copy)
+    points = spark.read.parquet(f"{store.root}/{state['points']}")
+    remove_path(spark, f"{copy}/{state['points']}")
+    points.write.partitionBy("id_bucket").parquet(f"{copy}/{state['points']}")
+    other.restore("m", state)
+    assert index_of(other) == want and other.list() == ["m"]
+
+
 def test_equal_ids_of_a_batch_are_stored_once(spark, store):
     store.create("b", 4, 1, prefixes=(2,), quantised=(2,), payload=None)
     rows = [("x", [1.0, 0.0, 0.0, 0.0], [0.0])] * 3 + [("y", [0.0, 1.0, 0.0, 0.0], [0.0])]
