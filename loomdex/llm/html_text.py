@@ -5,11 +5,13 @@
    combined in the tasks before the shuffle, so a host with a third of all pages loads no task.
 2. Tokens that share a vector and stand on at least half of the host's pages form a class. Classes of elements
    nest by their paths into the host's template; blocks of text in a class are the template's own text.
-3. What the template leaves open are slots. The element that holds the slots with most of the text, an article or main element
-   first, is the host's main element; a page that lacks it is judged by its own elements alone.
+3. What the template leaves open are slots. The main or article element with most text in its slots is the host's main
+   element; without any, the innermost one that holds all slots' text is. A page that lacks it is judged by its own elements alone.
 4. Of each page, the blocks inside of the main element are kept in order, except elements that are menus, headers,
    footers, sidebars, notices, adverts, forms or comments by tag, role or class (unless they hold all of main), and nested divisions that hold template text only.
 
+A page is parsed once, into a kept table of its blocks.
+
 Null and empty pages give an empty text. Pages without an address are one host. Repeated pages are extracted each; their
 text stays, as pages of a host that say the same outside of noise count once in 1 to 3. Other
 columns are ignored; an empty table gives no rows.
@@ -28,7 +30,8 @@ from pyspark.sql import functions as F
 
 from loomdex.llm.common import keep, per_task
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
+#: Quotes hold a value only right after an equals sign; elsewhere they are characters like others.
+TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?>(?:=\s*"[^"]*"|=\s*'[^']*'|[^>])*))>""", re.S)
 CLASS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 HIDDEN = re.compile(r"""\shidden(?=[\s=/]|$)|\saria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 SPACE = re.compile(r"\s+")
@@ -41,7 +44,9 @@ BLOCKS = STRUCTURE | frozenset(
 #: Elements whose content is no text of the page.
 RAW = frozenset("script style noscript template iframe svg math canvas object textarea select button audio video".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-NOISE_TAGS = frozenset("nav footer aside form dialog menu head search".split())
+NOISE_TAGS = frozenset("nav footer menu head search".split())
+#: Noise unless all text stands in them, as where one form wraps the page.
+WRAPPING_TAGS = frozenset("aside form dialog".split())
 #: Words in class, id or role that mark what is not the article (fixed values).
 NOISE_WORDS = frozenset(
     """ad ads advert adverts advertisement advertisements adverting banner breadcrumb breadcrumbs comment comments complementary
@@ -51,8 +56,20 @@ NOISE_WORDS = frozenset(
 )
 #: Parts of a class that tell of a state and do not name what the element is, as in with-sidebar or comments-open.
 STATES = frozenset("has with without no not hide show open opened closed enabled disabled".split())
-#: A nested element that holds this share of the main element's text takes its place.
-MOST = 0.9
+#: What else may stand in a class that a noise word begins, as in comments-section.
+PARTS = frozenset(
+    """area articles bar block body bottom box button buttons card col column container content entry footer form group head header
+    icons inner item items left link links list main menu module outer panel post posts right row section slot stories title
+    top unit wrap wrapper zone""".split()
+)
+
+
+def is_noise(mark: str) -> bool:
+    """Whether a class, id or role names noise: its last word does, or its first and what follows only says which part it is."""
+    words = [w for w in re.split(r"[^a-z]+", mark) if w]
+    if not words or STATES & set(words):
+        return False
+    return words[-1] in NOISE_WORDS or (words[0] in NOISE_WORDS and all(w in PARTS or w in NOISE_WORDS for w in words[1:]))
 
 
 def blocks_of(page: str) -> tuple[list[tuple[str, bool, str]], Counter]:
@@ -60,7 +77,7 @@ def blocks_of(page: str) -> tuple[list[tuple[str, bool, str]], Counter]:
     out: list[tuple[str, bool, tuple, int, str]] = []
     opened: Counter = Counter()
     stack: list[tuple[str, str, bool, tuple, int]] = []  # tag, path, noise, elements with noise words, 1 in an article, 2 in main
-    marked = 0
+    marked, tagged = 0, set()
     parts: list[str] = []
 
     def flush() -> None:
@@ -94,12 +111,12 @@ def blocks_of(page: str) -> tuple[list[tuple[str, bool, str]], Counter]:
             if not close:
                 marks = sorted({w for m in CLASS.findall(rest) for w in "".join(m).lower().split()})
                 path = (stack[-1][1] + "/" if stack else "") + ".".join([name, *marks])
-                words = {x for m in marks if not STATES & (parts_of := set(re.split(r"[^a-z]+", m))) for x in parts_of}
                 inside = any(s[0] in ("article", "main") for s in stack)
                 noise = bool(stack and stack[-1][2]) or name in NOISE_TAGS or (name == "header" and not inside)
                 noise = noise or bool(HIDDEN.search(rest))
                 worded, level = stack[-1][3:] if stack else ((), 0)
-                if words & NOISE_WORDS and name not in ("html", "body", "main"):
+                if name in WRAPPING_TAGS or (name not in ("html", "body", "main") and any(map(is_noise, marks))):
+                    tagged |= {marked + 1} if name in WRAPPING_TAGS else set()
                     worded = (*worded, marked := marked + 1)
                 else:
                     level = max(level, {"article": 1, "main": 2}.get(name, 0))
@@ -120,7 +137,7 @@ def blocks_of(page: str) -> tuple[list[tuple[str, bool, str]], Counter]:
         if not noise and level == top:
             total += len(text)
             held.update(dict.fromkeys(worded, len(text)))
-    whole = {e for e, n in held.items() if (n == total if top else 2 * n > total)}
+    whole = {e for e, n in held.items() if (n == total if top or e in tagged else 2 * n > total)}
     return [(path, noise or not whole.issuperset(worded), text) for path, noise, worded, _, text in out], opened
 
 
@@ -128,6 +145,27 @@ def _number(*parts: str) -> int:
     return int.from_bytes(hashlib.blake2b("\x00".join(parts).encode(), digest_size=8).digest(), "little", signed=True)
 
 
+PARSED = (
+    "page_id long, url string, host string, said long, paths array<string>, noise array<boolean>, texts array<string>, "
+    "marks array<long>, sizes array<int>, open_paths array<string>, open_counts array<int>"
+)
+
+
+def _parse(batch: pa.RecordBatch):
+    """Pages with their blocks, the elements that they open, and a number for what they say outside of noise, which copies
+    share that differ in a menu or an advert."""
+    rows = []
+    for page_id, url, host, page in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "host", "html"))):
+        found, opened = blocks_of(page)
+        said = _number(*(x for path, noise, text in found if not noise for x in (path, text)))
+        paths, noise, texts = zip(*found) if found else ((), (), ())
+        rows.append((page_id, url, host, said, paths, noise, texts, [_number(t) for t in texts], [len(t) for t in texts], list(opened), list(opened.values())))
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.bool_()), pa.list_(pa.string())]
+    kinds += [pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.string()), pa.list_(pa.int32())]
+    names = [field.split()[0] for field in PARSED.split(", ")]
+    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+
+
 def _tokens(batches):
     """Tokens of a task's pages, added up by host: kind 0 pages, 1 elements, 2 blocks of text."""
     sums: dict = {}
@@ -144,39 +182,35 @@ def _tokens(batches):
         sums[key] = (old[0] + 1, old[1] + total, old[2] + chars, old[3] ^ _number(page, str(total)))
 
     for batch in batches:
-        for host, page_id, page in zip(*(batch.column(c).to_pylist() for c in ("host", "page", "html"))):
-            found, opened = blocks_of(page)
-            add((host, 0, "", 0), 1, 0, page_id)
+        for host, said, paths, noise, marks, sizes, open_paths, counts in zip(*(c.to_pylist() for c in batch.columns)):
+            page = str(said)
+            add((host, 0, "", 0), 1, 0, page)
             direct: Counter = Counter()
-            for path, noise, text in found:
-                direct[path] += 0 if noise else len(text)
-            for path, n in opened.items():
-                add((host, 1, path, 0), n, direct[path], page_id)
-            texts = Counter((path, _number(text)) for path, _, text in found)
-            for (path, value), n in texts.items():
-                add((host, 2, path, value), n, 0, page_id)
+            texts: Counter = Counter()
+            chars: Counter = Counter()
+            for path, hidden, mark, size in zip(paths, noise, marks, sizes):
+                direct[path] += 0 if hidden else size
+                texts[path, mark] += 1
+                chars[path, mark] += 0 if hidden else size
+            for path, n in zip(open_paths, counts):
+                add((host, 1, path, 0), n, direct[path], page)
+            for (path, mark), n in texts.items():
+                add((host, 2, path, mark), n, chars[path, mark], page)
             if len(sums) > 50_000:
                 yield emit()
     if sums:
         yield emit()
 
 
-def _contents(batches):
-    """Pages with a digest of what they say outside of noise: copies that differ in a menu or an advert share it."""
-    for batch in batches:
-        said = [_number(*(x for path, noise, text in blocks_of(page)[0] if not noise for x in (path, text))) for page in batch.column("html").to_pylist()]
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(said, pa.int64())], names=[*batch.schema.names, "said"])
-
-
-def templates(pages: DataFrame) -> DataFrame:
-    """One row per host: elements of its template with the slots' text below them, and the template's own texts.
+def templates(parsed: DataFrame) -> DataFrame:
+    """One row per host: elements of its template with the text below them, and the template's own texts.
 
     Copies of a page count once, so what recurs does so on pages whose other text differs.
     """
-    pages = pages.select("host", "html").mapInArrow(_contents, "host string, html string, said long").dropDuplicates(["host", "said"])
+    pages = parsed.select("host", "said", "paths", "noise", "marks", "sizes", "open_paths", "open_counts").dropDuplicates(["host", "said"])
     schema = "host string, kind int, path string, value long, pages long, total long, chars long, vector long"
     tokens = (
-        pages.select("host", F.col("said").cast("string").alias("page"), "html").mapInArrow(_tokens, schema)
+        pages.mapInArrow(_tokens, schema)
         .groupBy("host", "kind", "path", "value")
         .agg(*(F.sum(c).alias(c) for c in ("pages", "total", "chars")), F.bit_xor("vector").alias("vector"))
     )
@@ -190,7 +224,7 @@ def templates(pages: DataFrame) -> DataFrame:
     valid = classes.where("framed or pages > 2").select("host", F.inline("tokens"))
     return valid.groupBy("host").agg(
         F.collect_list(F.when(F.col("kind") == 1, F.struct("path", "chars"))).alias("elements"),
-        F.collect_list(F.when(F.col("kind") == 2, F.struct("path", "value"))).alias("texts"),
+        F.collect_list(F.when(F.col("kind") == 2, F.struct("path", "value", "chars"))).alias("texts"),
     )
 
 
@@ -205,29 +239,38 @@ def main_element(chars: dict[str, int]) -> str | None:
     if not below:
         return None
     named = {p: n for p, n in below.items() if p.split("/")[-1].split(".")[0] in ("article", "main")}
-    start = max(named, key=lambda p: (named[p], len(p))) if named else min(below, key=len)
-    while True:
-        deeper = [p for p in below if p.startswith(start + "/") and below[p] >= MOST * below[start]]
-        if not deeper:
-            return start
+    if named:
+        return max(named, key=lambda p: (named[p], -len(p)))  # of a main and its article, the main: nested template parts go later
+    start = min(below, key=len)
+    # Without an article: as deep as one element holds all of it. A list or a table is part of the text.
+    while deeper := [p for p in below if p.startswith(start + "/") and below[p] == below[start] and p[len(start) + 1 :].split(".")[0].split("/")[0] in DIVISIONS]:
         start = min(deeper, key=lambda p: (p.count("/"), p))
+    return start
+
+
+DIVISIONS = frozenset("html body div section".split())
 
 
 def main_text(page: str, element: str | None, fixed: frozenset) -> str:
     found, opened = blocks_of(page)
+    return kept_text([(path, noise, text, _number(text)) for path, noise, text in found], opened, element, fixed)
+
+
+def kept_text(found: list[tuple[str, bool, str, int]], opened, element: str | None, fixed: frozenset) -> str:
+    """Text of the blocks (path, noise, text, number) inside of the main element; ``fixed`` are the template's (path, number)."""
     if element is None or element not in opened:
         own: Counter = Counter()
-        for path, noise, text in found:
+        for path, noise, text, _ in found:
             own[path] += 0 if noise else len(text)
         element = main_element(own)
         if element is None:
             return ""
     below = element + "/"
     # A nested part goes if it is a division all of whose text is the template's own.
-    own_text = {p for p, _, text in found if p.split("/")[-1].split(".")[0] in ("div", "section")}
-    own_text -= {p for p, _, text in found if (p, _number(text)) not in fixed}
+    own_text = {path for path, _, _, _ in found if path.split("/")[-1].split(".")[0] in ("div", "section")}
+    own_text -= {path for path, _, _, number in found if (path, number) not in fixed}
     return "\n".join(
-        text for path, noise, text in found
+        text for path, noise, text, _ in found
         if not noise and (path == element or path.startswith(below) and path not in own_text)
     )
 
@@ -237,16 +280,19 @@ def _extract():
 
     def work(batch):
         rows = []
-        for page_id, url, host, page, template in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "host", "html", "template"))):
+        names = ("page_id", "url", "host", "paths", "noise", "texts", "marks", "open_paths", "template")
+        for page_id, url, host, paths, noise, texts, marks, opened, template in zip(*(batch.column(c).to_pylist() for c in names)):
             if host not in known:
                 if len(known) > 1000:
                     known.clear()
                 if template is None:
                     known[host] = (None, frozenset())
                 else:
-                    element = main_element({e["path"]: e["chars"] for e in template["elements"]})
-                    known[host] = (element, frozenset((t["path"], t["value"]) for t in template["texts"]))
-            text = main_text(page, *known[host])
+                    slots = Counter({e["path"]: e["chars"] for e in template["elements"]})
+                    for t in template["texts"]:
+                        slots[t["path"]] -= t["chars"]
+                    known[host] = (main_element(slots), frozenset((t["path"], t["value"]) for t in template["texts"]))
+            text = kept_text(list(zip(paths, noise, texts, marks)), opened, *known[host])
             rows.append((page_id, url, text, len(text)))
         columns = [pa.array(c, t) for c, t in zip(zip(*rows), (batch.column("page_id").type, pa.string(), pa.string(), pa.int64()))]
         yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_chars"])
@@ -262,8 +308,9 @@ def extract(pages: DataFrame) -> DataFrame:
         F.coalesce("html", F.lit("")).alias("html"),
         F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)).alias("host"),
     )
-    found = keep(templates(rows), "page-templates")
-    joined = rows.join(found.select("host", F.struct("elements", "texts").alias("template")), "host", "left")
-    return joined.select("page_id", "url", "host", "html", "template").mapInArrow(
+    parsed = keep(rows.mapInArrow(per_task(lambda: _parse), PARSED), "page-blocks")
+    found = keep(templates(parsed), "page-templates")
+    joined = parsed.join(found.select("host", F.struct("elements", "texts").alias("template")), "host", "left")
+    return joined.select("page_id", "url", "host", "paths", "noise", "texts", "marks", "open_paths", "template").mapInArrow(
         per_task(_extract), "page_id long, url string, text string, n_chars long"
     )

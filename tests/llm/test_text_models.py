@@ -162,6 +162,31 @@ def test_noise_words_of_whole_page_wrappers(wrapper):
     assert html_text.main_text(page, None, frozenset()) == "Title\n" + ("long text " * 20).strip()
 
 
+LONG = "long text " * 40
+WHOLE = {
+    "head beside a large division": (f"<article><h1>Title</h1><p>Lead</p><div class=story><p>{LONG}</p></div></article>", f"Title\nLead\n{LONG.strip()}"),
+    "head beside an article": (f"<main><h1>Title</h1><p>Lead</p><article><p>{LONG}</p></article></main>", f"Title\nLead\n{LONG.strip()}"),
+    "a form around the page": (f"<form id=aspnet><nav>menu</nav><article><p>{LONG}</p><form class=f>mail</form></article></form>", LONG.strip()),
+    "a form around all text": (f"<form><div><p>{LONG}</p></div></form>", LONG.strip()),
+    "a stray quote": ("<article><p>before <a title=it's>link</a> after</p><p>it's more</p></article>", "before link after\nit's more"),
+    "a quote with a bracket": ("<article><p title='a > b'>one</p><p title = \"c > d's\">two</p></article>", "one\ntwo"),
+    "a noise word within a name": ("<article><p>one</p><div class='share-price-table'>12</div><div class='share-buttons'>x</div></article>", "one\n12"),
+    "names of noise": ("<article><p>one</p><div class='left-sidebar'>a</div><div id=comments-section>b</div><div class=ad_slot_2>c</div></article>", "one"),
+    "no article": (f"<div class=page><div class=x><h1>T#</h1></div><div class=y><p>{LONG}</p></div></div><footer>f</footer>", f"T#\n{LONG.strip()}"),
+}
+
+
+@pytest.mark.parametrize("case", WHOLE)
+def test_no_text_of_an_article_is_lost(spark, case):
+    page, want = WHOLE[case]
+    rows = [(i, f"http://h{i % 2 and i}.x/{i}", f"<html><body>{page.replace('#', str(i)).replace('long text', f'long text{i}', 1)}</body></html>") for i in range(8)]
+    got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    fixed = "long text" not in page
+    assert {r.page_id: r.text for r in got if not (fixed and r.page_id % 2 == 0)} == {
+        i: want.replace("#", str(i)).replace("long text", f"long text{i}", 1) for i in range(8) if not (fixed and i % 2 == 0)
+    }
+
+
 def test_text_of_copied_pages_stays(spark):
     page = "<html><body><nav>menu {1}</nav><article><h1>T{0}</h1><div class='lead'><p>lead {0} of it</p></div><div class='body'><p>body {0} of it all</p></div><div class='box'>Same words</div></article></body></html>"
     want = {}
