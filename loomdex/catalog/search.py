@@ -128,7 +128,7 @@ def dense_topk(spark, folder):
 
 @query("query_document_cross", f"with {CENTROIDS}, {DENSE} {HITS} dense")
 def query_document_cross(spark, folder):
-    """The path for queries that are too many to hold: blocks of both sides meet by shuffle."""
+    """The path for queries that are too many for one block: they are written once and sent block by block."""
     found = retrieval.dense_topk(points(spark, folder), centroids(spark, folder), 10, max_queries=4)
     return shown(found)
 

@@ -153,6 +153,8 @@ def sparse_topk_postings(
     asked = queries.select("qid", F.col(f"{vector}.indices").alias("indices"), F.col(f"{vector}.values").alias("values"))
     size = asked.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("indices")).alias("widest")).first()
     blocks = -(-size["n"] // max(1, min(QUERY_ROWS, QUERY_BYTES // (12 * max(size["widest"] or 1, 1)))))
+    if blocks > 1:
+        asked = written(asked, "queries")
     target = _arrow_schema(schema)
     found = index.sparkSession.createDataFrame([], schema)
     for b in range(blocks):

@@ -2,8 +2,9 @@
 
 The points are read once. Each task holds the query matrix, scores whole Arrow batches with matrix
 products and keeps only the best rows per query, so what is shuffled is (queries x limit) rows per
-task and not one row per pair. The scan runs in few long tasks. Queries are handed to the tasks in
-blocks of bounded size, each in a scan of its own; the points are never moved.
+task and not one row per pair. The scan runs in few long tasks. Queries are written once and handed to the
+tasks in blocks of bounded size, several of them to one scan; the points are never moved. The driver holds one
+block at a time.
 """
 
 from __future__ import annotations
@@ -19,9 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomdex.functions.vectors import INT8_LEVELS
+from loomdex.session import written
 
-QUERY_ROWS = 8192  # queries of one block, which is held in memory and broadcast to every task
+QUERY_ROWS = 8192  # queries of one block, which is collected and broadcast to every task
 QUERY_BYTES = 128 << 20  # and the bytes that they may take
+SCAN_BLOCKS = 8  # blocks that the tasks of one scan hold
 TASKS_PER_SLOT = 4  # tasks of a scan for each slot of the cluster
 SCORE_CELLS = 4_000_000  # scores held at a time
 MERGE_SALTS = 32
@@ -128,6 +131,7 @@ class _Best:
         self.branch = branch
         self.digits = digits
         self.limit = branch.stages[0].limit
+        self.width = queries.shape[1]
         self.parts = [_stage_matrix(queries, s, branch.metric, False) for s in branch.stages]
         self.floor = np.full(len(queries), -np.inf)
         self.q = np.empty(0, dtype=np.int64)
@@ -236,24 +240,24 @@ def _result(best: Sequence[_Best], qids: pa.Array, schema: pa.Schema) -> Iterato
 def _score_batches(
     batches: Iterator[pa.RecordBatch],
     branches: Sequence[Branch],
-    asked: dict[str, tuple[pa.Array, np.ndarray]],
+    blocks: Sequence[dict[str, tuple[pa.Array, np.ndarray]]],
     schema: pa.Schema,
     digits: int,
 ) -> Iterator[pa.RecordBatch]:
-    """``asked`` has the ids and vectors of the queries by column; a row without a vector is left out of the
+    """``blocks`` have the ids and vectors of queries by column; a row without a vector is left out of the
     branches over that column only."""
-    best = [_Best(b, asked[b.column][1], digits) for b in branches if len(asked[b.column][0])]
+    best = [(_Best(b, asked[b.column][1], digits), asked[b.column][0]) for asked in blocks for b in branches if len(asked[b.column][0])]
     for batch in batches:
         cache: dict[str, tuple] = {}
-        for b in best:
+        for b, _ in best:
             column = b.branch.column
             if column not in cache:
                 own = batch.filter(batch.column(column).is_valid())
-                cache[column] = (*_sorted_ids(own.column("id")), _matrix(own.column(column), asked[column][1].shape[1]))
+                cache[column] = (*_sorted_ids(own.column("id")), _matrix(own.column(column), b.width))
             if len(cache[column][0]):
                 b.add(*cache[column])
-    for b in best:
-        yield from _result([b], asked[b.branch.column][0], schema)
+    for b, qids in best:
+        yield from _result([b], qids, schema)
 
 
 def _spark_schema(points: DataFrame, queries: DataFrame, depth: int) -> T.StructType:
@@ -283,8 +287,8 @@ def branch_scan(
     digits: int = 9,
     max_queries: int = QUERY_ROWS,
 ) -> DataFrame:
-    """Ranked rows (branch, qid, id, score, rank) of every branch from one scan of the points for each
-    block of queries.
+    """Ranked rows (branch, qid, id, score, rank) of every branch from one scan of the points for up to
+    ``SCAN_BLOCKS`` blocks of queries.
 
     ``points`` has ``id`` and the vector columns, as arrays or packed; ``queries`` has ``qid`` and
     array columns of the same names. A point or query without a vector takes no part in the branches over it, nor do
@@ -302,26 +306,32 @@ def branch_scan(
     size = asked.agg(F.count(F.lit(1)).alias("n"), *[F.max(F.size(c)).alias(c) for c in columns]).first()
     per_block = max(1, min(max_queries, QUERY_BYTES // (8 * max(1, sum(size[c] or 0 for c in columns)))))
     n_blocks = -(-size["n"] // per_block)
+    if n_blocks > 1:  # written once, so that what makes the queries does not run for each block
+        asked = written(asked.withColumn("_block", F.pmod(F.xxhash64("qid"), F.lit(n_blocks))), "queries", "_block")
     found = [
-        _scan(present, asked.where(F.pmod(F.xxhash64("qid"), F.lit(n_blocks)) == k), branches, columns, schema, digits)
-        for k in range(n_blocks)
+        _scan(present, [asked.where(F.col("_block") == k).drop("_block") if n_blocks > 1 else asked for k in some], branches, columns, schema, digits)
+        for some in (range(at, min(at + SCAN_BLOCKS, n_blocks)) for at in range(0, n_blocks, SCAN_BLOCKS))
     ]
     if not found:
         found = [points.sparkSession.createDataFrame([], schema)]
     return _finish(reduce(DataFrame.union, found), branches, depth)
 
 
-def _scan(present, asked, branches, columns, schema, digits) -> DataFrame:
-    held = asked.toArrow()  # a block, bounded in rows and bytes
+def _block(asked, columns) -> dict[str, tuple[pa.Array, np.ndarray]]:
+    held = asked.toArrow()  # bounded in rows and bytes
     vectors = {}
     for c in columns:
         own = held.filter(held.column(c).is_valid())
         vectors[c] = own.column("qid").combine_chunks(), _matrix(own.column(c))
-    shared = present.sparkSession.sparkContext.broadcast(vectors)
+    return vectors
+
+
+def _scan(present, some, branches, columns, schema, digits) -> DataFrame:
+    shared = [present.sparkSession.sparkContext.broadcast(_block(asked, columns)) for asked in some]
     target = _arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _score_batches(batches, branches, shared.value, target, digits)
+        yield from _score_batches(batches, branches, [s.value for s in shared], target, digits)
 
     return present.mapInArrow(run, schema)
 

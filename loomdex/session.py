@@ -53,10 +53,10 @@ def clear_scratch(spark: SparkSession) -> int:
     return gone
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, *partitions: str) -> DataFrame:
     """The same rows read back from a new table in the shared folder."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*partitions).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

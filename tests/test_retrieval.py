@@ -285,3 +285,19 @@ def test_tasks_and_so_shuffled_rows_of_a_scan_are_bounded(spark, tables):
     seen = split.select("id", "text_dense").coalesce(slots).rdd.getNumPartitions()
     assert seen <= slots
     assert result(retrieval.dense_topk(split, asked, 4), name) == result(retrieval.dense_topk(points, asked, 4), name)
+
+
+def test_points_are_read_once_for_many_blocks_of_queries(spark, monkeypatch):
+    from loomdex.operators import scan
+
+    rng = np.random.default_rng(8)
+    points = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(300, 8)))], "id long, text_dense array<double>")
+    asked = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(200, 8)))], "qid long, text_dense array<double>")
+    want = retrieval.dense_topk(points, asked, 5)
+    seen = []
+    real = scan._scan
+    monkeypatch.setattr(scan, "_scan", lambda *a: (seen.append(len(a[1])), real(*a))[1])
+    got = retrieval.dense_topk(points, asked, 5, max_queries=30)
+    assert seen == [7] and got.exceptAll(want).count() == 0 and got.count() == want.count() == 1000
+    assert retrieval.dense_topk(points, asked, 5, max_queries=10).exceptAll(want).count() == 0
+    assert seen == [7, 8, 8, 4]
