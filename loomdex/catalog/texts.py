@@ -254,7 +254,13 @@ def vocabulary_padding(spark, folder):
     return corpus.vocabulary_topk(texts, "item_id", PADDED, pad=True)
 
 
-@query("bm25_idf", f"{STATS} select token, df, round(idf, 6) as idf from idfs")
+@query(
+    "bm25_idf",
+    f"""with counts as materialized (select token, count(*) as df from
+  (select unnest(list_distinct({q.tokens('text')})) as token from documents) group by 1),
+ raws as materialized (select token, df, ln((select count(*) from documents) - df + 0.5) - ln(df + 0.5) as raw from counts)
+ select token, df, round(case when raw < 0 then 0.25 * (select avg(raw) from raws) else raw end, 6) as idf from raws""",
+)
 def bm25_idf(spark, folder):
     weights = corpus.corpus_idf(tokenized(spark, folder))
     return weights.select("token", "df", F.round("idf", 6).alias("idf"))
