@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomdex.llm import (
-    fim, html_text, licenses, minhash, multi_index, packing, quality, seed_extend, simhash, suffix_dedup, tiling, toxicity, whitening,
+    fim, html_text, licenses, minhash, multi_index, packing, quality, repeats_sql, seed_extend, simhash, suffix_dedup, tiling, toxicity, whitening,
 )
 from loomdex.llm.common import keep, table
 
@@ -107,4 +107,9 @@ QUERIES: dict[str, Query] = {
     "op12_fill_in_middle": op12_fill_in_middle,
     "op13_simhash_near_dedup": op13_simhash_near_dedup,
 }
-ORACLES: dict[str, str] = {"op2_license_scans": licenses.oracle(), "op12_fill_in_middle": fim.oracle()}
+ORACLES: dict[str, str] = {
+    "op2_license_scans": licenses.oracle(),
+    "op8_suffix_array_dedup": repeats_sql.repeated_bytes(suffix_dedup.LEAST),
+    "op9_substring_dedup": repeats_sql.repeated_words(),
+    "op12_fill_in_middle": fim.oracle(),
+}
