@@ -102,6 +102,19 @@ def test_recall_of_whole_table(spark):
     assert np.mean([len(set(got[q]) & set(want[q])) / 5 for q in want]) >= 0.9
 
 
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_recall_of_the_walk_without_its_least_rows(spark, folder):
+    """As the index runs on tables of any size: by its share of the rows alone."""
+    vectors = table(spark, folder, "embeddings")
+    rows = vectors.collect()
+    ids = [r.vec_id for r in rows]
+    want = brute(ids, np.array([r.embedding for r in rows], float), [i for i in ids if i % 50 == 0], 5)
+    got: dict = {}
+    for r in multi_index.search(vectors, vectors.where("vec_id % 50 = 0"), k=5, least=0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert np.mean([len(got[q] & set(want[q])) / 5 for q in want]) >= 0.9
+
+
 def test_search_with_ties_odd_vectors_and_split_cells(spark, monkeypatch):
     monkeypatch.setattr(multi_index, "PART", 3)
     monkeypatch.setattr(multi_index, "QUERIES", 1)
