@@ -1,10 +1,13 @@
+from collections import Counter
+
 import numpy as np
+import pyarrow as pa
 import pytest
-from helpers import empty, strange
+from helpers import covered, empty, strange
 from pyspark.sql import functions as F
 
 from loomdex.llm import html_text, licenses, quality, queries, tiling, toxicity
-from loomdex.llm.common import table
+from loomdex.llm.common import blocks, table
 
 
 @pytest.mark.parametrize(("name", "label", "least"), [("op1_quality_classifier", "quality", 0.95), ("op4_toxicity", "toxic", 0.9)])
@@ -103,6 +106,53 @@ def test_reordered_and_whole_passages_are_caught(spark, monkeypatch):
     assert tiling.contaminated(docs, bench.where("false")).where("size(matches) > 0").count() == 0
 
 
+def test_tiles_of_equal_words_take_time_by_their_runs():
+    import time
+    import tracemalloc
+
+    ones = np.ones(20_000, np.uint64)
+    broken = ones.copy()
+    broken[::999] = 7
+    tracemalloc.start()
+    begun = time.monotonic()
+    assert tiling.tiles(ones[:1000], ones) == [(0, 0, 1000)]
+    assert sum(n for _, _, n in tiling.tiles(ones[:1000], broken)) == 998  # two words are left, too few for a tile
+    assert time.monotonic() - begun < 10 and tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+
+
+@pytest.mark.parametrize(("threshold", "sieve", "at_once"), [(0.5, 24, 256), (0.8, 8, 1), (0.2, 24, 3)])
+def test_items_of_one_phrase_equal_brute_force(spark, monkeypatch, threshold, sieve, at_once):
+    monkeypatch.setattr(tiling, "SIEVE", sieve)
+    monkeypatch.setattr(tiling, "ITEMS", at_once)
+    rng = np.random.default_rng(9)
+
+    def some(n):
+        return " ".join(rng.choice([f"w{i}" for i in range(60)], n))
+
+    phrase = "which of the following is true about"  # in every item and most documents
+    bench = [(i, f"{phrase} {some(rng.integers(0, 20))}") for i in range(30)] + [(3, "w1 w1 w1 w1 w1 w1 w1 w1"), (40, "w2 w2 w2 w2 w2")]
+    rows = []
+    for i in range(80):
+        parts = [some(rng.integers(0, 10)), phrase if i % 4 else "", *(bench[k][1][rng.integers(0, 60) :] for k in rng.integers(0, 30, 2))]
+        rows.append((i, " ".join(parts)))
+    rows += [(100, "W1 " * 50), (101, "w2 " * 5), (5, rows[5][1]), (102, rows[5][1])]
+    docs, items = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([*bench, bench[0]], "item_id long, text string")
+    got = tiling.contaminated(docs, items, threshold).collect()
+    assert len(got) == len(rows)
+    want = Counter((doc, item) for doc, text in rows for item, own in bench for _ in covered(text, [(item, own)], share=threshold))
+    found = Counter((r["row"].doc_id, m.item_id) for r in got for m in r.matches)
+    assert found.keys() <= want.keys()  # tiles do not overlap in the text, seeds may
+    words = {key: tiling.hashed_words(*next(blocks(pa.RecordBatch.from_arrays([pa.array([key])], names=["text"])))[2:])[0] for _, key in [*rows, *bench]}
+    exact = Counter(
+        (doc, item)
+        for doc, text in rows
+        for item, own in bench
+        if covered(text, [(item, own)], share=threshold) and sum(n for _, _, n in tiling.tiles(words[own], words[text])) >= threshold * len(words[own])
+    )
+    assert found == exact and found
+
+
 def test_contamination_of_whole_table_equals_brute_force(spark, data):
     import re
 
