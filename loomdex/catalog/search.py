@@ -141,6 +141,18 @@ def matryoshka_cascade(spark, folder):
     return shown(found)
 
 
+@query(
+    "coded_cascade",
+    f"with {CENTROIDS}, {q.prefix_ctes(PREFIXES, PREFIXES[:2])},\n {q.cascade_ctes(PREFIXES, LIMITS)} {HITS} cascade",
+)
+def coded_cascade(spark, folder):
+    """The first two stages read 8-bit codes that were stored once."""
+    rows = points(spark, folder)
+    bounds = retrieval.bounds_dict(retrieval.int8_bounds(rows, PREFIXES[:2]))
+    codes = written(rows.select("id", retrieval.code_column("text_dense", bounds).alias("codes")), "codes")
+    return shown(retrieval.coded_cascade(codes, rows, centroids(spark, folder), PREFIXES, LIMITS, bounds))
+
+
 @query("candidate_semi_join", f"with {CENTROIDS}, {CASCADE} {HITS} c2")
 def candidate_semi_join(spark, folder):
     """First stage by scan, second stage on its stored candidates only."""

@@ -6,8 +6,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomdex.functions.vectors import (
     cosine_similarity,
@@ -17,7 +20,7 @@ from loomdex.functions.vectors import (
     vector_prefix,
 )
 from loomdex.operators.relational import top_per_group
-from loomdex.operators.scan import Branch, Stage, branch_scan
+from loomdex.operators.scan import Branch, Stage, branch_scan, encoded, single_unit
 from loomdex.session import written
 
 DENSE = "text_dense"
@@ -113,6 +116,57 @@ def matryoshka_cascade(
     return branch_scan(points, queries, [branch], **options).drop("branch")
 
 
+def code_column(vector: Column | str, bounds: Bounds) -> Column:
+    """Stored 8-bit codes: a byte for each element of each prefix in ``bounds``, from short to long.
+
+    A null vector has no codes, nor has one with elements that are not finite. Vectors must be as long as the longest prefix.
+    """
+    spans = sorted((n, tuple(b)) for n, b in bounds.items())
+
+    @F.arrow_udf(T.BinaryType())
+    def encode(batch: pa.Array) -> pa.Array:
+        valid = batch.is_valid().to_numpy(zero_copy_only=False)
+        out: list[bytes | None] = [None] * len(batch)
+        rows = batch.drop_null()
+        if len(rows):
+            matrix = rows.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), -1)
+            finite = np.isfinite(matrix[:, : spans[-1][0]]).all(axis=1)
+            parts = [encoded(single_unit(matrix[finite, :n]), b) for n, b in spans]
+            codes = np.concatenate(parts, axis=1).astype(np.uint8)
+            for at, row in zip(np.flatnonzero(valid)[finite].tolist(), codes):
+                out[at] = row.tobytes()
+        return pa.array(out, pa.binary())
+
+    return encode(vector)
+
+
+def coded_cascade(
+    codes: DataFrame,
+    points: DataFrame,
+    queries: DataFrame,
+    prefixes: Sequence[int],
+    limits: Sequence[int],
+    bounds: Bounds,
+    vector: str = DENSE,
+    **options,
+) -> DataFrame:
+    """The coarse-to-fine ranking of :func:`matryoshka_cascade` from stored ``codes`` (id, codes).
+
+    The stages over prefixes in ``bounds`` come first and read the codes only, a byte for an element. The later ones
+    read the vectors of what is left.
+    """
+    coded = sorted(bounds)
+    if list(prefixes[: len(coded)]) != coded:
+        raise ValueError("the stages over stored codes must be the first ones")
+    places = dict(zip(coded, np.cumsum([0, *coded]).tolist()))
+    stages = tuple(Stage(n, d, tuple(bounds[d]), places[d]) for d, n in zip(coded, limits))
+    branch = Branch("cascade", "codes", stages, codes=sum(coded))
+    found = branch_scan(codes, queries.select("qid", F.col(vector).alias("codes")), [branch], **options).drop("branch")
+    for d, n in list(zip(prefixes, limits, strict=True))[len(coded) :]:
+        found = rerank_candidates(points, queries, written(found, "candidates"), n, d, vector)
+    return found
+
+
 def sparse_topk(
     points: DataFrame,
     queries: DataFrame,

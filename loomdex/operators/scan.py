@@ -33,46 +33,61 @@ MERGE_SALTS = 32
 @dataclass(frozen=True)
 class Stage:
     """One ranking step: the first ``dims`` elements (all if None), how many rows survive it, and
-    the value range of 8-bit codes if the step compares quantised vectors."""
+    the value range of 8-bit codes if the step compares quantised vectors. ``at`` is the place of the stage's
+    codes in a column of stored codes; without it codes are made from the vectors of each batch."""
 
     limit: int
     dims: int | None = None
     bounds: tuple[float, float] | None = None
+    at: int | None = None
 
 
 @dataclass(frozen=True)
 class Branch:
-    """A chain of stages over one vector column. ``keep_zero`` admits rows that score 0."""
+    """A chain of stages over one vector column. ``keep_zero`` admits rows that score 0. Where the points
+    have stored codes in that column, ``codes`` is how many bytes they are."""
 
     name: str
     column: str
     stages: tuple[Stage, ...]
     metric: str = "cosine"
     keep_zero: bool = True
+    codes: int | None = None
 
 
-def _quantised(unit: np.ndarray, bounds: tuple[float, float]) -> np.ndarray:
+def encoded(unit: np.ndarray, bounds: tuple[float, float]) -> np.ndarray:
+    """Codes from 0 to ``INT8_LEVELS`` over a value range."""
     low, high = bounds
     if not high > low:
-        return np.full_like(unit, low)
-    codes = np.floor((np.clip(unit, low, high) - low) / (high - low) * INT8_LEVELS + 0.5)
-    return low + codes / INT8_LEVELS * (high - low)
+        return np.zeros_like(unit)
+    return np.floor((np.clip(unit, low, high) - low) / (high - low) * INT8_LEVELS + 0.5)
 
 
-def _unit(matrix: np.ndarray) -> np.ndarray:
+def _decoded(codes: np.ndarray, bounds: tuple[float, float]) -> np.ndarray:
+    low, high = bounds
+    return low + codes / INT8_LEVELS * max(high - low, 0.0)
+
+
+def single_unit(part: np.ndarray) -> np.ndarray:
+    """Unit vectors in single precision, of which codes are taken."""
+    return unit_rows(part).astype(np.float32).astype(np.float64)
+
+
+def unit_rows(matrix: np.ndarray) -> np.ndarray:
     norms = np.sqrt(np.einsum("ij,ij->i", matrix, matrix))[:, None]
     return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
 
 
 def _stage_matrix(matrix: np.ndarray, stage: Stage, metric: str, is_point: bool) -> np.ndarray:
     """Vectors of one stage, scaled so that a plain product gives the stage's score."""
+    if is_point and stage.at is not None:
+        return unit_rows(_decoded(matrix[:, stage.at : stage.at + stage.dims], stage.bounds))
     part = (matrix if stage.dims is None else matrix[:, : stage.dims]).astype(np.float64)
     if metric == "dot":
         return part
     if is_point and stage.bounds is not None:
-        # codes are taken from unit vectors in single precision, as they would be stored
-        part = _quantised(_unit(part).astype(np.float32).astype(np.float64), stage.bounds)
-    return _unit(part)
+        part = _decoded(encoded(single_unit(part), stage.bounds), stage.bounds)
+    return unit_rows(part)
 
 
 def _scored_by(matrix: np.ndarray, stage: Stage, metric: str) -> tuple[np.ndarray, np.ndarray | None]:
@@ -94,8 +109,8 @@ def _stage_scores(part: np.ndarray, norms: np.ndarray | None, queries: np.ndarra
     return score
 
 
-def _matrix(column: pa.Array | pa.ChunkedArray, dim: int | None = None) -> np.ndarray:
-    """Rows of a vector column: arrays, or packed bytes of ``dim`` numbers."""
+def _matrix(column: pa.Array | pa.ChunkedArray, dim: int | None = None, codes: int | None = None) -> np.ndarray:
+    """Rows of a vector column: arrays, packed bytes of ``dim`` numbers, or that many stored ``codes``."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     n = len(column)
@@ -108,6 +123,10 @@ def _matrix(column: pa.Array | pa.ChunkedArray, dim: int | None = None) -> np.nd
         flat = column.flatten().to_numpy(zero_copy_only=False)
     else:
         data = _bytes_of(column)
+        if codes is not None:
+            if len(data) != n * codes:
+                raise ValueError(f"stored codes are not {codes} bytes each")
+            return np.frombuffer(data, np.uint8).reshape(n, codes)
         width = len(data) // max(n * dim, 1)
         if width not in (4, 8) or n * dim * width != len(data):
             raise ValueError(f"packed vectors do not hold {dim} numbers each")
@@ -253,7 +272,7 @@ def _score_batches(
             column = b.branch.column
             if column not in cache:
                 own = batch.filter(batch.column(column).is_valid())
-                cache[column] = (*_sorted_ids(own.column("id")), _matrix(own.column(column), b.width))
+                cache[column] = (*_sorted_ids(own.column("id")), _matrix(own.column(column), b.width, b.branch.codes))
             if len(cache[column][0]):
                 b.add(*cache[column])
     for b, qids in best:

@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomdex.functions.embedding import DENSE_SIZE, embed_text
+from loomdex.functions.embedding import DENSE_SIZE, embed_text, unpack_vector
 from loomdex.functions.text import get_cleaner, tokenize
 from loomdex.functions.vectors import vector_prefix
 from loomdex.operators.corpus import (
@@ -32,6 +32,7 @@ from loomdex.operators.relational import (
 from loomdex.operators.retrieval import (
     PRESETS,
     Preset,
+    coded_cascade,
     get_preset,
     hybrid_search,
     payload_attach,
@@ -258,6 +259,29 @@ def search_similar(
     return attach_stored_payload(store, name, hits)
 
 
+def search_coarse(
+    store: Collections,
+    name: str,
+    queries: DataFrame,
+    limit: int | None = None,
+    preset: str | Preset = "pipeline",
+    embedder: Callable[[], Callable[[Sequence[str]], Any]] | None = None,
+    **options,
+) -> DataFrame:
+    """Coarse-to-fine search alone, of a collection that keeps codes: (qid, rank, id, score, payload) for (qid, text).
+
+    The quantised stages read the stored codes, the last ones the longest stored prefix of what those kept.
+    """
+    config, p = store.config(name), get_preset(preset)
+    limit = p.default_limit if limit is None else limit
+    asked = embed_text(queries, "text", "prefix_dense", config["dense_size"], embedder).select("qid", "prefix_dense")
+    stored = store.points(name).select("id", unpack_vector("prefix_dense").alias("prefix_dense"))
+    found = coded_cascade(
+        store.codes(name), stored, asked, config["prefixes"], p.stage_limits(limit), store.code_bounds(name), "prefix_dense", **options
+    )
+    return attach_stored_payload(store, name, found.where(F.col("rank") <= limit))
+
+
 def demo_search(
     documents: DataFrame,
     queries: DataFrame,

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from loomdex.functions.embedding import DENSE_SIZE, pack_vector, unpack_vector
 from loomdex.functions.vectors import vector_prefix
-from loomdex.operators.retrieval import bounds_dict, unit_prefix
+from loomdex.operators.retrieval import bounds_dict, code_column, unit_prefix
 
 PAYLOAD_FIELDS = ["geschaeft_uid", "dokument_uid", "url", "title", "beschluss", "text"]
 PREFIXES = (64, 128, 256)
@@ -94,7 +94,8 @@ class Collections:
     lets a coarse-to-fine search skip the wide column; shorter prefixes are cut from it on read. Where ``indexed``, the
     sparse vector of a point is stored as the slots of the vocabulary entries that it has. An entry keeps its slot while
     its place and weight change, which are looked up on read: new documents change the weights of stored points
-    without touching them.
+    without touching them. Where ``coded``, a narrow table holds the 8-bit codes of the quantised prefixes beside the points: new points
+    are added to it, and it is made anew when they widen the value range.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -138,7 +139,7 @@ class Collections:
 
     def _sweep(self, name: str, before: dict) -> None:
         """Drop tables that neither the current build nor the one before names."""
-        used = {t for s in (self._state(name), before) for p in ("points", "vocabulary", "statistics") for t in [s.get(p)]}
+        used = {t for s in (self._state(name), before) for p in ("points", "vocabulary", "statistics", "codes") for t in [s.get(p)]}
         used |= {t for s in (self._state(name), before) for p in ("bounds", "counted") for t in s.get(p, [])}
         for table in set(self._tables(name)) - used:
             self.spark.sql(f"drop table if exists {self.database}.{table}")
@@ -168,6 +169,7 @@ class Collections:
         exist_ok: bool = False,
         recreate: bool = False,
         indexed: bool = False,
+        coded: bool = False,
     ) -> bool:
         """Create an empty collection. False if it is there and ``exist_ok`` allows that.
 
@@ -193,6 +195,7 @@ class Collections:
             "payload": payload.jsonValue(),
             "bucket_chars": bucket_chars,
             "indexed": indexed,
+            "coded": coded,
         }
         self._publish(name, {"name": name, "version": 0, "config": config})
         return True
@@ -208,7 +211,7 @@ class Collections:
 
     def restore(self, name: str, state: dict) -> None:
         """Enter a build into a catalog that does not know it: ``state`` is what :meth:`state` gave."""
-        tables = [state.get(p) for p in ("points", "vocabulary", "statistics")] + state.get("bounds", []) + state.get("counted", [])
+        tables = [state.get(p) for p in ("points", "vocabulary", "statistics", "codes")] + state.get("bounds", []) + state.get("counted", [])
         for table in filter(None, tables):
             if not self.spark.catalog.tableExists(f"{self.database}.{table}"):
                 self.spark.sql(f"create table {self.database}.{table} using parquet location {_quoted(f'{self.root}/{table}')}")
@@ -318,7 +321,7 @@ class Collections:
             state["counted"] = [self._save(name, "counted", self._union(state["counted"]))]
         if change and before.get("points"):
             stored = self._table(before["points"]).select("id", unpack_vector("text_dense").alias("text_dense"), "payload")
-            state |= {"points": None, "bounds": []}
+            state |= {"points": None, "bounds": [], "codes": None}
             self._append(name, state, change(stored))
         written = self._append(name, state, added)
         self._publish(name, state)
@@ -330,6 +333,32 @@ class Collections:
         parts = self._state(name).get("bounds", [])
         return bounds_dict(self._union(parts)) if parts else {}
 
+    def codes(self, name: str) -> DataFrame:
+        """Stored 8-bit codes (id, codes) of the quantised prefixes, from short to long."""
+        state = self._state(name)
+        if not state["config"].get("coded"):
+            raise ValueError(f"collection {name!r} keeps no codes")
+        stored = self._table(state.get("codes"))
+        return self.spark.createDataFrame([], "id string, codes binary") if stored is None else stored
+
+    def code_bounds(self, name: str) -> dict[int, tuple[float, float]]:
+        """Value ranges that the stored codes were made with."""
+        return {int(n): (low, high) for n, (low, high) in self._state(name).get("code_bounds", {}).items()}
+
+    def _encode(self, name: str, state: dict) -> None:
+        """Bring the codes of a build up to its points: those not coded yet, or all if the value range is another."""
+        bounds = bounds_dict(self._union(state["bounds"]))
+        spans = {str(n): list(b) for n, b in sorted(bounds.items())}
+        stored = self._table(state["points"])
+        known = self._table(state["codes"]) if state.get("codes") and state.get("code_bounds") == spans else None
+        if known is not None:
+            stored = stored.join(known.select("id"), "id", "left_anti")
+        rows = stored.select("id", code_column(unpack_vector("prefix_dense"), bounds).alias("codes"))
+        if known is None:
+            state |= {"codes": self._save(name, "codes", rows), "code_bounds": spans}
+        else:
+            rows.write.format("parquet").mode("append").saveAsTable(f"{self.database}.{state['codes']}")
+
     def with_ids(self, df: DataFrame, name: str, *keys: str, random: bool = False) -> DataFrame:
         """Add the point id: a digest of collection and keys, or a fresh random id."""
         parts = [F.lit(name), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]]
@@ -402,4 +431,6 @@ class Collections:
             kept = self._union(state["bounds"]).groupBy("prefix").agg(F.min("low"), F.max("high")).collect() if state.get("bounds") else []
             rows = self.spark.createDataFrame([*spans, *map(tuple, kept)], BOUNDS_SCHEMA)  # a few rows
             state["bounds"] = [self._save(name, "bounds", rows.coalesce(1))]
+            if config.get("coded"):
+                self._encode(name, state)
         return got["n"]

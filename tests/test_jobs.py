@@ -1,7 +1,8 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loomdex.operators import extract, layout
+from loomdex.operators import extract, layout, retrieval
 from loomdex.plans import jobs
 from loomdex.session import scratch_path, shared_folder
 from loomdex.sources import readers, sinks
@@ -138,6 +139,52 @@ def test_collections_life_cycle(store):
         store.create("../a")
 
 
+def test_stored_codes_follow_the_points(spark, store):
+    rng = np.random.default_rng(2)
+
+    def some(ids, spread):
+        rows = [(f"{i:03d}", [float(x) for x in rng.normal(0, 1, 4) * [spread, 1, 1, 1]], [1.0], ("u", "d", "x", f"t{i}", "b", "w")) for i in ids]
+        return spark.createDataFrame(rows, "id string, text_dense array<float>, text_sparse array<double>, payload struct<geschaeft_uid:string,dokument_uid:string,url:string,title:string,beschluss:string,text:string>")
+
+    def checked():
+        bounds = store.code_bounds("c")
+        assert bounds == store.bounds("c")
+        want = store.read("c").select("id", retrieval.code_column("text_dense", bounds).alias("codes"))
+        assert sorted(map(tuple, store.codes("c").collect())) == sorted(map(tuple, want.collect()))
+        asked = spark.createDataFrame([(q, [float(x) for x in rng.normal(0, 1, 4)]) for q in range(3)], "qid int, text_dense array<float>")
+        rows = store.read("c").select("id", "text_dense")
+        args = (asked, (2, 3), (8, 4), bounds)
+        found = retrieval.coded_cascade(store.codes("c"), rows, *args)
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, retrieval.matryoshka_cascade(rows, *args).collect()))
+
+    store.create("c", 4, 1, prefixes=(2, 3), quantised=(2,), bucket_chars=1, coded=True)
+    assert store.codes("c").count() == 0
+    corners = [(f"{i}", [*map(float, xy), 0.0, 0.0], [1.0], None) for i, xy in enumerate([(1, 0), (-1, 0), (0, 1), (0, -1)])]
+    wide = some(range(4), 1).union(spark.createDataFrame(corners, some([0], 1).schema))
+    assert store.upsert("c", some(range(10, 20), 0.01)) == 10
+    first = store.state("c")["codes"]
+    checked()
+    assert store.upsert("c", wide) == 8  # they widen the range, so all codes are made anew
+    second = store.state("c")["codes"]
+    checked()
+    assert store.upsert("c", some(range(30, 36), 0.5)) == 6 and store.upsert("c", some(range(30, 36), 0.5)) == 0
+    assert store.state("c")["codes"] == second != first
+    checked()
+    store.create("plain", 4, 1, prefixes=(2,), quantised=(2,))
+    with pytest.raises(ValueError):
+        store.codes("plain")
+
+
+def test_coarse_search_of_a_collection(spark, store):
+    docs, items, content = motions(spark)
+    store.create("m", 256, 256, bucket_chars=1, indexed=True, coded=True)
+    assert jobs.build_index(store, "m", docs, items, content, extractor="text", dim=256, bucket_chars=1) == 3
+    asked = spark.createDataFrame([(1, "wind power plant"), (2, "School bus")], "qid int, text string")
+    found = jobs.search_coarse(store, "m", asked, limit=2).orderBy("qid", "rank").collect()
+    assert [(r.qid, r.rank) for r in found] == [(1, 1), (1, 2), (2, 1), (2, 2)]
+    assert [r.payload.dokument_uid for r in found if r.rank == 1] == ["d1", "d2"]
+
+
 def test_index_search_and_repeat(spark, store):
     docs, items, content = motions(spark)
     args = (store, "m", docs, items, content)

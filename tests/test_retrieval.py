@@ -124,6 +124,38 @@ def test_cascade_reranks_what_the_stage_before_kept(tables, arrays, bounds):
     assert result(got, name) == expected(lists, name)
 
 
+def test_stored_codes_rank_as_codes_made_on_the_way(spark, tables):
+    points, asked, name = tables
+    bounds = {8: (-0.8, 0.9), 16: (-0.7, 0.7)}
+    codes = points.select("id", retrieval.code_column("text_dense", bounds).alias("codes"))
+    assert codes.selectExpr("min(octet_length(codes))", "max(octet_length(codes))").first() == (24, 24)
+    got = retrieval.coded_cascade(codes, points, asked, (8, 16, 24), (60, 30, 12), bounds)
+    want = retrieval.matryoshka_cascade(points, asked, (8, 16, 24), (60, 30, 12), bounds)
+    assert got.columns == want.columns and result(got, name) == result(want, name)
+    only = retrieval.coded_cascade(codes, points, asked, (8, 16), (60, 30), bounds)
+    assert result(only, name) == result(retrieval.matryoshka_cascade(points, asked, (8, 16), (60, 30), bounds), name)
+    with pytest.raises(ValueError):
+        retrieval.coded_cascade(codes, points, asked, (8, 16, 24), (60, 30, 12), {16: (-1, 1)})
+
+
+def test_codes_of_odd_vectors(spark):
+    rows = [(1, [3.0, 4.0]), (2, None), (3, [float("nan"), 1.0]), (4, [0.0, 0.0]), (5, [-9.0, 0.0]), (6, [float("inf"), 0.0])]
+    points = spark.createDataFrame(rows, "id long, v array<float>")
+    got = {r.id: r.c and list(r.c) for r in points.select("id", retrieval.code_column("v", {1: (5.0, 5.0), 2: (-1.0, 1.0)}).alias("c")).collect()}
+    assert got == {1: [0, 102, 114], 2: None, 3: None, 4: [0, 64, 64], 5: [0, 0, 64], 6: None}
+    assert points.where("false").select(retrieval.code_column("v", {1: (0.0, 1.0)})).count() == 0
+
+
+def test_first_stage_reads_codes_only(spark, tables, tmp_path, capsys):
+    points, asked, _ = tables
+    bounds = {8: (-1.0, 1.0)}
+    points.select("id", "text_dense", retrieval.code_column("text_dense", bounds).alias("codes")).write.parquet(str(tmp_path / "c"))
+    stored = spark.read.parquet(str(tmp_path / "c"))
+    retrieval.coded_cascade(stored, stored, asked, (8,), (5,), bounds).explain("formatted")
+    scans = [x for x in capsys.readouterr().out.splitlines() if "ReadSchema" in x]
+    assert any("codes" in x for x in scans) and not any("text_dense" in x for x in scans)
+
+
 def test_wide_cascade_is_plain_topk_on_the_last_prefix(tables):
     points, asked, name = tables
     wide = retrieval.matryoshka_cascade(points, asked, (8, 16), (N, N))
