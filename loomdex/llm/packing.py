@@ -180,7 +180,8 @@ def pack(docs: DataFrame, ranks_path: str, capacity: int = 1024, end_id: int = 2
                 [*(batch.column(c) for c in kept), *(pa.array(v) for v in found.values())], names=[*kept, *found]
             )
 
-    numbered = cut.join(before.select("task", "length", "before"), ["task", "length"]).select(
+    # Merged, not broadcast: the sums have up to ``capacity`` rows for each task, so they grow with the corpus.
+    numbered = cut.join(before.select("task", "length", "before").hint("merge"), ["task", "length"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("number")).alias("number"),
         *(["ids"] if with_ids else []),
     )
