@@ -20,6 +20,31 @@ def test_held_out_accuracy(spark, name, label, least):
     assert right >= least
 
 
+@pytest.mark.parametrize("n", [1, 24, 25, 26, 700])
+def test_votes_equal_those_over_all_neighbours_with_ties(n):
+    """Every neighbour sorted by similarity and place, for vectors of whole numbers, of which many are equally near."""
+    rng = np.random.default_rng(n)
+    known = rng.integers(-2, 3, (n, 6)).astype(np.float32)
+    labels = rng.integers(0, 2, n).astype(np.float64)
+    asked = rng.integers(-2, 3, (600, 6)).astype(np.float32)
+    got = quality.vote(asked, {"vectors": known, "labels": labels})
+    for score, own in zip(got, asked):
+        near = sorted((-float(own @ other), place) for place, other in enumerate(known))[: quality.NEIGHBOURS]
+        weight = [np.exp(quality.SHARPNESS * (near[0][0] - similarity)) for similarity, _ in near]
+        assert score == pytest.approx(sum(w * labels[place] for w, (_, place) in zip(weight, near)) / sum(weight), abs=1e-9)
+
+
+def test_quality_that_lies_in_words_alone_is_learnt(spark):
+    """Both kinds of text have words of the same letters' classes and lengths."""
+    rng = np.random.default_rng(5)
+    kinds = [["".join(chr(97 + c) for c in rng.integers(0, 26, 6)) for _ in range(60)] for _ in range(2)]
+    rows = [(i, " ".join(rng.choice(kinds[i % 2], 80)) + ".", i % 2) for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    model = quality.learn(docs, docs.where("doc_id < 600").select("doc_id", "label"))
+    got = {r.doc_id: r.score for r in quality.score(docs.where("doc_id >= 600"), model).collect()}
+    assert np.mean([(score >= 0.5) == doc % 2 for doc, score in got.items()]) >= 0.95
+
+
 @pytest.mark.parametrize("model", [quality, toxicity])
 def test_scores_of_strange_rows(spark, model):
     docs = strange(spark, "some plain words here")
