@@ -2,12 +2,12 @@
 
 Both halves of the unit vectors are quantised on their own (``CELLS`` centroids each, fitted to a bounded sample of
 ``SAMPLE`` rows); every row is indexed in the cell of its pair of centroids. A query walks over pairs of
-centroids by growing summed distance, with a heap, until the cells it has seen hold ``SHARE`` of all rows and at
-least ``LEAST``. Their rows are reranked by cosine in double precision on the original vectors.
+centroids by growing summed distance, with a heap, until the cells it has seen hold ``SHARE`` of all rows, and k that are
+not its own. Their rows are reranked by cosine in double precision on the original vectors.
 
 The table of cell counts (CELLS x CELLS) and the centroids have a fixed size and go to every task; queries and rows
-meet by a shuffle on the cell, large cells in parts of ``PART`` rows. Each part keeps its k best per query. The share is what random vectors
-of 64 components need for a recall of 0.9, at any number of rows; clustered ones need far less.
+meet by a shuffle on the cell, large cells in parts of ``PART`` rows. Each part keeps its k best per query. The share holds at any number
+of rows; it is what random vectors of 64 components need for a recall well over 0.9, clustered ones need far less.
 
 Vectors that are null, zero, of another length than most, or hold null or non-finite components take no part, as queries or as
 candidates; nor do rows without an id. Repeated ids are candidates each, and a query's own id is none. With fewer
@@ -27,7 +27,7 @@ from loomdex.llm.common import keep, per_task
 
 CELLS = 16
 SAMPLE = 20_000
-SHARE, LEAST = 0.6, 2_000
+SHARE = 0.7
 #: Rows of a part of a cell, and queries that meet it at once.
 PART, QUERIES = 4_096, 16_384
 ROUNDS = 12
@@ -165,7 +165,7 @@ def _best(k: int):
 
 
 def search(
-    vectors: DataFrame, queries: DataFrame, k: int = 5, share: float = SHARE, least: int = LEAST, cells: int = CELLS
+    vectors: DataFrame, queries: DataFrame, k: int = 5, share: float = SHARE, cells: int = CELLS
 ) -> DataFrame:
     """The k nearest rows found for each query: query_id, rank, vec_id, score. Both tables have vec_id and embedding.
 
@@ -186,9 +186,10 @@ def search(
     counts = np.zeros(cells * cells, np.int64)
     for row in sizes.collect():  # at most cells * cells rows
         counts[row.cell] = row.n
-    enough = max(least, int(np.ceil(share * counts.sum())))
-    sent = spark.sparkContext.broadcast((counts, PART))
     asked = keep(usable(queries).where(F.size("vector") == wide).dropDuplicates(["id"]), "queries")
+    own = index.join(asked.select("id"), "id", "left_semi").groupBy("id").count().agg(F.max("count")).first()[0] or 0
+    enough = max(k + own, int(np.ceil(share * counts.sum())))
+    sent = spark.sparkContext.broadcast((counts, PART))
     turns = -(-asked.count() // QUERIES) or 1
     turn = F.explode(F.sequence(F.lit(0), F.lit(turns - 1))).alias("turn")  # rows meet the queries in turns of bounded size
     parts = sizes.select("cell", F.ceil(F.col("n") / PART).cast("int").alias("parts"))
