@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from loomdex.functions.embedding import DENSE_SIZE, pack_vector, unpack_vector
 from loomdex.functions.vectors import vector_prefix
 from loomdex.operators.retrieval import bounds_dict, code_column, unit_prefix
+from loomdex.session import written
 
 PAYLOAD_FIELDS = ["geschaeft_uid", "dokument_uid", "url", "title", "beschluss", "text"]
 PREFIXES = (64, 128, 256)
@@ -323,10 +324,10 @@ class Collections:
             stored = self._table(before["points"]).select("id", unpack_vector("text_dense").alias("text_dense"), "payload")
             state |= {"points": None, "bounds": [], "codes": None}
             self._append(name, state, change(stored))
-        written = self._append(name, state, added)
+        n = self._append(name, state, added)
         self._publish(name, state)
         self._sweep(name, before)
-        return written
+        return n
 
     def bounds(self, name: str) -> dict[int, tuple[float, float]]:
         """Value range per quantised prefix over everything appended so far."""
@@ -366,8 +367,21 @@ class Collections:
         return df.withColumn("id", fresh)
 
     def without_known(self, df: DataFrame, name: str) -> DataFrame:
-        """Rows whose id is not stored yet. Done before vectors exist, it moves narrow rows."""
-        return df.join(self.points(name).select("id"), "id", "left_anti")  # ids only are read
+        """Rows whose id is not stored yet. Done before vectors exist, it moves narrow rows.
+
+        The ids of ``df`` are written first. Stored ids are met with them by bucket and id in a semi-join, for which Spark reads
+        the buckets that occur only and, for large tables, filters stored ids by a Bloom filter before it moves them. So what
+        ``df`` meets has its own size at most, whatever is stored. ``df`` is evaluated once more for its ids.
+        """
+        state = self._state(name)
+        stored = self._table(state.get("points"))
+        if stored is None:
+            return df
+        bucket = F.substring("id", 1, state["config"]["bucket_chars"]).alias("id_bucket")
+        asked = written(df.select("id", bucket), "asked-ids")
+        asked = asked.where(F.col("id_bucket") >= "")  # not null; partitions are pruned by filtered tables only
+        known = stored.select("id_bucket", "id").join(asked, ["id_bucket", "id"], "left_semi")
+        return df.join(known.select("id"), "id", "left_anti")
 
     def upsert(self, name: str, points: DataFrame, skip_known: bool = True) -> int:
         """Append points (id, text_dense, text_sparse, payload); returns how many were written.
@@ -380,10 +394,10 @@ class Collections:
             points = self.without_known(points, name).dropDuplicates(["id"])
         before = self._state(name)
         state = json.loads(json.dumps(before))
-        written = self._append(name, state, points)
+        n = self._append(name, state, points)
         if state != before:
             self._publish(name, state)
-        return written
+        return n
 
     def _append(self, name: str, state: dict, points: DataFrame) -> int:
         """Write points to the table that ``state`` names, or a new one, and note it there with their value range."""

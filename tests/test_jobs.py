@@ -306,6 +306,24 @@ def test_a_build_can_be_entered_into_another_catalog(spark, store):
     assert index_of(other) == want and other.list() == ["m"]
 
 
+def test_an_append_meets_only_stored_ids_of_its_buckets(spark, store, capsys):
+    store.create("b", 4, 1, prefixes=(2,), quantised=(), bucket_chars=1)
+    empty = F.struct(*[F.lit(None).cast("string").alias(n) for n in PAYLOAD_FIELDS])
+
+    def points(*ids):
+        rows = [(i, [1.0, 0.0, 0.0, 0.0], [0.0]) for i in ids]
+        return spark.createDataFrame(rows, "id string, text_dense array<double>, text_sparse array<double>").withColumn("payload", empty)
+
+    assert store.without_known(points("a1"), "b").count() == 1  # nothing is stored yet
+    assert store.upsert("b", points(*[f"{bucket}{i}" for bucket in "abcdef" for i in range(5)])) == 30
+    new = store.without_known(points("a1", "a7", "b4", "x1", None), "b")
+    assert sorted(str(r.id) for r in new.collect()) == ["None", "a7", "x1"]
+    capsys.readouterr()
+    new.explain("formatted")
+    assert "dynamicpruning" in capsys.readouterr().out
+    assert store.upsert("b", points("a1", "a7", "b4", "x1", "x1")) == 2
+
+
 def test_equal_ids_of_a_batch_are_stored_once(spark, store):
     store.create("b", 4, 1, prefixes=(2,), quantised=(2,), payload=None)
     rows = [("x", [1.0, 0.0, 0.0, 0.0], [0.0])] * 3 + [("y", [0.0, 1.0, 0.0, 0.0], [0.0])]
