@@ -174,10 +174,14 @@ SHARED = f"""select {RESULT.replace('status', "case when status = 'success' and
 
 @query("extract_dedup_shared", SHARED)
 def extract_dedup_shared(spark, folder):
-    """Documents of shared motions, each landed under two addresses."""
-    once = i.content(spark, folder).withColumn("motion_id", F.col("motion_id") % 40)
+    """Documents of shared motions, each landed under two addresses.
+
+    Pages of one motion may have the same address and text, so the page tells them apart. Motions come by number.
+    """
+    motion = F.col("motion_id") % 40
+    once = i.content(spark, folder).withColumns({"page": F.col("motion_id"), "motion": motion, "motion_id": motion})
     twice = once.unionAll(once.withColumn("url", F.concat("url", F.lit("#again"))))
-    return jobs.extract_dedup_job(twice).drop("content")
+    return jobs.extract_dedup_job(twice, row_key=["motion", "url", "page"]).drop("content", "motion", "page")
 
 
 @query("status_summary", f"select status, count(*) as n from ({DEDUPED}) group by status")
