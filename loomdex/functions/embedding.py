@@ -17,12 +17,14 @@ from loomdex.functions.text import tokenize
 
 DENSE_SIZE = 1024
 VECTOR_TYPE = T.ArrayType(T.FloatType(), True)
+PART_ELEMENTS = 1 << 19  # list elements of a batch that are worked on at a time
+PART_CELLS = 1 << 20  # and cells of a dense matrix that is filled meanwhile
 
 
 def _as_float_lists(matrix: np.ndarray) -> pa.Array:
     n, dim = matrix.shape
     offsets = pa.array(np.arange(0, (n + 1) * dim, dim, dtype=np.int32))
-    return pa.ListArray.from_arrays(offsets, pa.array(matrix.astype(np.float32).ravel()))
+    return pa.ListArray.from_arrays(offsets, pa.array(matrix.astype(np.float32, copy=False).ravel()))
 
 
 def _signed_buckets(words: list[str], dim: int) -> np.ndarray:
@@ -38,23 +40,44 @@ def _row_numbers(lists: pa.Array) -> np.ndarray:
     return np.repeat(np.arange(len(lists), dtype=np.int64), sizes)
 
 
+def list_parts(lists: pa.Array, rows: int | None = None, elements: int = PART_ELEMENTS) -> Iterator[tuple[int, int]]:
+    """First and end row of runs of rows with so many rows and list elements at most; a longer row is a run of its own.
+
+    What is made from a run is several times its size, so a worker's memory follows the runs and not the batch.
+    """
+    ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(ends):
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + elements, "right")))
+        end = end if rows is None else min(end, start + max(rows, 1))
+        yield start, end
+        start = end
+
+
 def hash_embedding(tokens: Column | str, dim: int = DENSE_SIZE) -> Column:
     """Deterministic embedding of a token array; no tokens give the zero vector.
 
-    Works on whole Arrow batches: words are dictionary-encoded, so each distinct word of a batch
+    Works on large parts of Arrow batches: words are dictionary-encoded, so each distinct word of a part
     is hashed once, and the signed buckets are summed per row and scaled to length one.
     """
 
-    @F.arrow_udf(VECTOR_TYPE)
-    def embed(batch: pa.Array) -> pa.Array:
-        words = batch.flatten().dictionary_encode()
+    def unit_sums(part: pa.Array) -> np.ndarray:
+        words = part.flatten().dictionary_encode()
         signed = _signed_buckets(words.dictionary.to_pylist(), dim)
         signed = signed[words.indices.to_numpy(zero_copy_only=False)]
-        slot = _row_numbers(batch) * dim + np.abs(signed) - 1
-        sums = np.bincount(slot, weights=np.sign(signed), minlength=len(batch) * dim)
-        matrix = sums.astype(np.float64, copy=False).reshape(len(batch), dim)
+        slot = _row_numbers(part) * dim + np.abs(signed) - 1
+        sums = np.bincount(slot, weights=np.sign(signed), minlength=len(part) * dim)
+        matrix = sums.astype(np.float64, copy=False).reshape(len(part), dim)
         norms = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
-        return _as_float_lists(np.divide(matrix, norms, out=matrix, where=norms > 0))
+        return np.divide(matrix, norms, out=matrix, where=norms > 0)
+
+    @F.arrow_udf(VECTOR_TYPE)
+    def embed(batch: pa.Array) -> pa.Array:
+        out = np.empty((len(batch), dim), np.float32)
+        for start, end in list_parts(batch, PART_CELLS // dim):
+            out[start:end] = unit_sums(batch.slice(start, end - start))
+        return _as_float_lists(out)
 
     return embed(tokens)
 
@@ -64,43 +87,53 @@ def vocabulary_weights(
 ) -> Column:
     """Dense weight array over a vocabulary: the weight where the row has the token, else 0.
 
-    Tokens are looked up by hash for a whole Arrow batch at a time; no shuffle and no product of
+    Tokens are looked up by hash for a large part of an Arrow batch at a time; no shuffle and no product of
     vocabulary and document. Empty names are padding and match nothing.
     """
-    slots = np.array([i for i, n in enumerate(names) if n], dtype=np.int64)
-    known = [n for n in names if n]
+    places = _vocabulary_places(names)
     values = np.array([float(w) for w in weights])
     cap = len(names)
 
     @F.arrow_udf(T.ArrayType(T.DoubleType(), True))
     def weigh(batch: pa.Array) -> pa.Array:
-        found = pc.index_in(batch.flatten(), value_set=pa.array(known, type=pa.string()))
-        hit = found.is_valid().to_numpy(zero_copy_only=False)
-        slot = slots[found.drop_null().to_numpy(zero_copy_only=False)]
         matrix = np.zeros((len(batch), cap))
-        matrix[_row_numbers(batch)[hit], slot] = values[slot]
+        for start, row, slot in places(batch):
+            matrix[start + row, slot] = values[slot]
         offsets = pa.array(np.arange(0, (len(batch) + 1) * cap, max(cap, 1), dtype=np.int32)[: len(batch) + 1])
         return pa.ListArray.from_arrays(offsets, pa.array(matrix.ravel()))
 
     return weigh(tokens) if cap else F.array().cast("array<double>")
 
 
+def _vocabulary_places(names: Sequence[str]) -> Callable[[pa.Array], Iterator[tuple[int, np.ndarray, np.ndarray]]]:
+    """A function from token lists to (first row, row from there, slot) of the tokens that ``names`` has, part by part."""
+    slots = np.array([i for i, n in enumerate(names) if n], dtype=np.int64)
+    known = [n for n in names if n]
+
+    def places(batch: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        value_set = pa.array(known, type=pa.string())
+        for start, end in list_parts(batch):
+            part = batch.slice(start, end - start)
+            found = pc.index_in(part.flatten(), value_set=value_set)
+            hit = found.is_valid().to_numpy(zero_copy_only=False)
+            yield start, _row_numbers(part)[hit], slots[found.drop_null().to_numpy(zero_copy_only=False)]
+
+    return places
+
+
 SPARSE_TYPE = T.StructType([T.StructField("indices", T.ArrayType(T.IntegerType())), T.StructField("values", T.ArrayType(T.DoubleType()))])
 
 
 def vocabulary_pairs(tokens: Column | str, names: Sequence[str], weights: Sequence[float]) -> Column:
     """The elements of :func:`vocabulary_weights` that the row has: a struct of rising indices and their values."""
-    slots = np.array([i for i, n in enumerate(names) if n], dtype=np.int64)
-    known = [n for n in names if n]
+    places = _vocabulary_places(names)
     values = np.array([float(w) for w in weights])
     cap = max(len(names), 1)
 
     @F.arrow_udf(SPARSE_TYPE)
     def weigh(batch: pa.Array) -> pa.Array:
-        found = pc.index_in(batch.flatten(), value_set=pa.array(known, type=pa.string()))
-        hit = found.is_valid().to_numpy(zero_copy_only=False)
-        slot = slots[found.drop_null().to_numpy(zero_copy_only=False)]
-        pairs = np.unique(_row_numbers(batch)[hit] * cap + slot)
+        parts = [np.unique((start + row) * cap + slot) for start, row, slot in places(batch)]
+        pairs = np.concatenate(parts) if parts else np.zeros(0, np.int64)  # rows rise from part to part
         offsets = pa.array(np.searchsorted(pairs // cap, np.arange(len(batch) + 1)).astype(np.int32))
         slot = pairs % cap
         lists = [pa.ListArray.from_arrays(offsets, pa.array(v)) for v in (slot.astype(np.int32), values[slot])]
@@ -143,7 +176,8 @@ def pack_vector(vector: Column | str, kind: str = "float") -> Column:
         flat = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(batch), [None, pa.py_buffer(offsets), pa.py_buffer(values)]
         )
-        return pc.if_else(batch.is_valid(), flat.cast(pa.binary()), pa.scalar(None, pa.binary()))
+        packed = flat.cast(pa.binary())
+        return pc.if_else(batch.is_valid(), packed, pa.scalar(None, pa.binary())) if batch.null_count else packed
 
     return pack(vector)
 
@@ -159,7 +193,7 @@ def unpack_vector(packed: Column | str, kind: str = "float") -> Column:
         values = np.frombuffer(b"".join(batch.drop_null().to_pylist()), dtype=dtype)
         offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-        return pc.if_else(batch.is_valid(), lists, pa.scalar(None, lists.type))
+        return pc.if_else(batch.is_valid(), lists, pa.scalar(None, lists.type)) if batch.null_count else lists
 
     return unpack(packed)
 

@@ -17,7 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomdex.functions.embedding import list_parts
+
 STATE = ["token", "n", "df", "first"]
+HELD_ROWS = 1 << 18  # rows of parts that a task holds before it merges them
 
 
 def _first_of_each(group: np.ndarray, order: np.ndarray) -> np.ndarray:
@@ -28,7 +31,7 @@ def _first_of_each(group: np.ndarray, order: np.ndarray) -> np.ndarray:
 
 
 def _counted(batch: pa.RecordBatch, key_type: pa.DataType) -> pa.RecordBatch:
-    """The state of a batch of (key, tokens)."""
+    """The state of a part of a batch of (key, tokens)."""
     key, lists = batch.column(0), batch.column(1)
     sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
     row = np.repeat(np.arange(len(lists)), sizes)
@@ -53,6 +56,24 @@ def _counted(batch: pa.RecordBatch, key_type: pa.DataType) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=["token", "n", "df", "key", "pos"])
 
 
+def _merged(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """One state from those of several parts, as :func:`merged_states` gives."""
+    if len(parts) == 1:
+        return parts[0]
+    rows = pa.concat_batches(parts)
+    order = pc.sort_indices(rows, sort_keys=[("key", "ascending"), ("pos", "ascending")], null_placement="at_start")
+    rows = rows.take(order)
+    token = rows.column("token").dictionary_encode(null_encoding="encode").indices.to_numpy()
+    _, place = np.unique(token, return_index=True)  # the first place of each: its least (key, pos)
+    totals = []
+    for name in ("n", "df"):
+        total = np.zeros(len(place), np.int64)
+        np.add.at(total, token, rows.column(name).to_numpy())
+        totals.append(pa.array(total))
+    token, key, pos = (rows.column(c).take(pa.array(place)) for c in ("token", "key", "pos"))
+    return pa.RecordBatch.from_arrays([token, *totals, key, pos], names=parts[0].schema.names)
+
+
 def _dense_rank(key: pa.Array, rank: np.ndarray) -> np.ndarray:
     codes = key.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
     least = np.full(int(codes.max()) + 1, len(rank))
@@ -61,8 +82,8 @@ def _dense_rank(key: pa.Array, rank: np.ndarray) -> np.ndarray:
 
 
 def token_state(df: DataFrame, key: str, tokens: str = "tokens") -> DataFrame:
-    """Rows (token, n, df, first) of all rows of ``df``. Whole Arrow batches are counted, so what is shuffled is a row
-    per token and batch at most, combined in each task before."""
+    """Rows (token, n, df, first) of all rows of ``df``. Arrow batches are counted in parts of bounded size, which
+    are merged as they get many, so what is shuffled is a row per token and large part at most."""
     kind = df.schema[key].dataType
     fields = [("token", T.StringType()), ("n", T.LongType()), ("df", T.LongType()), ("key", kind), ("pos", T.IntegerType())]
     from pyspark.sql.pandas.types import to_arrow_type
@@ -70,9 +91,16 @@ def token_state(df: DataFrame, key: str, tokens: str = "tokens") -> DataFrame:
     key_type = to_arrow_type(kind)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            if batch.num_rows:
-                yield _counted(batch, key_type)
+            for start, end in list_parts(batch.column(1)):
+                held.append(_counted(batch.slice(start, end - start), key_type))
+                if sum(h.num_rows for h in held) >= HELD_ROWS:
+                    held = [_merged(held)]
+                    if held[0].num_rows >= HELD_ROWS // 2:
+                        yield held.pop()
+        if held:
+            yield _merged(held)
 
     schema = T.StructType([T.StructField(n, t) for n, t in fields])
     parts = df.select(F.col(key).alias("key"), F.col(tokens).alias("tokens")).mapInArrow(count, schema)
