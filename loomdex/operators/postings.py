@@ -23,7 +23,8 @@ from pyspark.sql import types as T
 from loomdex.operators.scan import QUERY_BYTES, QUERY_ROWS, Branch, Stage, _arrow_schema, _finish
 from loomdex.session import written
 
-SHARD_ROWS = 1 << 16
+SHARD_ROWS = 1 << 14
+SHARD_ENTRIES = 1 << 20  # a task sorts the entries of a whole shard at a time
 BLOCK = 128
 IDS = -1  # in place of a vocabulary entry: the row that holds the shard's ids
 MARGIN = 1e-7  # scores are rounded, so a bound must exceed by more than that
@@ -71,10 +72,14 @@ def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table
         yield held[0].column("shard")[0].as_py(), pa.Table.from_batches(held)
 
 
-def build_postings(vectors: DataFrame, vector: str = "text_sparse", shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """The index of rows (id, struct of indices and values), written to the shared folder. Ids must be different."""
+def build_postings(vectors: DataFrame, vector: str = "text_sparse", shard_rows: int = SHARD_ROWS, shard_entries: int = SHARD_ENTRIES) -> DataFrame:
+    """The index of rows (id, struct of indices and values), written to the shared folder. Ids must be different.
+
+    There are as many shards as keep their mean within ``shard_rows`` rows and ``shard_entries`` list entries.
+    """
     rows = written(vectors.select("id", F.col(vector).alias("vector")), "sparse-vectors")
-    shards = max(1, -(-rows.count() // shard_rows))
+    size = rows.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("vector.indices")).alias("entries")).first()
+    shards = max(1, -(-size["rows"] // shard_rows), -(-(size["entries"] or 0) // shard_entries))
     schema = _schema(rows.schema["id"].dataType)
     target = _arrow_schema(schema)
 
