@@ -27,6 +27,7 @@ QUERY_BYTES = 128 << 20  # and the bytes that they may take
 SCAN_BLOCKS = 8  # blocks that the tasks of one scan hold
 TASKS_PER_SLOT = 4  # tasks of a scan for each slot of the cluster
 SCORE_CELLS = 4_000_000  # scores held at a time
+SCAN_ROWS = 2048  # points of a batch that are widened to double precision and scored at a time
 MERGE_SALTS = 32
 
 
@@ -266,12 +267,14 @@ def _score_batches(
     """``blocks`` have the ids and vectors of queries by column; a row without a vector is left out of the
     branches over that column only."""
     best = [(_Best(b, asked[b.column][1], digits), asked[b.column][0]) for asked in blocks for b in branches if len(asked[b.column][0])]
-    for batch in batches:
+    parts = (batch.slice(start, SCAN_ROWS) for batch in batches for start in range(0, batch.num_rows, SCAN_ROWS))
+    for batch in parts:
         cache: dict[str, tuple] = {}
         for b, _ in best:
             column = b.branch.column
             if column not in cache:
-                own = batch.filter(batch.column(column).is_valid())
+                own = batch.select(["id", column])
+                own = own.filter(own.column(column).is_valid()) if own.column(column).null_count else own
                 cache[column] = (*_sorted_ids(own.column("id")), _matrix(own.column(column), b.width, b.branch.codes))
             if len(cache[column][0]):
                 b.add(*cache[column])
