@@ -176,12 +176,15 @@ SHARED = f"""select {RESULT.replace('status', "case when status = 'success' and
 def extract_dedup_shared(spark, folder):
     """Documents of shared motions, each landed under two addresses.
 
-    Pages of one motion may have the same address and text, so the page tells them apart. Motions come by number.
+    Pages of one motion may have the same address and text, so the page tells them apart, and a number the copies of a
+    page; it is fixed as the rows are written. Motions come by number.
     """
     motion = F.col("motion_id") % 40
     once = i.content(spark, folder).withColumns({"page": F.col("motion_id"), "motion": motion, "motion_id": motion})
     twice = once.unionAll(once.withColumn("url", F.concat("url", F.lit("#again"))))
-    return jobs.extract_dedup_job(twice, row_key=["motion", "url", "page"]).drop("content", "motion", "page")
+    numbered = twice.withColumn("copy", F.monotonically_increasing_id())
+    found = jobs.extract_dedup_job(numbered, row_key=["motion", "url", "page", "copy"])
+    return found.drop("content", "motion", "page", "copy")
 
 
 @query("status_summary", f"select status, count(*) as n from ({DEDUPED}) group by status")
