@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import re
+import string
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
@@ -62,6 +64,9 @@ REMOVAL_PATTERNS = [
     r"Grosser Rat",
 ]
 
+#: Characters that a part of a text has at least when patterns are removed.
+PART = 128
+
 SECTION_MARKER = "Antrag Regierungsrat"
 
 
@@ -113,32 +118,90 @@ def required_literal(pattern: str) -> str:
     return max([*runs, run], key=len).lower()
 
 
+def _atoms(pattern: str) -> list[tuple[str, bool]] | None:
+    """The pattern's characters, ``\\d``, ``\\S`` and ``\\b`` in order, and whether a match may lack them; None if it has more."""
+    out, i = [], 0
+    while i < len(pattern):
+        atom = pattern[i]
+        if atom in "|()[]{}^$.?*+" or pattern[i : i + 2] in ("\\", "\\\\"):
+            return None
+        i += 1
+        if atom == "\\":
+            atom = "\\" + pattern[i] if pattern[i].isalnum() else pattern[i]
+            i += 1
+        if (len(atom) == 2 and atom not in (r"\d", r"\S", r"\b")) or (atom.isspace() and atom != " "):
+            return None
+        quantifier = re.match(r"([?*+]|\{\d+(?:,\d*)?\})[?+]?", pattern[i:])
+        if quantifier:
+            i += quantifier.end()
+        out.append((atom, atom == r"\b" or bool(quantifier and quantifier[1].startswith(("?", "*", "{0")))))
+    return out
+
+
+def needs_digit(pattern: str) -> bool:
+    """Whether every match must hold a digit."""
+    return (r"\d", False) in (_atoms(pattern) or [])
+
+
+def cut_letters(patterns: Sequence[str]) -> str:
+    """Small letters that no match begins with and that no match has behind a space; none if that can't be told.
+
+    A space and such a letter (small or capital) next to it stay as long as both are there: a match would
+    have to begin with the letter or to go on from the space to it. So both stay, no match reaches from one
+    side of them to the other, and a text may be cut in front of the space: its parts lose what the whole would.
+    """
+    letters = set(string.ascii_lowercase)
+    for pattern in patterns:
+        atoms = _atoms(pattern)
+        if atoms is None:
+            return ""
+        for behind in [0, *(n + 1 for n, (atom, _) in enumerate(atoms) if atom == " ")]:
+            for atom, optional in atoms[behind:]:
+                if atom == r"\S":
+                    return ""
+                if len(atom) == 1:
+                    letters -= set(atom.lower() + atom.upper().lower() + atom.casefold())
+                if not optional:
+                    break
+            else:  # a match may end with the space
+                return ""
+    return "".join(sorted(letters))
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it stands there."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _folded(c: Column) -> Column:
     """Lower case, with the three leftovers that case-blind matching equates to s and i mapped."""
-    low = F.lower(c)
-    odd = F.contains(low, F.lit("\u017f")) | F.contains(low, F.lit("\u0131")) | F.contains(low, F.lit("\u0307"))
-    return F.when(odd, F.translate(low, "\u017f\u0131\u0307", "si")).otherwise(low)
 
+    def mapped(low: Column) -> Column:
+        odd = F.contains(low, F.lit("\u017f")) | F.contains(low, F.lit("\u0131")) | F.contains(low, F.lit("\u0307"))
+        return F.when(odd, F.translate(low, "\u017f\u0131\u0307", "si")).otherwise(low)
 
-def remove_patterns(c: Column | str, patterns: Sequence[str] = REMOVAL_PATTERNS) -> Column:
+    return _once(F.lower(c), mapped)
+
+
+def remove_patterns(c: Column | str, patterns: Sequence[str] = REMOVAL_PATTERNS, part: int = PART) -> Column:
     """Remove each pattern in turn, ignoring case over all of Unicode.
 
-    A pattern runs only on texts that hold the plain text it needs: a substring search costs a
-    small part of a case-blind scan, and most patterns are absent from most texts. Once a text has
-    changed, its parts may have met in new ways, and all remaining patterns run.
+    A text is cut into parts of ``part`` characters and more where no match can reach across (see
+    :func:`cut_letters`; a line end does as well), and each part goes through all patterns in turn. There, a
+    pattern runs only if the part, as it is by then, holds the plain text that it needs: a substring search costs
+    a small part of a case-blind scan, and most patterns are absent from most parts.
     """
     steps = F.array(
         *[
             F.struct(
                 F.lit(required_literal(p)).alias("need"),
+                F.lit(needs_digit(p)).alias("digit"),
                 F.lit(n).alias("number"),
             )
             for n, p in enumerate(patterns)
         ]
     )
 
-    start = F.struct(_col(c).alias("text"), _folded(_col(c)).alias("low"), F.lit(False).alias("changed"))
-
     def removed(text: Column, number: Column) -> Column:
         # each pattern is a literal in a branch of its own, which Spark compiles once for a task
         out = text
@@ -148,19 +211,32 @@ def remove_patterns(c: Column | str, patterns: Sequence[str] = REMOVAL_PATTERNS)
             out = F.when(number == n, replaced) if n == 0 else out.when(number == n, replaced)
         return out
 
+    def state(text: Column) -> Column:
+        return F.struct(text.alias("text"), _folded(text).alias("low"), text.rlike(r"(?U)\d").alias("digits"))
+
     def apply(acc: Column, step: Column) -> Column:
-        # the one-element transform names the new text, so it is computed once
-        ran = F.transform(
-            F.array(removed(acc["text"], step["number"])),
-            lambda new: F.struct(
-                new.alias("text"),
-                acc["low"].alias("low"),
-                (acc["changed"] | (new != acc["text"])).alias("changed"),
-            ),
+        ran = _once(
+            removed(acc["text"], step["number"]),
+            lambda new: F.when(new != acc["text"], state(new)).otherwise(acc),
         )
-        return F.when(acc["changed"] | F.contains(acc["low"], step["need"]), ran[0]).otherwise(acc)
-
-    return F.aggregate(steps, start, apply, lambda acc: acc["text"]) if patterns else _col(c)
+        may = F.contains(acc["low"], step["need"]) & (acc["digits"] | ~step["digit"])
+        return F.when(may, ran).otherwise(acc)
+
+    def chain(text: Column) -> Column:
+        def unless_plain(start: Column) -> Column:
+            # spelled out, as a loop over the steps takes longer than the searches
+            may = [F.contains(start["low"], F.lit(required_literal(p))) & (start["digits"] if needs_digit(p) else F.lit(True)) for p in patterns]
+            return F.when(functools.reduce(Column.__or__, may), F.aggregate(steps, start, apply, lambda acc: acc["text"])).otherwise(start["text"])
+
+        return _once(state(text), unless_plain)
+
+    if not patterns:
+        return _col(c)
+    letters = cut_letters(patterns)
+    if not letters:
+        return chain(_col(c))
+    cut = rf"(?s).{{{part}}}.*?(?=\n| [{letters}{letters.upper()}])|.+"
+    return F.array_join(F.transform(F.regexp_extract_all(_col(c), F.lit(cut), F.lit(0)), chain), "")
 
 
 def strip_special_chars(c: Column | str) -> Column:

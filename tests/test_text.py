@@ -1,5 +1,7 @@
+import random
 import re
 import sys
+import time
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -65,6 +67,48 @@ def test_required_literal():
     assert t.required_literal("abc{0,2}d") == "ab"
 
 
+def test_where_texts_may_be_cut():
+    assert t.cut_letters(t.REMOVAL_PATTERNS) == "ijoqtxyz"
+    assert set("abcdefghijklmnopqrstuvwxyz") - set(t.cut_letters([r"\bab? c? d+", "Q{0,2}ſ"])) == set("acdqsi") - set("i")
+    for unclear in ("a|b", "(a)b", "a.b", r"\S+", r"a\s", r"x \w", "a ", "a b?", "a\n", "b*", r"a\\Sb"):
+        assert t.cut_letters(["Motion", unclear]) == "", unclear
+    assert t.needs_digit(r"Page \d+") and not t.needs_digit(r"a\d*") and not t.needs_digit(r"\d|a")
+
+
+def test_parts_of_a_text_lose_what_the_whole_loses(spark):
+    rng = random.Random(5)
+    words = ["Motion", "NEIN", "SP", "Seite", "2", "von", "9", "01.02.2020", "to", "is", "x", "Ital", "Ver", "teiler", "/", "Page",
+             "Antrag", "Regierungsrat:", "www.a", "Letzte", "Bearbeitung:", "zu", "İ", "\u0131t", "ſ", "Grosser", "Rat", "Version:"]
+    texts = ["".join(rng.choice(words) + rng.choice([" ", " ", "", "\n", "  "]) for _ in range(rng.randint(0, 90))) for _ in range(300)]
+    whole = [plain_removal(x) for x in texts]
+    for part in (1, 20, 128):
+        assert apply(spark, lambda c, part=part: t.remove_patterns(c, part=part), texts) == whole
+    patterns = [r"to (is)?", r"\bzu\b", "ver"]  # not to be cut
+    assert apply(spark, lambda c: t.remove_patterns(c, patterns), texts) == [
+        re.sub("(?i)ver", "", re.sub(r"(?i)\bzu\b", "", re.sub(r"(?i)to (is)?", "", x))) for x in texts
+    ]
+
+
+def test_a_match_in_one_place_starts_no_scans_elsewhere(spark):
+    """Time by the place of the only match: the rest of a long text isn't scanned for all patterns."""
+    rest = "over all of it there is one thing to tell of that other town " * 40_000
+    df = spark.createDataFrame([("Auswahl, " + rest,)], "text string").cache()
+    df.count()
+
+    def seconds(c):
+        best = []
+        for _ in range(3):
+            start = time.perf_counter()
+            df.select(F.length(c)).collect()
+            best.append(time.perf_counter() - start)
+        return min(best)
+
+    one_by_one = F.col("text")
+    for p in t.REMOVAL_PATTERNS:
+        one_by_one = F.regexp_replace(one_by_one, "(?iU)" + p, "")
+    assert seconds(t.remove_patterns("text")) < 0.5 * seconds(one_by_one)
+
+
 word = st.sampled_from(
     ["Motion", "NEIN", "SP", "svp", "Seite 2 von 3", "01.02.2020", "x", "é", "Ä", "-", ".", " ", "\n", " ",
      "\x1d", "www.a", "Dringlichkeit GEWÄHRT:", "ſ", "İ", "Auswahl", "Antrag Regierungsrat"]
