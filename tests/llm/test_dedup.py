@@ -32,6 +32,50 @@ def test_byte_repeats_equal_brute_force(spark, group):
     assert rows_of(got) == brute_bytes(rows, 60)
 
 
+def test_byte_repeats_of_one_anchor_in_very_many_segments(spark, monkeypatch, tmp_path):
+    """A passage whose edges differ from text to text: repeats are exact, and few windows become rows."""
+    r = random.Random(6)
+    other = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    passage, ends = other(150), [other(3) for _ in range(4)]
+    rows = [(i, other(60) + r.choice(ends) + passage[r.randint(0, 5) :] + r.choice(ends) + other(60)) for i in range(200)]
+    rows += [(500 + i, other(40) + passage[: r.randint(60, 150)] + other(40)) for i in range(60)] + rows[:5]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    made = f"{tmp_path}/made"
+    plain = suffix_dedup._windows
+
+    def counted(least):
+        work = plain(least)
+
+        def run(batches):
+            for batch in work(batches):
+                with open(made, "a") as file:
+                    file.write(f"{batch.num_rows}\n")
+                yield batch
+
+        return run
+
+    monkeypatch.setattr(suffix_dedup, "_windows", counted)
+    got = suffix_dedup.remove_repeats(docs, 100, gram=16, group=10)
+    assert rows_of(got) == brute_bytes(rows, 100)
+    with open(made) as file:
+        windows = sum(map(int, file))
+    segments = suffix_dedup.segments(suffix_dedup.keyed(docs), 100, 16)
+    in_all = segments.groupBy("anchor", "content").agg({"windows": "max"}).groupBy("anchor").agg(
+        {"max(windows)": "sum", "content": "count"}
+    ).where("`count(content)` > 10").agg({"sum(max(windows))": "sum"}).first()[0]
+    assert 0 < windows < 0.6 * in_all
+
+
+@pytest.mark.parametrize("stretch", [1, 5, 1000])
+def test_byte_repeats_by_stretches_of_any_width(spark, monkeypatch, stretch):
+    monkeypatch.setattr(suffix_dedup, "STRETCH", stretch)
+    r = random.Random(stretch)
+    parts = ["".join(r.choice("ab") for _ in range(r.randint(5, 60))) for _ in range(12)]
+    rows = patchwork(stretch, parts, "ab", 120, ["", " "])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert rows_of(suffix_dedup.remove_repeats(docs, 24, gram=8, group=1)) == brute_bytes(rows, 24)
+
+
 def test_byte_repeats_of_whole_table_equal_brute_force(spark, data):
     docs = table(spark, data, "documents")
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
